@@ -14,7 +14,7 @@ from gneiss.llm.common import U64, Rolling, components, mixed, small_batches, wo
 from gneiss.llm.neardup import star_forest
 
 #: White space beyond ASCII, as str.split() knows it.
-WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+WIDE_SPACE = re.compile("[" + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
 
 
 def shingles(text: str | None, words: int = 5) -> np.ndarray:
