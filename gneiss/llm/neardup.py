@@ -100,6 +100,10 @@ def _join_cell(table: pa.Table, dim: int, least: float) -> pa.Table:
     return pa.table({"id": np.concatenate([ids[counted], leaf]), "n": np.concatenate([n[counted], np.zeros(len(leaf), np.int64)]), "root": np.concatenate([ids[counted], root])})
 
 
+def _joiner(dim: int, least: float):
+    return lambda table: _join_cell(table, dim, least)
+
+
 def far_apart(sample: np.ndarray, count: int) -> np.ndarray:
     """Pivots out of a sample: each is the one furthest from those chosen before."""
     chosen = [0]
@@ -148,7 +152,7 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
         cells = cells.withColumn("blocks", F.element_at(blocks, F.col("cell")))
         ask = cells.where("home").select("cell", F.pmod(F.xxhash64("id"), F.col("blocks.h")).alias("hb"), F.explode(F.sequence(F.lit(0), F.col("blocks.a") - 1)).alias("ab"), "home", "id", "weight", "v")
         there = cells.select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks.h") - 1)).alias("hb"), F.pmod(F.xxhash64(F.lit(1), "id"), F.col("blocks.a")).alias("ab"), F.lit(False).alias("home"), "id", "weight", "v")
-        parts.append(ask.union(there).groupBy("cell", "hb", "ab").applyInArrow(lambda t, d=dim: _join_cell(t, d, least), "id long, n long, root long"))
+        parts.append(ask.union(there).groupBy("cell", "hb", "ab").applyInArrow(_joiner(dim, least), "id long, n long, root long"))
     if not parts:
         return rows.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     found = parts[0]
