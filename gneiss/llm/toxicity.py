@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import U64, mixed, small_batches
+from gneiss.llm.common import U64, Rolling, mixed, small_batches
 
 #: Symbols that count as part of a word between two letters or digits, as in disguised spellings.
 INNER = "@$!*0'-_+&%#|."
@@ -35,10 +35,14 @@ class Shape:
     most: int = 5
     window: int = 32  # words in a bag
     step: int = 16
+    filled: int = 128  # n-grams by which a shorter bag is averaged all the same
 
 
 class Stream:
-    """Texts as one run of lower-case code points, words parted by single zeros, with bags of words laid over each text."""
+    """Texts as one run of lower-case code points, words parted by single zeros, with bags of words laid over each text.
+
+    A word that stands among the `window` words before it is left out, so that no bag is filled by one word.
+    """
 
     def __init__(self, texts: list[str], shape: Shape):
         lengths = np.array([len(t) for t in texts], np.int64)
@@ -57,6 +61,19 @@ class Stream:
         starts = word.copy()
         starts[1:] &= ~word[:-1] | first[1:]
         at = np.flatnonzero(starts)
+        if len(at):
+            ends = word.copy()
+            ends[:-1] &= ~word[1:] | first[1:]
+            name = Rolling(raw.astype(U64)).ranges(at, np.flatnonzero(ends) + 1) ^ mixed(np.searchsorted(doc_start, at, side="right").astype(U64))
+            order = np.argsort(name, kind="stable")
+            again = (name[order][1:] == name[order][:-1]) & (np.diff(order) <= shape.window)
+            again = order[1:][again]
+            gone = np.zeros(len(raw) + 1, np.int8)
+            gone[at[again]] = 1
+            gone[np.flatnonzero(ends)[again] + 1] -= 1
+            word &= np.cumsum(gone[:-1]) == 0
+            starts &= word
+            at = np.flatnonzero(starts)
         kept = np.flatnonzero(word)
         # position of every kept character in the stream: one zero goes before each word
         place = np.arange(len(kept)) + np.cumsum(starts[kept])
@@ -98,15 +115,18 @@ class Stream:
         return total[b] - total[a], count[b] - count[a]
 
     def bag_grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets of all n-grams in order of place, and the place at which each word's begin."""
-        places, buckets = [], []
+        """Buckets of all n-grams in order of place, and where each word's begin."""
+        count = np.zeros(len(self.codes) + 1, np.int64)
+        for _, fine in self.grams():
+            count[1 : len(fine) + 1] += fine
+        base = np.cumsum(count)
+        out = np.empty(int(base[-1]), np.int32)
+        begin = base[np.append(self.zero, len(self.codes) - 1)]
         for bucket, fine in self.grams():
             at = np.flatnonzero(fine)
-            places.append(at)
-            buckets.append(bucket[at].astype(np.int32))
-        places, buckets = np.concatenate(places), np.concatenate(buckets)
-        order = np.argsort(places, kind="stable")
-        return buckets[order], np.searchsorted(places[order], np.append(self.zero, len(self.codes) - 1))
+            out[base[at]] = bucket[at]
+            base[at] += 1
+        return out, begin
 
 
 @dataclass(frozen=True)
@@ -117,15 +137,19 @@ class Model:
     bias: float
     shape: Shape
 
-    def score(self, texts: list[str]) -> np.ndarray:
-        """Probability of label 1 of each text: that of its likeliest bag of words. Texts without words: that of an empty bag."""
+    def logits(self, texts: list[str]) -> np.ndarray:
+        """Of each lower-case text, the logit of its likeliest bag of words; of a text without words that of an empty bag."""
         stream = Stream(texts, self.shape)
         logit = np.full(len(texts), -np.inf)
         if len(stream.bag_doc):
             total, count = stream.bag_sums(self.value)
-            np.maximum.at(logit, stream.bag_doc, total / np.maximum(count, 1) + self.bias)
+            np.maximum.at(logit, stream.bag_doc, total / np.maximum(count, self.shape.filled) + self.bias)
         logit[np.isneginf(logit)] = self.bias
-        return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
+        return logit
+
+    def score(self, texts: list[str]) -> np.ndarray:
+        """Probability of label 1 of each lower-case text."""
+        return 1 / (1 + np.exp(-np.clip(self.logits(texts), -500, 500)))
 
 
 def misspelt(text: str, rng: np.random.Generator, rate: float) -> str:
@@ -140,70 +164,87 @@ def misspelt(text: str, rng: np.random.Generator, rate: float) -> str:
     return " ".join(words)
 
 
-def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, epochs: int = 6, batch: int = 256, rate: float = 0.5, bags_per_text: int = 24, spoilt: float = 0.3, seed: int = 7) -> Model:
+def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, epochs: int = 6, batch: int = 256, rate: float = 0.3, bags_per_text: int = 16, hardest: int = 8, spoilt: float = 0.3, seed: int = 7) -> Model:
     """Fit n-gram vectors and softmax weights together on bags of words of labelled texts.
 
-    A text of label 1 need not be toxic throughout: after the first epoch only its likeliest bag and those already
-    above one half count, while all bags of the other texts do. Each text is also shown with some words misspelt.
-    At most bags_per_text bags of a text, drawn at random, are used.
+    A text is as toxic as its likeliest bag. So of a text of label 1 only the likeliest bag, and those already above one
+    half, are shown as toxic (in the first epoch, up to bags_per_text drawn at random); of the others are shown
+    bags_per_text bags drawn anew in each epoch and the `hardest`, those that are taken for toxic most. Each text is also
+    shown with some words misspelt. N-grams that were never seen keep a zero vector and say nothing.
     """
     rng = np.random.default_rng(seed)
     size = 1 << shape.bits
     if not texts or len(set(labels)) < 2:
-        p = (sum(labels) + 0.5) / (len(labels) + 1) if labels else 0.0
-        p = min(max(p, 0.01), 0.99)
+        p = min(max(sum(labels) / len(labels), 0.01), 0.99) if labels else 0.01
         return Model(np.zeros(size, np.float32), float(np.log(p / (1 - p))), shape)
     low = [t.lower() for t in texts]
     stream = Stream(low + [misspelt(t, rng, spoilt) for t in low], shape)
-    y_doc = np.array(list(labels) * 2)
-    draw = rng.random(len(stream.bag_doc))
-    order = np.lexsort((draw, stream.bag_doc))
-    rank = np.empty(len(order), np.int64)
-    begin = np.searchsorted(stream.bag_doc[order], np.arange(stream.n_docs))
-    rank[order] = np.arange(len(order)) - begin[stream.bag_doc[order]]
-    used = np.flatnonzero(rank < bags_per_text)
     buckets, border = stream.bag_grams()
-    a, b, doc = border[stream.bag_start[used]], border[stream.bag_end[used]], stream.bag_doc[used]
+    a, b = border[stream.bag_start], border[stream.bag_end]
     filled = b > a
-    a, b, doc = a[filled], b[filled], doc[filled]
-    y = y_doc[doc].astype(np.float64)
-    vectors = rng.normal(0, 0.1, (size, shape.dim)).astype(np.float32)
-    weights = rng.normal(0, 0.5, (shape.dim, 2)).astype(np.float32)
+    a, b, doc = a[filled], b[filled], stream.bag_doc[filled]
+    y = np.array(list(labels) * 2)[doc]
+    begin = np.searchsorted(doc, np.arange(stream.n_docs))
+
+    def rank_in_text(by: np.ndarray) -> np.ndarray:
+        order = np.lexsort((by, doc))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order)) - begin[doc[order]]
+        return rank
+
+    vectors = np.zeros((size, shape.dim), np.float32)
+    weights = rng.normal(0, 1, (shape.dim, 2)).astype(np.float32)
     bias = np.zeros(2)
-    seen, seen_w, seen_b = np.full(size, 1e-6, np.float32), np.full(weights.shape, 1e-6), np.full(2, 1e-6)
-    p_all = np.full(len(y), 0.5)
+    seen, seen_w, seen_b = np.full(size, 1e-8, np.float32), np.full(weights.shape, 1e-6), np.full(2, 1e-6)
     for epoch in range(epochs):
-        active = np.ones(len(y), bool)
-        if epoch:
-            top = np.zeros(stream.n_docs)
-            np.maximum.at(top, doc, p_all)
-            active = (y == 0) | (p_all >= np.minimum(top[doc], 0.5))
-        share = active / np.where(y == 1, max(1.0, (active & (y == 1)).sum()), max(1.0, (active & (y == 0)).sum()))
-        balance = share / share[active].mean()
+        value = vectors @ (weights[:, 1] - weights[:, 0])
+        sums = np.concatenate([[0], np.cumsum(value[buckets], dtype=np.float64)])
+        logit = (sums[b] - sums[a]) / np.maximum(b - a, shape.filled) + bias[1] - bias[0]
+        drawn, hard = rank_in_text(rng.random(len(doc))) < bags_per_text, rank_in_text(-logit)
+        active = drawn if not epoch else np.where(y == 1, (hard == 0) | drawn & (logit > 0), drawn | (hard < hardest))
         for chosen in np.array_split(rng.permutation(np.flatnonzero(active)), max(1, int(active.sum()) // batch)):
             n = (b - a)[chosen]
             row = np.repeat(np.arange(len(chosen)), n)
             g = buckets[np.repeat(a[chosen] - (np.cumsum(n) - n), n) + np.arange(len(row))]
-            mean = np.add.reduceat(vectors[g], np.cumsum(n) - n, axis=0) / n[:, None]
+            over = np.maximum(n, shape.filled)
+            mean = np.add.reduceat(vectors[g], np.cumsum(n) - n, axis=0) / over[:, None]
             z = mean @ weights + bias
-            z -= z.max(1, keepdims=True)
+            z -= z.max(axis=1, keepdims=True)
             p = np.exp(z)
-            p /= p.sum(1, keepdims=True)
-            p_all[chosen] = p[:, 1]
-            err = p
-            err[np.arange(len(chosen)), y[chosen].astype(int)] -= 1
-            err *= (balance[chosen] / len(chosen))[:, None]
-            back = (err @ weights.T / n[:, None]).astype(np.float32)
-            grad_w, grad_b = mean.T @ err, err.sum(0)
-            hit, where = np.unique(g, return_inverse=True)
-            grad = np.stack([np.bincount(where, weights=back[row, d], minlength=len(hit)) for d in range(shape.dim)], 1).astype(np.float32)
-            seen[hit] += (grad * grad).mean(1)
+            p /= p.sum(axis=1, keepdims=True)
+            p[np.arange(len(chosen)), y[chosen]] -= 1
+            err = p / len(chosen)
+            # of two classes the errors are opposite, so a vector's gradient is one number times the weights' difference
+            apart = weights[:, 1] - weights[:, 0]
+            pull = np.bincount(g, weights=(err[:, 1] / over)[row], minlength=size).astype(np.float32)
+            hit = np.flatnonzero(pull)
+            grad = pull[hit, None] * apart
+            seen[hit] += (grad * grad).mean(axis=1)
             vectors[hit] -= rate * grad / np.sqrt(seen[hit])[:, None]
+            grad_w, grad_b = mean.T @ err, err.sum(axis=0)
             seen_w += grad_w * grad_w
             weights -= (0.1 * rate * grad_w / np.sqrt(seen_w)).astype(np.float32)
             seen_b += grad_b * grad_b
-            bias -= 0.1 * rate * grad_b / np.sqrt(seen_b)
-    return Model(vectors @ (weights[:, 1] - weights[:, 0]), float(bias[1] - bias[0]), shape)
+            bias -= 0.3 * rate * grad_b / np.sqrt(seen_b)
+    return Model((vectors @ (weights[:, 1] - weights[:, 0])).astype(np.float32), float(bias[1] - bias[0]), shape)
+
+
+def calibrated(model: Model, texts: list[str], labels: list[int]) -> Model:
+    """The model with its bias set so that one half parts the labels of texts it was not trained on best.
+
+    A wrongly accused text weighs twice as much as a missed one, in parts of its label's texts; of equally good borders
+    the middle is taken.
+    """
+    y = np.array(labels)
+    if not y.any() or y.all():
+        return model
+    logit = np.concatenate([model.logits([t.lower() for t in texts[i : i + 100]]) for i in range(0, len(texts), 100)])
+    order = np.argsort(logit, kind="stable")
+    cost = np.concatenate([[0], np.cumsum(y[order] / y.sum())]) + 2 * np.concatenate([np.cumsum(((1 - y[order]) / (1 - y).sum())[::-1])[::-1], [0]])
+    edge = np.concatenate([[logit[order[0]] - 1], logit[order], [logit[order[-1]] + 1]])
+    best = np.flatnonzero(cost <= cost.min() + 1e-12)
+    run = best[: 1 + int(np.argmax(np.append(np.diff(best) != 1, True)))]
+    return Model(model.value, model.bias - float(edge[run[0]] + edge[run[-1] + 1]) / 2, model.shape)
 
 
 def held_out(key: Column) -> Column:
@@ -211,18 +252,27 @@ def held_out(key: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1536, shape: Shape = Shape()) -> Model:
-    """Train on at most `per_label` documents of each label (those of least hash), none of them held out.
+    """Train on at most `per_label` documents of label 1 and twice as many of label 0 (those of least hash), none held out.
 
-    The sample's keys are a bounded table and are broadcast; its texts come to the driver, where the model is trained.
+    A quarter of them is kept for setting the border between the labels. The sample's keys are a bounded table and are broadcast; its texts come to the driver, where the model is trained.
     """
     known = labels.where(labels[key].isNotNull() & labels[label].isin(0, 1) & ~held_out(labels[key])).select(labels[key].alias("k"), labels[label].cast("int").alias("y")).groupBy("k").agg(F.max("y").alias("y"))
     picked = None
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(per_label)
+        part = known.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(per_label * (2 - y))
         picked = part if picked is None else picked.union(part)
-    rows = docs.select(docs[key].alias("d"), docs[text].alias("t")).join(F.broadcast(picked), F.col("d") == F.col("k")).select("d", "t", "y").collect()  # at most 2 * per_label keys
-    rows = sorted({(r["d"], r["t"] or "", r["y"]) for r in rows})
-    return train([r[1] for r in rows], [r[2] for r in rows], shape)
+    rows = docs.select(docs[key].alias("d"), docs[text].alias("t")).join(F.broadcast(picked), F.col("d") == F.col("k")).select("d", "t", "y").collect()  # at most 3 * per_label keys
+    rows = sorted({(r["y"], r["d"], r["t"] or "") for r in rows})
+    return fitted([r[2] for r in rows], [r[0] for r in rows], shape)
+
+
+def fitted(texts: list[str], labels: list[int], shape: Shape = Shape()) -> Model:
+    """Train on three of four texts and set the border by the fourth; with under 16 texts of a label, train on all."""
+    if min(labels.count(0), labels.count(1)) < 16:
+        return train(texts, labels, shape)
+    kept = [i % 4 == 3 for i in range(len(texts))]
+    model = train([t for t, k in zip(texts, kept, strict=True) if not k], [y for y, k in zip(labels, kept, strict=True) if not k], shape)
+    return calibrated(model, [t for t, k in zip(texts, kept, strict=True) if k], [y for y, k in zip(labels, kept, strict=True) if k])
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model, schema: pa.Schema, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
