@@ -17,6 +17,10 @@ BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
+#: Tables in the shared folder that results may still read.
+WRITTEN: list[DataFrame] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where none is set (local tests)."""
     sc = spark.sparkContext
@@ -37,6 +41,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._gneiss_path = path
+    WRITTEN.append(back)
     return back
 
 
@@ -46,9 +51,16 @@ def forget(df: DataFrame) -> None:
     if path:
         jvm = df.sparkSession._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
+        WRITTEN[:] = [x for x in WRITTEN if x is not df]
         p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def sweep() -> None:
+    """Delete all tables that `written` left in the shared folder; for callers who have read their results."""
+    for df in list(WRITTEN):
+        forget(df)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes so that every bit depends on every other."""
     x = x ^ (x >> U64(33))

@@ -251,8 +251,9 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1536, shape: Shape = Shape()) -> Model:
-    """Train on at most `per_label` documents of label 1 and twice as many of label 0 (those of least hash), none held out.
+def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1536, most_chars: int = 100_000, shape: Shape = Shape()) -> Model:
+    """Train on at most `per_label` documents of label 1 and twice as many of label 0 (those of least hash), none held out,
+    and of each on at most `most_chars` characters; scoring reads whole texts.
 
     A quarter of them is kept for setting the border between the labels. The sample's keys are a bounded table and are broadcast; its texts come to the driver, where the model is trained.
     """
@@ -261,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     for y in (0, 1):
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(per_label * (2 - y))
         picked = part if picked is None else picked.union(part)
-    rows = docs.select(docs[key].alias("d"), docs[text].alias("t")).join(F.broadcast(picked), F.col("d") == F.col("k")).select("d", "t", "y").collect()  # at most 3 * per_label keys
+    rows = docs.select(docs[key].alias("d"), F.substring(docs[text], 1, most_chars).alias("t")).join(F.broadcast(picked), F.col("d") == F.col("k")).select("d", "t", "y").collect()  # at most 3 * per_label keys
     rows = sorted({(r["y"], r["d"], r["t"] or "") for r in rows})
     return fitted([r[2] for r in rows], [r[0] for r in rows], shape)
 
