@@ -70,8 +70,8 @@ def edges(tables: dict[str, DataFrame], rules: Sequence[EdgeRule] = RULES) -> Da
     return valid_edges(reduce(DataFrame.unionByName, parts)).dropDuplicates()
 
 
-def edges_in_row(parsed: DataFrame) -> DataFrame:
-    """The same edges out of each parsed row alone, with no join: both ends of an edge come from one document.
+def edges_in_row(parsed: DataFrame, types: Sequence[str] | None = None) -> DataFrame:
+    """The same edges (of the given types) out of each parsed row alone, with no join: both ends come from one document.
 
     Rows with equal source_id must be one document; then this equals `edges` and its only shuffle is the dedupe.
     """
@@ -92,14 +92,17 @@ def edges_in_row(parsed: DataFrame) -> DataFrame:
     def named(field):
         return F.filter(field, lambda p: p["name"] != "")
 
-    every = F.concat(
-        F.array(of("FROM_SOURCE", pub, F.col("source_id")), of("HAS_PUBLICATION", app, pub), of("OF_APPLICATION", pub, app)),
-        F.transform("ipc", lambda x: of("HAS_IPC", pub, T.ipc_long(x))),
-        F.transform("cpc", lambda x: of("HAS_CPC", pub, T.cpc_long(x))),
-        F.transform(named("applicants"), lambda p: of("APPLIES_FOR", T.organisation_key(p["iid"], p["name"], p["ctry"]), app)),
-        F.transform(named("inventors"), lambda p: of("INVENTED", T.inventor_key(p["name"], p["city"], p["ctry"]), app)),
-        F.transform(named("attorneys"), lambda p: of("REPRESENTS", T.attorney_key(p["iid"], p["name"], p["city"], p["ctry"]), app)),
-    )
+    makers = {
+        "FROM_SOURCE": lambda: F.array(of("FROM_SOURCE", pub, F.col("source_id"))),
+        "HAS_PUBLICATION": lambda: F.array(of("HAS_PUBLICATION", app, pub)),
+        "OF_APPLICATION": lambda: F.array(of("OF_APPLICATION", pub, app)),
+        "HAS_IPC": lambda: F.transform("ipc", lambda x: of("HAS_IPC", pub, T.ipc_long(x))),
+        "HAS_CPC": lambda: F.transform("cpc", lambda x: of("HAS_CPC", pub, T.cpc_long(x))),
+        "APPLIES_FOR": lambda: F.transform(named("applicants"), lambda p: of("APPLIES_FOR", T.organisation_key(p["iid"], p["name"], p["ctry"]), app)),
+        "INVENTED": lambda: F.transform(named("inventors"), lambda p: of("INVENTED", T.inventor_key(p["name"], p["city"], p["ctry"]), app)),
+        "REPRESENTS": lambda: F.transform(named("attorneys"), lambda p: of("REPRESENTS", T.attorney_key(p["iid"], p["name"], p["city"], p["ctry"]), app)),
+    }
+    every = F.concat(*[makers[t]() for t in types or makers])
     rows = parsed.where("source_id <> ''").select(F.explode(every).alias("e"), "source_id").where("e.from_id is not null and e.to_id is not null").select("e.*", "source_id")
     return valid_edges(rows).dropDuplicates()
 

@@ -41,11 +41,14 @@ def vertex_ids(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _aliased(label: str, key: str) -> tuple[Column, Column]:
-    new_label, new_key = F.col(label), F.col(key)
-    for (of, rel), (to, to_key) in ALIASES.items():
-        hit = (F.col(label) == of) if rel is None else (F.col(label) == of) & (F.col("rel_type") == rel)
-        new_label, new_key = F.when(hit, F.lit(to)).otherwise(new_label), F.when(hit, F.lit(to_key)).otherwise(new_key)
-    return new_label, new_key
+    """Label and key of the vertices that an end of an edge means, by label alone or by label and edge type."""
+    name = F.concat(F.col(label), F.lit("/"), F.col("rel_type"))
+
+    def known(which: int, old: str) -> Column:
+        table = F.create_map(*[F.lit(x) for (of, rel), to in ALIASES.items() for x in (of if rel is None else f"{of}/{rel}", to[which])])
+        return F.coalesce(table[name], table[F.col(label)], F.col(old))
+
+    return known(0, label), known(1, key)
 
 
 def resolve(edges: DataFrame, vertices: DataFrame, *, aliases: bool = True) -> DataFrame:

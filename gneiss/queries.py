@@ -6,6 +6,7 @@ import io
 import tarfile
 import zipfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from gneiss.operators import graph as G
 from gneiss.operators import ingest as I
 from gneiss.operators import nodes as N
 from gneiss.operators import status as S
-from gneiss.operators.parse import parse, split_failures
+from gneiss.operators.parse import failure, parse, split_failures
 from gneiss.plans.fixtures import application, kind, order_facts, patents, source_id, table
 from gneiss.schemas import FULLTEXT
 
@@ -89,8 +90,8 @@ def q07_publications(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"select appln_id, substr(appln_id,1,2) as appln_country, substr(appln_id,3,8) as appln_number, substr(appln_id,11) as appln_kind_code, day as appln_filing_date, case when o_orderkey%3=0 then '' else day end as gazette_date, case when o_orderkey%3=0 then '' else o_custkey::varchar end as gazette_issue, source_id, o_orderkey%3=0 as fails_if_strict from {_ORDERS}")
 def q08_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse(patents(spark, sf_dir, codes=False))
-    lost = split_failures(parsed, strict_application=True)[1].select("source_id", F.lit(True).alias("lost"))
-    return N.applications(parsed).join(lost, "source_id", "left").withColumn("fails_if_strict", F.coalesce("lost", F.lit(False))).drop("lost")
+    told = parsed.withColumn("fails_if_strict", failure(strict_application=True).isNotNull())
+    return N.applications(told, "fails_if_strict")
 
 
 _PARTY = "case when o_custkey%2=0 then 'ID'||o_custkey else '{0}' || lower(c_name)||'{1}|CC:'||n_name end"
@@ -102,7 +103,7 @@ _PARTY = "case when o_custkey%2=0 then 'ID'||o_custkey else '{0}' || lower(c_nam
     f"select 'attorney', case when o_custkey%2=0 then 'ID'||o_custkey else 'ATT:'||lower(c_name)||'|CITY:city '||c_nationkey||'|CC:'||n_name end, c_name, n_name, source_id from {_ORDERS} where o_orderkey%2=0"
 )
 def q09_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse(patents(spark, sf_dir, codes=False))
+    parsed = parse(patents(spark, sf_dir, codes=False)).persist(StorageLevel.DISK_ONLY)
     parts = [rows.select(F.lit(p).alias("party"), F.col(k).alias("key"), F.col(f"{p}_name").alias("name"), F.col(f"{p}_country").alias("country"), "source_id") for p, k, rows in (("applicant", "org_key", N.applicants(parsed)), ("inventor", "person_key", N.inventors(parsed)), ("attorney", "person_key", N.attorneys(parsed)))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -113,13 +114,13 @@ _LINES = f"{_ORDERS} o join lineitem on l_orderkey=o.o_orderkey join part on l_p
 @query(f"select p_brand as ipc_short_code, count(distinct pub_id) as n_publications, count(distinct o_orderkey||'|'||p_brand||' '||p_type) as n_edges from {_LINES} group by 1")
 def q10_publications_per_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse(patents(spark, sf_dir))
-    links = E.edges({"publication": N.publications(parsed), "ipc": N.ipc_codes(parsed)}, [r for r in E.RULES if r.rel_type == "HAS_IPC"])
+    links = E.edges_in_row(parsed, ("HAS_IPC",))  # both ends come from one document: no join
     return links.groupBy(T.ipc_short(F.col("to_id")).alias("ipc_short_code")).agg(F.countDistinct("from_id").alias("n_publications"), F.count(F.lit(1)).alias("n_edges"))
 
 
 @query(f"select distinct pub_id as from_id, 'HAS_IPC' as rel_type, 'IPC' as to_label, p_brand||' '||p_type as to_id, source_id from {_LINES}")
 def q11_ipc_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse(patents(spark, sf_dir))
+    parsed = parse(patents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
     links = E.edges({"publication": N.publications(parsed), "ipc": N.ipc_codes(parsed)}, [r for r in E.RULES if r.rel_type == "HAS_IPC"])
     return links.select("from_id", "rel_type", "to_label", "to_id", "source_id")
 
@@ -164,7 +165,7 @@ def q15_edge_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _graph(spark: SparkSession, sf_dir: str, aliases: bool) -> DataFrame:
-    parsed = parse(patents(spark, sf_dir))
+    parsed = parse(patents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)  # parsed once for edges and all vertices
     return G.resolve(E.edges_in_row(parsed), G.vertex_ids(N.node_tables(parsed)), aliases=aliases).groupBy("rel_type", "from_label", "to_label").agg(F.count(F.lit(1)).alias("n"))
 
 
