@@ -112,6 +112,13 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         yield from zip(*(b.column(b.schema.get_field_index(n)).to_pylist() for n in names), strict=True)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """A column name that df does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Bound the rows, and so the bytes, of what goes to Python at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import written
+from gneiss.llm.common import unused, written
 
 #: Each round of the search looks at this many exponents at once: five bisections in one pass over the sources.
 GRID = 32
@@ -103,11 +103,12 @@ def mixing_plan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
 
 def with_copies(docs: DataFrame, plan: DataFrame, *, key: str = "doc_id", source: str = "source", seed: int = 0) -> DataFrame:
     """docs as they are, each row as often as the plan passes over it, with `mix_pass` (from 0) added."""
-    p = plan.select(F.col("source").alias("mix_source"), F.col("full_passes").alias("mix_full"), F.col("cut_key").alias("mix_cut"))
-    more = F.coalesce(pass_key(key, source, seed, F.col("mix_full")) <= F.col("mix_cut"), F.lit(False))
-    copies = F.col("mix_full") + more.cast("long")
-    seen = docs.join(p, docs[source].eqNullSafe(F.col("mix_source"))).withColumn("mix_copies", copies).where("mix_copies > 0")
-    return seen.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_copies") - 1)).alias("mix_pass"))
+    of, full, cut = (unused(n, docs) for n in ("mix_source", "mix_full", "mix_cut"))
+    p = plan.select(F.col("source").alias(of), F.col("full_passes").alias(full), F.col("cut_key").alias(cut))
+    more = F.coalesce(pass_key(key, source, seed, p[full]) <= p[cut], F.lit(False))
+    copies = p[full] + more.cast("long")
+    seen = docs.join(p, docs[source].eqNullSafe(p[of])).where(copies > 0)
+    return seen.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("mix_pass"))
 
 
 def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", target_entropy: float | None = 0.98, max_repeats: float | None = 2.0, budget_tokens: int | None = None, block_tokens: int = 1 << 20, seed: int = 0, buckets: int = 1024) -> DataFrame:

@@ -91,18 +91,18 @@ def _first(pdf: pd.DataFrame, k: int, leaf: int) -> pd.DataFrame:
     """The k-th best score of each query within its own shard."""
     q = pdf[pdf["asks"]]
     if q.empty:
-        return pd.DataFrame({"id": [], "own": [], "v": [], "kth": []})
+        return pd.DataFrame({"id": pd.Series([], dtype="int64"), "own": pd.Series([], dtype="int64"), "v": pd.Series([], dtype=object), "kth": pd.Series([], dtype="Int64")})
     points, ids, own = _numbers(pdf["v"]), pdf["id"].to_numpy(), pdf["own"].to_numpy()
     rows = np.flatnonzero(pdf["asks"].to_numpy())
     found = search(KDTree(points, leaf), ids, own, points[rows], ids[rows], own[rows], np.full(len(rows), -np.inf), k)
-    return pd.DataFrame({"id": ids[rows], "own": own[rows], "v": q["v"].to_numpy(), "kth": [int(s.min()) if len(s) == k else None for _, s in found]}).astype({"kth": "Int64"})
+    return pd.DataFrame({"id": ids[rows], "own": own[rows], "v": list(q["v"]), "kth": [int(s.min()) if len(s) == k else None for _, s in found]}).astype({"kth": "Int64"})
 
 
 def _second(pdf: pd.DataFrame, k: int, leaf: int) -> pd.DataFrame:
     """Candidates of a block of queries in one shard."""
     asks = pdf["asks"].to_numpy()
     if asks.all() or not asks.any():
-        return pd.DataFrame({"query_id": [], "query_own": [], "vec_id": [], "own": [], "score": []})
+        return pd.DataFrame({n: pd.Series([], dtype="int64") for n in ("query_id", "query_own", "vec_id", "own", "score")})
     numbers, ids, own = _numbers(pdf["v"]), pdf["id"].to_numpy(), pdf["own"].to_numpy()
     kth = pdf["kth"].astype("float64").fillna(-np.inf).to_numpy()[asks]
     there, t_ids, t_own = numbers[~asks], ids[~asks], own[~asks]

@@ -194,7 +194,7 @@ def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, epochs
 
     vectors = np.zeros((size, shape.dim), np.float32)
     weights = rng.normal(0, 1, (shape.dim, 2)).astype(np.float32)
-    bias = np.zeros(2)
+    bias = np.array([1.0, -1.0])
     seen, seen_w, seen_b = np.full(size, 1e-8, np.float32), np.full(weights.shape, 1e-6), np.full(2, 1e-6)
     for epoch in range(epochs):
         value = vectors @ (weights[:, 1] - weights[:, 0])
@@ -222,6 +222,9 @@ def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, epochs
             seen[hit] += (grad * grad).mean(axis=1)
             vectors[hit] -= rate * grad / np.sqrt(seen[hit])[:, None]
             grad_w, grad_b = mean.T @ err, err.sum(axis=0)
+            # an empty bag goes with every batch, as not toxic
+            empty = 1 / (1 + np.exp(bias[0] - bias[1]))
+            grad_b += 0.25 * empty * np.array([-1, 1])
             seen_w += grad_w * grad_w
             weights -= (0.1 * rate * grad_w / np.sqrt(seen_w)).astype(np.float32)
             seen_b += grad_b * grad_b
@@ -244,7 +247,8 @@ def calibrated(model: Model, texts: list[str], labels: list[int]) -> Model:
     edge = np.concatenate([[logit[order[0]] - 1], logit[order], [logit[order[-1]] + 1]])
     best = np.flatnonzero(cost <= cost.min() + 1e-12)
     run = best[: 1 + int(np.argmax(np.append(np.diff(best) != 1, True)))]
-    return Model(model.value, model.bias - float(edge[run[0]] + edge[run[-1] + 1]) / 2, model.shape)
+    # a text that says nothing is not toxic, wherever the border falls
+    return Model(model.value, min(-1.0, model.bias - float(edge[run[0]] + edge[run[-1] + 1]) / 2), model.shape)
 
 
 def held_out(key: Column) -> Column:

@@ -459,7 +459,7 @@ def test_sharding(spark):
     assert ((out["grown_shard"] == out["shard"]) | (out["grown_shard"] == 16)).all() and 150 < (out["grown_shard"] == 16).sum() < 330
     assert out["shard"].value_counts().between(180, 330).all()
     again = sharding.assign_shards(documents(spark, rows[:2000]), buckets=8).toPandas().set_index("doc_id")["shard"]
-    assert (again == out.set_index("doc_id")["shard"].reindex(again.index)).all()
+    assert (again == out[out["doc_id"] < 2000].set_index("doc_id")["shard"].reindex(again.index)).all()
 
 
 def test_growth_moves_only_into_the_new_shard(spark):
