@@ -164,13 +164,13 @@ def misspelt(text: str, rng: np.random.Generator, rate: float) -> str:
     return " ".join(words)
 
 
-def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, epochs: int = 6, batch: int = 256, rate: float = 0.3, bags_per_text: int = 16, hardest: int = 8, spoilt: float = 0.3, seed: int = 7) -> Model:
+def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, least_epochs: int = 6, steps: int = 2000, batch: int = 256, rate: float = 0.3, bags_per_text: int = 16, hardest: int = 8, spoilt: float = 0.3, seed: int = 7) -> Model:
     """Fit n-gram vectors and softmax weights together on bags of words of labelled texts.
 
     A text is as toxic as its likeliest bag. So of a text of label 1 only the likeliest bag, and those already above one
     half, are shown as toxic (in the first epoch, up to bags_per_text drawn at random); of the others are shown
     bags_per_text bags drawn anew in each epoch and the `hardest`, those that are taken for toxic most. Each text is also
-    shown with some words misspelt. N-grams that were never seen keep a zero vector and say nothing.
+    shown with some words misspelt. Few texts are gone over more often, up to about `steps` batches. N-grams that were never seen keep a zero vector and say nothing.
     """
     rng = np.random.default_rng(seed)
     size = 1 << shape.bits
@@ -196,13 +196,16 @@ def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, epochs
     weights = rng.normal(0, 1, (shape.dim, 2)).astype(np.float32)
     bias = np.array([1.0, -1.0])
     seen, seen_w, seen_b = np.full(size, 1e-8, np.float32), np.full(weights.shape, 1e-6), np.full(2, 1e-6)
-    for epoch in range(epochs):
+    epoch, epochs = 0, 1
+    while epoch < epochs:
         value = vectors @ (weights[:, 1] - weights[:, 0])
         sums = np.concatenate([[0], np.cumsum(value[buckets], dtype=np.float64)])
         logit = (sums[b] - sums[a]) / np.maximum(b - a, shape.filled) + bias[1] - bias[0]
         drawn, hard = rank_in_text(rng.random(len(doc))) < bags_per_text, rank_in_text(-logit)
         active = drawn if not epoch else np.where(y == 1, (hard == 0) | drawn & (logit > 0), drawn | (hard < hardest))
-        for chosen in np.array_split(rng.permutation(np.flatnonzero(active)), max(1, int(active.sum()) // batch)):
+        parts = np.array_split(rng.permutation(np.flatnonzero(active)), max(1, int(active.sum()) // batch))
+        epochs = max(least_epochs, min(40, -(-steps // len(parts))))
+        for chosen in parts:
             n = (b - a)[chosen]
             row = np.repeat(np.arange(len(chosen)), n)
             g = buckets[np.repeat(a[chosen] - (np.cumsum(n) - n), n) + np.arange(len(row))]
@@ -229,6 +232,7 @@ def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, epochs
             weights -= (0.1 * rate * grad_w / np.sqrt(seen_w)).astype(np.float32)
             seen_b += grad_b * grad_b
             bias -= 0.3 * rate * grad_b / np.sqrt(seen_b)
+        epoch += 1
     return Model((vectors @ (weights[:, 1] - weights[:, 0])).astype(np.float32), float(bias[1] - bias[0]), shape)
 
 
