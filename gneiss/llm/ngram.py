@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import U64, Rolling, components, mixed, small_batches, word_hashes, written
+from gneiss.llm.common import U64, Rolling, components, mixed, small_batches, unused, word_hashes, written
 from gneiss.llm.neardup import star_forest
 
 #: White space beyond ASCII, as str.split() knows it.
@@ -195,7 +195,8 @@ def jaccard_join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wo
 
 def keep_one(docs: DataFrame, joined: DataFrame, *, key: str = "doc_id") -> DataFrame:
     """docs without the documents that another of their group stands for; of rows that repeat a key one stays."""
-    gone = written(joined.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(), "ngram-gone")
-    left = docs.join(gone, docs[key] == gone["gone_id"], "left_anti")
+    name = unused("gone", docs)
+    gone = written(joined.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct(), "ngram-gone")
+    left = docs.join(gone, docs[key] == gone[name], "left_anti")
     repeated = joined.where("class_id = doc_id and n_links > 0").groupBy("doc_id").count().where("count > 1").limit(1).count()
     return left.dropDuplicates([key]) if repeated else left

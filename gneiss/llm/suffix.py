@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import Rolling, small_batches, word_hashes, words_of, written
+from gneiss.llm.common import Rolling, small_batches, unused, word_hashes, words_of, written
 from gneiss.llm.ngram import WIDE_SPACE
 
 
@@ -64,8 +64,11 @@ def _windows(batches: Iterator[pa.RecordBatch], least: int, gram: int) -> Iterat
         ids, starts, h1, h2 = [], [], [], []
         for doc, text, places in zip(*(c.to_pylist() for c in b.columns), strict=True):
             _, _, w = word_hashes(narrow(text))
+            if len(w) < least:
+                continue
             cover = np.zeros(len(w) - least + 2, np.int32)
             at = np.array(places, np.int64)
+            at = at[at <= len(w) - gram]
             np.add.at(cover, np.maximum(at + gram - least, 0), 1)
             np.add.at(cover, np.minimum(at, len(w) - least) + 1, -1)
             s = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
@@ -84,10 +87,11 @@ REPEATED, FIRST, LAST = 0, 1, 2
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compare each row with the one before it in sorted order.
 
-    Rows equal to their neighbour are repeated. A partition's first row is left open, and its first and last rows are
+    Rows of equal runs stand together, the earliest first; the others are repeated, but for copies of that very row (a
+    table's repeated rows). A partition's first row is left open, and its first and last rows are
     told apart, so that runs over a partition's border can be closed afterwards.
     """
-    part, before = TaskContext.get().partitionId(), None
+    part, before, origin = TaskContext.get().partitionId(), None, None
 
     def batch(h1, h2, doc, start, kind, part):
         return pa.record_batch([pa.array(h1, pa.int64()), pa.array(h2, pa.int32()), pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(kind, pa.int32()), pa.array(np.full(len(h1), part), pa.int32())], names=["h1", "h2", "doc_id", "start", "kind", "part"])
@@ -102,7 +106,12 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch(h1[:1], h2[:1], doc[:1], start[:1], [FIRST], part)
         else:
             same[0] = (h1[0], h2[0]) == before
-        before = (h1[-1], h2[-1])
+        begins = np.maximum.accumulate(np.where(same, -1, np.arange(len(h1))))
+        from_doc, from_start = doc[begins], start[begins]
+        if same[0]:
+            from_doc, from_start = np.where(begins < 0, origin[0], from_doc), np.where(begins < 0, origin[1], from_start)
+        before, origin = (h1[-1], h2[-1]), (from_doc[-1], from_start[-1])
+        same &= (doc != from_doc) | (start != from_start)
         last = h1[-1:], h2[-1:], doc[-1:], start[-1:]
         yield batch(h1[same], h2[same], doc[same], start[same], np.full(int(same.sum()), REPEATED), part)
     if before is not None:
@@ -140,8 +149,8 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     position, so a passage that a third of all documents share is spread over the sort like any other rows.
     Documents of equal text are taken up once; later ones are one passage if they have `least` words.
 
-    Words are parted by white space. Null or short texts have no passages; rows with a null key are left out; of rows
-    that repeat a key and a text the passages are reported once; other columns are ignored.
+    Words are parted by white space. Null or short texts have no passages; rows with a null key are left out; rows
+    that repeat a key are taken as one document; other columns are ignored.
     """
     spark = docs.sparkSession
     small_batches(spark, 1000)
@@ -151,7 +160,7 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     anchors = written(asked.mapInArrow(lambda it: _anchors(it, least, gram), "doc_id long, t1 long, t2 long, n_words int, places array<int>, keys array<long>"), "suffix-anchors")
     long = anchors.where(F.col("n_words") >= least)
     firsts = written(long.groupBy("t1", "t2", "n_words").agg(F.min("doc_id").alias("first")), "suffix-firsts")
-    named = long.join(firsts, ["t1", "t2", "n_words"])
+    named = long.dropDuplicates(["doc_id", "t1", "t2"]).join(firsts, ["t1", "t2", "n_words"])
     copies = named.where("doc_id <> first").select("doc_id", F.lit(0).alias("span_start"), F.col("n_words").alias("span_words"))
     sparse = named.where("doc_id = first").select("doc_id", F.explode(F.arrays_zip("places", "keys")).alias("s")).select("doc_id", F.col("s.places").alias("place"), F.col("s.keys").alias("gram_key"))
     shared = sparse.groupBy("gram_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram_key")
@@ -163,8 +172,8 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     in_order = stretches.repartitionByRange(parts, "h1", "h2", "doc_id", "start").sortWithinPartitions("h1", "h2", "doc_id", "start")
     compared = written(in_order.mapInArrow(_neighbours, "h1 long, h2 int, doc_id long, start int, kind int, part int"), "suffix-compared")
     # one first and one last row per partition: a first row whose run began in an earlier partition is repeated too
-    opening, closing = compared.where(F.col("kind") == FIRST), compared.where(F.col("kind") == LAST).select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), F.col("part").alias("l_part"))
-    late = opening.join(closing, (F.col("h1") == F.col("l1")) & (F.col("h2") == F.col("l2")) & (F.col("l_part") < F.col("part")), "left_semi")
+    opening, closing = compared.where(F.col("kind") == FIRST), compared.where(F.col("kind") == LAST).select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), F.col("part").alias("l_part"), F.col("doc_id").alias("l_doc"), F.col("start").alias("l_start"))
+    late = opening.join(closing, (F.col("h1") == F.col("l1")) & (F.col("h2") == F.col("l2")) & (F.col("l_part") < F.col("part")) & ((F.col("l_doc") != F.col("doc_id")) | (F.col("l_start") != F.col("start"))), "left_semi")
     again = compared.where(F.col("kind") == REPEATED).select("doc_id", "start").union(late.select("doc_id", "start"))
     merged = again.groupBy("doc_id").agg(F.collect_list("start").alias("starts")).mapInArrow(lambda it: _merge(it, least), SPANS)
     return merged.union(copies.distinct())
@@ -181,8 +190,9 @@ def _cut(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.Re
             begin, end = words_of(narrow(text))
             kept, at = [], 0
             for s, n in sorted(zip(starts, sizes, strict=True)):
-                kept.append(raw[at : begin[s]])
-                at = end[s + n - 1]
+                if s < len(begin):
+                    kept.append(raw[at : begin[s]])
+                    at = end[min(s + n, len(end)) - 1]
             kept.append(raw[at:])
             pieces = [p for p in (k.decode("utf-8", "surrogatepass").strip() for k in kept) if p]
             out.append("\n".join(pieces))
@@ -195,13 +205,14 @@ def without_passages(docs: DataFrame, passages: DataFrame, *, key: str = "doc_id
 
     small_batches(docs.sparkSession, 1000)
     per = passages.groupBy("doc_id").agg(F.collect_list(F.struct("span_start", "span_words")).alias("spans"))
-    per = per.select(F.col("doc_id").alias("__id"), F.col("spans.span_start").alias("__starts"), F.col("spans.span_words").alias("__sizes"))
-    both = docs.join(per, docs[key] == F.col("__id"), "left")
+    found, starts, sizes, cut = (unused(n, docs) for n in ("passages_of", "starts", "sizes", "is_cut"))
+    per = per.select(F.col("doc_id").alias(found), F.col("spans.span_start").alias(starts), F.col("spans.span_words").alias(sizes))
+    both = docs.join(per, docs[key] == per[found], "left")
     rest = [c for c in docs.columns if c != text]
-    lean = both.select(docs[text].alias("__text"), "__starts", "__sizes", *[docs[c] for c in rest], F.col("__starts").isNotNull().alias("__cut"))
-    out = docs.select(text, *rest).schema.add("__cut", "boolean")
+    lean = both.select(docs[text], per[starts], per[sizes], *[docs[c] for c in rest], per[starts].isNotNull().alias(cut))
+    out = docs.select(text, *rest).schema.add(cut, "boolean")
     arrow = to_arrow_schema(out)
-    done = lean.mapInArrow(lambda it: _cut(it, arrow), out).where(~F.col("__cut") | (F.col(text) != ""))
+    done = lean.mapInArrow(lambda it: _cut(it, arrow), out).where(~F.col(cut) | (F.col(text) != ""))
     if n_chars in docs.columns:
-        done = done.withColumn(n_chars, F.when(F.col("__cut"), F.length(text)).otherwise(F.col(n_chars)).cast(docs.schema[n_chars].dataType))
+        done = done.withColumn(n_chars, F.when(F.col(cut), F.length(text)).otherwise(F.col(n_chars)).cast(docs.schema[n_chars].dataType))
     return done.select(*docs.columns)
