@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -164,6 +165,24 @@ def misspelt(text: str, rng: np.random.Generator, rate: float) -> str:
     return " ".join(words)
 
 
+def chunks(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about `most` characters each."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= most or i == len(texts) - 1:
+            yield start, i + 1
+            start, size = i + 1, 0
+
+
+def chunk_bags(texts: list[str], first: int, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of the texts' n-grams; start and end of each bag that has any; the number of its text, from `first` on."""
+    stream = Stream(texts, shape)
+    buckets, border = stream.bag_grams()
+    a, b = border[stream.bag_start], border[stream.bag_end]
+    return buckets, a[b > a], b[b > a], stream.bag_doc[b > a] + first
+
+
 def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, least_epochs: int = 6, steps: int = 2000, batch: int = 256, rate: float = 0.3, bags_per_text: int = 16, hardest: int = 8, spoilt: float = 0.3, seed: int = 7) -> Model:
     """Fit n-gram vectors and softmax weights together on bags of words of labelled texts.
 
@@ -178,13 +197,25 @@ def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, least_
         p = min(max(sum(labels) / len(labels), 0.01), 0.99) if labels else 0.01
         return Model(np.zeros(size, np.float32), float(np.log(p / (1 - p))), shape)
     low = [t.lower() for t in texts]
-    stream = Stream(low + [misspelt(t, rng, spoilt) for t in low], shape)
-    buckets, border = stream.bag_grams()
-    a, b = border[stream.bag_start], border[stream.bag_end]
-    filled = b > a
-    a, b, doc = a[filled], b[filled], stream.bag_doc[filled]
+    low += [misspelt(t, rng, spoilt) for t in low]
+    grown, shift, bags = array("i"), [0], []  # the n-grams of all texts are held once, in a buffer that grows in place
+    for i, j in chunks(low):
+        own, *rest = chunk_bags(low[i:j], i, shape)
+        bags.append([rest[0] + shift[-1], rest[1] + shift[-1], rest[2]])
+        grown.frombytes(own.tobytes())
+        shift.append(len(grown))
+    buckets = np.frombuffer(grown, np.int32)
+    a, b, doc = (np.concatenate(x) for x in zip(*bags, strict=True))
     y = np.array(list(labels) * 2)[doc]
-    begin = np.searchsorted(doc, np.arange(stream.n_docs))
+    begin = np.searchsorted(doc, np.arange(len(low)))
+
+    def logits_now() -> np.ndarray:
+        value, out = vectors @ (weights[:, 1] - weights[:, 0]), []
+        for lo, hi in zip(shift, shift[1:], strict=False):
+            own = slice(*np.searchsorted(a, [lo, hi]))
+            sums = np.concatenate([[0], np.cumsum(value[buckets[lo:hi]], dtype=np.float64)])
+            out.append((sums[b[own] - lo] - sums[a[own] - lo]) / np.maximum(b[own] - a[own], shape.filled))
+        return np.concatenate(out) + bias[1] - bias[0]
 
     def rank_in_text(by: np.ndarray) -> np.ndarray:
         order = np.lexsort((by, doc))
@@ -198,14 +229,12 @@ def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, least_
     seen, seen_w, seen_b = np.full(size, 1e-8, np.float32), np.full(weights.shape, 1e-6), np.full(2, 1e-6)
     epoch, epochs = 0, 1
     while epoch < epochs:
-        value = vectors @ (weights[:, 1] - weights[:, 0])
-        sums = np.concatenate([[0], np.cumsum(value[buckets], dtype=np.float64)])
-        logit = (sums[b] - sums[a]) / np.maximum(b - a, shape.filled) + bias[1] - bias[0]
+        logit = logits_now()
         drawn, hard = rank_in_text(rng.random(len(doc))) < bags_per_text, rank_in_text(-logit)
         active = drawn if not epoch else np.where(y == 1, (hard == 0) | drawn & (logit > 0), drawn | (hard < hardest))
-        parts = np.array_split(rng.permutation(np.flatnonzero(active)), max(1, int(active.sum()) // batch))
-        epochs = max(least_epochs, min(40, -(-steps // len(parts))))
-        for chosen in parts:
+        batches = np.array_split(rng.permutation(np.flatnonzero(active)), max(1, int(active.sum()) // batch))
+        epochs = max(least_epochs, min(40, -(-steps // len(batches))))
+        for chosen in batches:
             n = (b - a)[chosen]
             row = np.repeat(np.arange(len(chosen)), n)
             g = buckets[np.repeat(a[chosen] - (np.cumsum(n) - n), n) + np.arange(len(row))]
@@ -259,7 +288,7 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1536, most_chars: int = 100_000, shape: Shape = Shape()) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1024, most_chars: int = 100_000, shape: Shape = Shape()) -> Model:
     """Train on at most `per_label` documents of label 1 and twice as many of label 0 (those of least hash), none held out,
     and of each on at most `most_chars` characters; scoring reads whole texts.
 
@@ -284,18 +313,10 @@ def fitted(texts: list[str], labels: list[int], shape: Shape = Shape()) -> Model
     return calibrated(model, [t for t, k in zip(texts, kept, strict=True) if k], [y for y, k in zip(labels, kept, strict=True) if k])
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model, schema: pa.Schema, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model: Model, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = [t or "" for t in b.column(0).to_pylist()]
-        scores, part, size = [], [], 0
-        for t in texts:
-            part.append(t.lower())
-            size += len(t)
-            if size >= most:
-                scores.append(model.score(part))
-                part, size = [], 0
-        if part:
-            scores.append(model.score(part))
+        scores = [model.score([t.lower() for t in texts[i:j]]) for i, j in chunks(texts)]
         s = pa.array(np.concatenate(scores) if scores else np.empty(0), pa.float64())
         yield pa.record_batch([*b.columns[1:], s], schema=schema)
 
@@ -313,7 +334,7 @@ def scored(docs: DataFrame, model: Model, *, text: str = "text", score: str = "s
     return lean.mapInArrow(lambda it: _score(it, held.value, arrow), out)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1536, threshold: float = 0.5) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1024, threshold: float = 0.5) -> DataFrame:
     """Fit on the labelled rows that are not held out and score every document: doc_id, held_out, score, predicted.
 
     A score is the probability of the likeliest stretch of words of the whole text. Null texts count as empty; a text
