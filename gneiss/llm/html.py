@@ -29,6 +29,9 @@ BOILERPLATE = frozenset(
 #: Elements that keep their place whatever their names say.
 FRAMES = frozenset("html body article main".split())
 
+#: Elements that are menus if they hold little but links.
+MENUS = frozenset("div ul ol table tr td section center p".split())
+
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PART = re.compile(r"[a-z]+")
@@ -151,18 +154,22 @@ def main_text(source: str | None) -> str:
     Boilerplate elements go first. Each paragraph then earns a point, a point per comma and up to three for its length,
     and passes them to its ancestors: all to the parent, half to the grandparent, less further up. A container's points
     are discounted by the part of its text that is links. The best container is taken together with siblings that score
-    a fifth as much or are long paragraphs. Nothing else is dropped. Null or empty pages give the empty text.
+    a fifth as much or are long paragraphs; within an <article> it is the article. Outside of articles, blocks and lists
+    that are little but links are menus and go too. Nothing else is dropped. Null or empty pages give the empty text.
     """
     if not source:
         return ""
     root = parse(source)
     skip: set[int] = set()
+    inside_article: set[int] = set()
     order: list[Node] = []
     stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
         order.append(node)
         inside = inside or node.tag in ("article", "main")
+        if inside:
+            inside_article.add(id(node))
         for part in node.parts:
             if isinstance(part, Node):
                 if is_boilerplate(part, inside):
@@ -185,6 +192,9 @@ def main_text(source: str | None) -> str:
                 else:
                     texts.append(own.get(id(part), ""))
         node.length, node.linked = length, length if node.tag == "a" else linked
+        if node.tag in MENUS and linked > 0.66 * length and id(node) not in inside_article and sum(p.tag in ("a", "li") or p.linked > 0 for p in node.parts if isinstance(p, Node)) > 1:
+            skip.add(id(node))
+            node.length = node.linked = 0
         own[id(node)] = " ".join(texts)
         if node.tag in ("p", "pre", "td", "blockquote") or node.tag in BLOCK and not holds_block and node.tag not in ("h1", "h2", "h3", "h4", "h5", "h6", "li"):
             text = own[id(node)]
@@ -204,6 +214,10 @@ def main_text(source: str | None) -> str:
                 best, best_score = node, node.score
     if best is None:
         best = next((n for t in ("article", "main", "body") for n in order if n.tag == t), root)
+    up = best
+    while up is not None and up.tag != "article":
+        up = up.parent
+    best = up or best  # what is left of an article is all its own
     taken: list = [best]
     if best.parent is not None and best.tag not in FRAMES:
         least = max(10.0, best_score * 0.2)

@@ -433,6 +433,21 @@ def test_main_text():
     assert html.main_text(page) == "Head & line\nFirst, with a link, and more text; enough, surely, to count as one.\nSecond boldtext, also long, and with commas, too.\none\ntwo\ncell\nnext"
 
 
+def test_main_text_of_an_article():
+    body = "".join(f"<p>Paragraph {i}, with commas, and words enough to be taken for text.</p>" for i in range(30))
+    page = f"""<body><div><a href=1>Home</a> <a href=2>News</a></div><ul><li><a href=3>One</a><li><a href=4>Two</a></ul><main><article><header><h1>Title</h1><p class=byline>By A</p></header>
+    <div class=body>{body}<p>See <a href=x>this</a>.</p><ul><li><a href=5>Ref</a><li><a href=6>Other</a></ul></div><div class="share-buttons">share</div><section id="reader-comments"><p>Nice, really, very, very nice text.</p></section></article></main>
+    <div role=complementary><p>side, side, side</p></div><div class=ad-slot>Buy, now, here</div></body>"""
+    lines = html.main_text(page).split("\n")
+    assert lines[:2] == ["Title", "By A"] and lines[-3:] == ["See this.", "Ref", "Other"] and len(lines) == 35
+
+
+def test_main_text_without_an_article():
+    page = """<body><div><a href=1>Home</a> <a href=2>News</a></div><div id=wrap><h1>Title</h1><div class=text><p>One, two, three, and so on for a while, so that it counts.</p><p>Four, five, six.</p></div><div class=comments><p>Nice, nice, nice</p></div></div>
+    <div><ul><li><a href=3>One</a><li><a href=4>Two</a></ul></div></body>"""
+    assert html.main_text(page) == "Title\nOne, two, three, and so on for a while, so that it counts.\nFour, five, six."
+
+
 @pytest.mark.parametrize("page,text", [(None, ""), ("", ""), ("<nav>x</nav>", ""), ("plain &lt; text", "plain < text"), ("<p>a</p><p>b", "a\nb"), ("<article><p><b>x<br></article><footer>f</footer>", "x"), ("<div><p>one</p>tail</div>", "one\ntail"), ("<p>a <i>b<p>c</i> d", "a b\nc d"), ("<", "<"), ("<!-- a", ""), ("<script>x", ""), ("<p>&#65;&unknown;", "A&unknown;")])
 def test_main_text_odd(page, text):
     assert html.main_text(page) == text
