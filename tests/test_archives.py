@@ -50,9 +50,9 @@ def test_walk():
 def test_walk_tar_and_errors():
     assert [n for n, _, _ in names(tarred(**{"DOC/a.zip": zipped(**{"q.xml": b"<q/>"})}), "T.tar")] == ["T.tar::DOC/a.zip::q.xml"]
     assert "unsupported" in names(b"", "T.rar")[0][2] and names(b"junk", "T.zip")[0][2].startswith("BadZipFile")
-    data = bytearray(zipped(**{"DOC/a.xml": b"<a/>" * 50}))
-    data[45] ^= 0xFF
-    assert names(bytes(data), "T.zip", crc=True)[0][2]
+    whole = zipped(**{"DOC/a.xml": bytes(range(256))})
+    data = whole.replace(bytes(range(65, 75)), bytes(range(75, 65, -1)), 1)
+    assert data != whole and names(data, "T.zip", crc=True)[0][2].startswith("BadZipFile")
 
 
 def test_filter():

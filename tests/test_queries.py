@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -21,7 +22,7 @@ def duck():
 
 def canonical(df):
     df = df[sorted(df.columns)].astype(object)
-    return sorted(map(repr, (tuple(None if x is None or x != x else int(x) if isinstance(x, float) and x == int(x) else x for x in r) for r in df.itertuples(index=False, name=None))))
+    return sorted(map(repr, (tuple(None if pd.isna(x) else int(x) if isinstance(x, float) and x == int(x) else x for x in r) for r in df.itertuples(index=False, name=None))))
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
