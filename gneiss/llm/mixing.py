@@ -25,10 +25,9 @@ def pass_key(key: str, source: str, seed: int, epoch: Column) -> Column:
 
 def source_tokens(docs: DataFrame, *, text: str = "text", source: str = "source") -> DataFrame:
     """Rows (source, tokens, n_docs, share): combined before the shuffle, so one huge source costs no task more than another."""
-    per = docs.groupBy(F.col(source).alias("source")).agg(F.sum(n_tokens(text)).alias("tokens"), F.count(F.lit(1)).alias("n_docs"))
-    total = per.agg(F.sum("tokens").alias("total"))
-    # `total` is one row
-    return per.join(F.broadcast(total), F.lit(True), "left").select("source", "tokens", "n_docs", (F.col("tokens") / F.col("total")).alias("share"))
+    per = written(docs.groupBy(F.col(source).alias("source")).agg(F.sum(n_tokens(text)).alias("tokens"), F.count(F.lit(1)).alias("n_docs")), "mix-sources")
+    total = per.agg(F.sum("tokens")).first()[0] or 1
+    return per.select("source", "tokens", "n_docs", (F.col("tokens") / F.lit(float(total))).alias("share"))
 
 
 def exponent_for(shares: DataFrame, *, target_entropy: float | None, max_repeats: float | None, rounds: int = 8) -> float:
@@ -76,15 +75,14 @@ def mixing_plan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
     the first documents of one more permutation, up to the last that ends within b: those whose pass_key is at most
     cut_key (null: none). Running sums are taken per hash range, never over a whole source in one task.
     """
-    per = written(source_tokens(docs, text=text, source=source), "mix-sources")
+    per = source_tokens(docs, text=text, source=source)
     x = exponent_for(per, target_entropy=target_entropy, max_repeats=max_repeats)
     power = F.pow("share", F.lit(x))
-    sums = per.agg(F.sum(power).alias("z"), F.sum("tokens").alias("total"), F.max(F.col("tokens") / power).alias("steepest"))
-    budget = F.lit(float(budget_tokens)) if budget_tokens is not None else F.col("z") * F.col("steepest")
+    z, steepest = per.agg(F.sum(power), F.max(F.col("tokens") / power)).first()
+    budget = float(budget_tokens) if budget_tokens is not None else (z or 1.0) * (steepest or 1.0)
     plan = (
-        per.join(F.broadcast(sums), F.lit(True), "left")  # one row
-        .withColumn("weight", power / F.col("z"))
-        .withColumn("budget", F.col("weight") * budget)
+        per.withColumn("weight", power / F.lit(z or 1.0))
+        .withColumn("budget", F.col("weight") * F.lit(budget))
         .withColumn("full_passes", F.floor(F.col("budget") / F.col("tokens") + F.lit(1e-9)).cast("long"))
         .withColumn("rest", F.greatest(F.lit(0.0), F.col("budget") - F.col("full_passes") * F.col("tokens")))
         .select("source", "tokens", "n_docs", "share", "weight", "budget", "full_passes", "rest")
