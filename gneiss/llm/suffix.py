@@ -163,7 +163,8 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     named = long.dropDuplicates(["doc_id", "t1", "t2"]).join(firsts, ["t1", "t2", "n_words"])
     copies = named.where("doc_id <> first").select("doc_id", F.lit(0).alias("span_start"), F.col("n_words").alias("span_words"))
     sparse = named.where("doc_id = first").select("doc_id", F.explode(F.arrays_zip("places", "keys")).alias("s")).select("doc_id", F.col("s.places").alias("place"), F.col("s.keys").alias("gram_key"))
-    shared = sparse.groupBy("gram_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram_key")
+    # written, so that the join below has a shuffle of its own on both sides and a very common key can be split
+    shared = written(sparse.groupBy("gram_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram_key"), "suffix-shared")
     wanted = sparse.join(shared, "gram_key", "left_semi").groupBy("doc_id").agg(F.collect_list("place").alias("places"))  # at most a document's own positions
     wanted = written(wanted.withColumnRenamed("doc_id", "at_id"), "suffix-wanted")
     distinct = lean.join(wanted, lean["doc_id"] == wanted["at_id"])
