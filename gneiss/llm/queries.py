@@ -35,7 +35,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gneiss.llm.warc import derive, responses_of
 
-    return derive(responses_of(table(spark, sf_dir, "pages")), bodies=False).withColumnRenamed("key", "page_id").drop("record")
+    return derive(responses_of(table(spark, sf_dir, "pages"))).withColumnRenamed("key", "page_id")
 
 
 def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -346,6 +346,22 @@ def test_warc_gzip_and_foreign(spark):
     assert all(bytes(x["record"]).endswith(b"plain\ntext\r\n\r\n") for x in got if x["record_type"] == "conversion")
 
 
+def test_warc_query_returns_records(spark, tmp_path):
+    from gneiss.llm import queries
+
+    page = "<title>T &amp; u</title><p>Hi <b>there</b><p>more<a href='/y'>y</a>"
+    spark.createDataFrame([(1, "http://a/x", page), (2, None, None)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    rows = queries.op4_warc(spark, str(tmp_path)).collect()
+    assert Counter((x["page_id"], x["record_type"]) for x in rows) == {(i, t): 1 for i in (1, 2) for t in ("metadata", "conversion")}
+    for x in rows:
+        (own, content), = warc.read_records(bytes(x["record"]))
+        assert own["WARC-Record-ID"] == x["record_id"] and warc.digest(content) == x["block_digest"] and len(content) == x["content_length"]
+        if x["page_id"] == 1 and x["record_type"] == "conversion":
+            assert content.decode().endswith("Hi there\nmorey")
+        if x["page_id"] == 1 and x["record_type"] == "metadata":
+            assert "T & u" in content.decode() and '"url": "/y"' in content.decode()
+
+
 # ---- toxicity
 
 
