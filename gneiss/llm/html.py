@@ -29,6 +29,18 @@ BOILERPLATE = frozenset(
 #: Elements that keep their place whatever their names say.
 FRAMES = frozenset("html body article main".split())
 
+#: Of these, words that also name parts of an article, as in "article-header" or "legal-history".
+SUBJECTS = frozenset("header banner masthead promotion navigation menu discussion respond related popular trending follow sharing register search cookies notice notices notification alert overlay copyright legal disclaimer tags form rail aside sponsor".split())
+#: Of these, words of readers' remarks, which may well be longer than the article.
+REMARKS = frozenset("comment comments commentlist disqus reply replies".split())
+#: Words that say nothing about what is inside; with these a boilerplate name stays one.
+NEUTRAL = frozenset("area bar block bottom box button buttons center container global icon icons inner item items left link links list outer panel posts reader right section site slot top user wrap wrapper".split())
+#: First words of names that tell a state of the page, as in "has-sidebar".
+STATES = frozenset("has no with without".split())
+#: Elements that are dropped by their tag unless they hold the article or most of the page, as a page-wide form does.
+HOLDERS = frozenset(("form", "fieldset"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 #: Elements that are menus if they hold little but links.
 MENUS = frozenset("div ul ol table tr td section center p".split())
 
@@ -135,32 +147,142 @@ def blocks(top: list[Node | str], skip=frozenset()) -> list[str]:
     return out
 
 
-def is_boilerplate(node: Node, in_article: bool) -> bool:
-    """Whether an element is dropped before scoring: by its tag, by its names, or because it is hidden."""
-    tag = node.tag
-    if tag in DROPPED or tag == "header" and not in_article:
+def is_out(node: Node, a: dict[str, str], in_article: bool) -> bool:
+    """Whether an element is dropped whatever it holds: by its tag or because it is hidden."""
+    if node.tag in DROPPED - HOLDERS or node.tag == "header" and not in_article:
         return True
-    if tag in FRAMES or not node.raw:
+    if node.tag in FRAMES or not a:
         return False
+    return "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in a.get("style", "").replace(" ", "").lower()
+
+
+def named(a: dict[str, str]) -> tuple[bool, frozenset[str]]:
+    """Whether class, id or role surely mark boilerplate, and the words of them that may."""
+    sure, found = False, set()
+    for name in f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}".lower().split():
+        words = NAME_PART.findall(name)
+        hits = BOILERPLATE.intersection(words)
+        if hits and words[0] not in STATES:
+            found |= hits
+            sure |= not hits <= SUBJECTS and all(w in hits or w in NEUTRAL or len(w) == 1 for w in words)
+    return sure, frozenset(found)
+
+
+def boilerplate(root: Node, strict: bool) -> set[int]:
+    """Ids of the topmost elements that are dropped before scoring.
+
+    What holds the longest article is never dropped for its names. Names that surely mark boilerplate, if `strict`, drop
+    an element; other ones and forms drop it if it is link-dense, or if it is short (without a heading) or not named
+    like a part of an article, and does not hold half of the page's text either.
+    """
+    skip: set[int] = set()
+    order: list[tuple[Node, bool, bool]] = []
+    names: dict[int, tuple[bool, frozenset[str]]] = {}
+    stack = [(root, False, False)]
+    while stack:
+        node, inside, under = stack.pop()
+        order.append((node, inside, under))
+        inside = inside or node.tag in ("article", "main")
+        for part in node.parts:
+            if isinstance(part, Node):
+                a = part.attributes() if part.raw else {}
+                if is_out(part, a, inside):
+                    skip.add(id(part))
+                    continue
+                said = named(a) if a else (False, frozenset())
+                if said[1] or part.tag in HOLDERS:
+                    names[id(part)] = said
+                stack.append((part, inside, under or said[0]))
+    if not names:
+        return skip
+    headed: set[int] = set()
+    for node, _, _ in reversed(order):  # children before parents
+        node.length = node.linked = 0
+        for part in node.parts:
+            if isinstance(part, str):
+                node.length += len(part.strip())
+            elif id(part) not in skip:
+                node.length += part.length
+                node.linked += part.linked
+                if id(part) in headed:
+                    headed.add(id(node))
+        if node.tag == "a":
+            node.linked = node.length
+        if node.tag in HEADINGS and node.length:
+            headed.add(id(node))
+    prose = {id(node): node.length - node.linked for node, _, _ in order}
+    holds: set[int] = set()
+    frames = [(node, under) for node, _, under in order if node.tag in ("article", "main") and prose[id(node)]]
+    if any(not under for _, under in frames):
+        frames = [(node, under) for node, under in frames if not under]
+    for tag in ("article", "main"):
+        up = max((node for node, _ in frames if node.tag == tag), key=lambda n: prose[id(n)], default=None)
+        while up is not None:
+            holds.add(id(up))
+            up = up.parent
+    total, below = 0, set()
+    for node, _, _ in order:  # the page's text without what is surely dropped
+        if strict and names.get(id(node), (False,))[0] and id(node) not in holds or node.parent is not None and id(node.parent) in below:
+            below.add(id(node))
+        else:
+            total += sum(len(p.strip()) for p in node.parts if isinstance(p, str))
+    for node, inside, _ in order:
+        if id(node) not in names or id(node) in holds or node.tag in FRAMES:
+            continue
+        sure, words = names[id(node)]
+        keep = False
+        if not (strict and sure) and node.linked <= 0.5 * node.length:
+            keep = not words & REMARKS and 2 * prose[id(node)] >= total > 0
+            own = node.tag not in HOLDERS and words <= SUBJECTS and not sure
+            keep = keep or own and (id(node) in headed or prose[id(node)] >= 80) and (inside or is_compound(node))
+        if not keep:
+            skip.add(id(node))
+    return skip
+
+
+def is_compound(node: Node) -> bool:
+    """Whether some name joins a boilerplate word with one of another kind."""
     a = node.attributes()
-    if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in a.get("style", "").replace(" ", "").lower():
+    return any(BOILERPLATE.intersection(w) and any(x not in BOILERPLATE and x not in NEUTRAL for x in w) for w in map(NAME_PART.findall, f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}".lower().split()))
+
+
+def beside(part: Node, best_score: float, skip: set[int]) -> bool:
+    """Whether an element next to the best container is taken with it, by its own text and links."""
+    if part.fed and part.score >= max(10.0, best_score * 0.2):
         return True
-    return any(w in BOILERPLATE for w in NAME_PART.findall(f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}".lower()))
+    if not part.length or part.linked >= 0.25 * part.length and part.tag not in HEADINGS:
+        return False
+    if part.tag in HEADINGS or part.tag in ("ul", "ol", "dl", "table", "pre", "blockquote", "figure") or part.length > 80:
+        return True
+    stack = [part]
+    while stack:
+        for x in stack.pop().parts:
+            if isinstance(x, Node) and id(x) not in skip:
+                if x.tag in HEADINGS:
+                    return True
+                stack.append(x)
+    return not part.linked and re.search(r"[.!?。！？](\s|$)", "\n".join(blocks([part], skip))) is not None
 
 
 def main_text(source: str | None) -> str:
     """The article of a page.
 
-    Boilerplate elements go first. Each paragraph then earns a point, a point per comma and up to three for its length,
-    and passes them to its ancestors: all to the parent, half to the grandparent, less further up. A container's points
-    are discounted by the part of its text that is links. The best container is taken together with siblings that score
-    a fifth as much or are long paragraphs; within an <article> it is the article. Outside of articles, blocks and lists
-    that are little but links are menus and go too. Nothing else is dropped. Null or empty pages give the empty text.
+    Boilerplate elements go first, by their tag, or by their names where their content does not speak against it. Each
+    paragraph then earns a point, a point per comma and up to three for its length, and passes them to its ancestors: all
+    to the parent, half to the grandparent, less further up. A container's points are discounted by the part of its text
+    that is links. The best container is taken together with siblings that score a fifth as much or hold text of their
+    own and few links: headings, lists, tables, loose text, and blocks that are long, headed or whole sentences; within an
+    <article> it is the article. Outside of articles, blocks and lists that are little but links are menus and go too.
+    A page of which nothing is left is read again with names counting for less. Null or empty pages give the empty text.
     """
     if not source:
         return ""
     root = parse(source)
-    skip: set[int] = set()
+    return scored_text(root, boilerplate(root, True)) or scored_text(root := parse(source), boilerplate(root, False))
+
+
+def scored_text(root: Node, skip: set[int]) -> str:
+    """The best container's text of a page without the elements in `skip`."""
     inside_article: set[int] = set()
     order: list[Node] = []
     stack = [(root, False)]
@@ -170,12 +292,7 @@ def main_text(source: str | None) -> str:
         inside = inside or node.tag in ("article", "main")
         if inside:
             inside_article.add(id(node))
-        for part in node.parts:
-            if isinstance(part, Node):
-                if is_boilerplate(part, inside):
-                    skip.add(id(part))
-                else:
-                    stack.append((part, inside))
+        stack.extend((part, inside) for part in node.parts if isinstance(part, Node) and id(part) not in skip)
     own: dict[int, str] = {}
     for node in reversed(order):  # children before parents
         length, linked, texts, holds_block = 0, 0, [], False
@@ -220,16 +337,23 @@ def main_text(source: str | None) -> str:
     best = up or best  # what is left of an article is all its own
     taken: list = [best]
     if best.parent is not None and best.tag not in FRAMES:
-        least = max(10.0, best_score * 0.2)
-        taken = []
+        taken, run = [], []
+
+        def close() -> None:
+            size = sum(len(p.strip()) if isinstance(p, str) else p.length for p in run)
+            if sum(p.linked for p in run if isinstance(p, Node)) < 0.5 * size:
+                taken.extend(run)
+            run.clear()
+
         for part in best.parent.parts:
-            if part is best:
+            if isinstance(part, str) or part.tag not in BLOCK:
+                if isinstance(part, str) or id(part) not in skip:
+                    run.append(part)
+                continue
+            close()
+            if part is best or id(part) not in skip and beside(part, best_score, skip):
                 taken.append(part)
-            elif isinstance(part, Node) and id(part) not in skip:
-                density = part.linked / part.length if part.length else 0
-                text = own.get(id(part), "")
-                if part.fed and part.score >= least or part.tag == "p" and density < 0.25 and (part.length > 80 or part.length and not density and re.search(r"\.(\s|$)", text)) or part.tag in ("h1", "h2", "h3", "h4", "h5", "h6") and part.length:
-                    taken.append(part)
+        close()
     return "\n".join(blocks(taken, skip))
 
 

@@ -464,6 +464,28 @@ def test_main_text_without_an_article():
     assert html.main_text(page) == "Title\nOne, two, three, and so on for a while, so that it counts.\nFour, five, six."
 
 
+TEXT = "<p>One, two, three, and so on for a while, so that it counts.</p><p>Four, five, six, and more of it.</p>"
+LINES = "One, two, three, and so on for a while, so that it counts.\nFour, five, six, and more of it."
+LONG = "The law on this matter, as it stood, was changed many times, and not always for the better, as courts found."
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f'<body><div class="layout has-sidebar"><article>{TEXT}</article><div class="sidebar"><p>Short, teaser</p></div></div></body>', LINES),
+        (f'<body><div class="sidebar-layout"><div class="text">{TEXT}</div><div class="sidebar"><p>Short, teaser</p></div></div></body>', LINES),
+        (f'<article><div class="article-header"><h1>Headline</h1></div>{TEXT}</article>', f"Headline\n{LINES}"),
+        (f'<article>{TEXT}<section id="legal-history"><h2>Law</h2><p>{LONG}</p></section><div class="post-comments"><p>{LONG}</p></div></article>', f"{LINES}\nLaw\n{LONG}"),
+        (f'<body><form id="aspnetForm"><div class=nav><a href=1>Home</a></div><div class="text">{TEXT}</div></form></body>', LINES),
+        (f'<body><div class="widget"><article>{TEXT}</article></div></body>', LINES),
+        (f"<body><article>{TEXT}</article><div id=comments><article><p>{LONG * 3}</p></article></div></body>", LINES),
+        (f"<body><div id=wrap>Loose <b>text</b> here<div>{TEXT * 4}</div><ul><li>one<li>two</ul><div>{LONG}</div><table><tr><td>cell</table><ul><li><a href=1>a</a><li><a href=2>b</a></ul>End</div></body>", "Loose text here\n" + f"{LINES}\n" * 4 + f"one\ntwo\n{LONG}\ncell\nEnd"),
+    ],
+)
+def test_main_text_names_and_siblings(page, text):
+    assert html.main_text(page) == text
+
+
 @pytest.mark.parametrize("page,text", [(None, ""), ("", ""), ("<nav>x</nav>", ""), ("plain &lt; text", "plain < text"), ("<p>a</p><p>b", "a\nb"), ("<article><p><b>x<br></article><footer>f</footer>", "x"), ("<div><p>one</p>tail</div>", "one\ntail"), ("<p>a <i>b<p>c</i> d", "a b\nc d"), ("<", "<"), ("<!-- a", ""), ("<script>x", ""), ("<p>&#65;&unknown;", "A&unknown;")])
 def test_main_text_odd(page, text):
     assert html.main_text(page) == text
