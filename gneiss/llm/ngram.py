@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gneiss.llm.common import U64, Rolling, components, mixed, small_batches, unused, word_hashes, written
@@ -65,7 +65,7 @@ class Forest:
         return node.astype(np.int64)
 
 
-SIGNED = "doc_id long, n int, f1 long, f2 long, nodes array<long>"
+SIGNED = "doc_id long, text_hash long, n int, f1 long, f2 long, nodes array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch], forest: Forest, words: int, depth: int) -> Iterator[pa.RecordBatch]:
@@ -80,7 +80,7 @@ def _sign(batches: Iterator[pa.RecordBatch], forest: Forest, words: int, depth:
                 nodes.append(forest.prefixes(s, depth))
             ends.append(ends[-1] + forest.trees * bool(len(s)))
         flat = np.concatenate(nodes) if nodes else np.empty(0, np.int64)
-        yield pa.record_batch([b.column(0), pa.array(n, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["doc_id", "n", "f1", "f2", "nodes"])
+        yield pa.record_batch([b.column(0), b.column(2), pa.array(n, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["doc_id", "text_hash", "n", "f1", "f2", "nodes"])
 
 
 def similar_pairs(sets: list[np.ndarray], first: list[int], second: list[int], least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +142,8 @@ def _verify(batches: Iterator[pa.RecordBatch], words: int, least: float) -> Iter
             if r[:3] != key:
                 yield from flush()
                 rows, key = [], r[:3]
-            rows.append(r)
+            if not rows or rows[-1][3] != r[3]:  # rows that repeat a key and a text come one after another
+                rows.append(r)
     yield from flush()
 
 
@@ -150,7 +151,8 @@ def jaccard_join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wo
     """Link documents whose sets of `words`-word shingles have Jaccard similarity >= least.
 
     One row per document: doc_id, class_id (smallest id with the same shingles), n_links (other documents linked
-    directly), component_id (smallest id reachable by links), kept (doc_id = component_id).
+    directly), component_id (smallest id reachable by links), kept (doc_id = component_id); for `keep_one` also
+    text_hash and group_id, a number of the component that holds where rows share an id.
 
     Documents of equal shingle sets are one class and are joined once. Each class is signed by `trees` MinHash tries;
     prefixes are shortened from `longest` until a pair at the threshold shares one with probability `recall`. Classes of
@@ -165,38 +167,49 @@ def jaccard_join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wo
     small_batches(docs.sparkSession, 1000)
     depth = prefix_depth(least, trees, longest, recall)
     forest = Forest(trees, depth)
-    lean = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+    lean = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     signed = written(lean.mapInArrow(lambda it: _sign(it, forest, words, depth), SIGNED), "ngram-signed")
     full = signed.where("n > 0 and doc_id is not null")
-    classes = written(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min_by("nodes", "doc_id").alias("nodes")), "ngram-classes")
-    node = classes.select("rep", F.explode("nodes").alias("node"))
-    heads = node.groupBy("node").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last").drop("last")
-    ties = node.join(heads, "node").where("rep <> head").select("rep", "head").distinct()
-    groups = written(components(ties, "rep", "head", "ngram-cc").select(F.col("id"), F.col("component").alias("grp")), "ngram-groups")
+    classes = written(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min_by(F.struct("nodes", "text_hash"), "doc_id").alias("of")).select("f1", "f2", "n", "rep", "weight", "of.nodes", "of.text_hash", F.col("f1").bitwiseXOR(F.col("f2")).alias("cid")), "ngram-classes")
+    node = classes.select("cid", F.explode("nodes").alias("node"))
+    heads = node.groupBy("node").agg(F.min("cid").alias("head"), F.max("cid").alias("last")).where("head < last").drop("last")
+    ties = node.join(heads, "node").where("cid <> head").select("cid", "head").distinct()
+    groups = written(components(ties, "cid", "head", "ngram-cc").select(F.col("id"), F.col("component").alias("grp")), "ngram-groups")
     sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("blocks"))
-    weights = classes.select(F.col("rep").alias("w_id"), "weight")
-    member = groups.join(sizes, "grp").join(weights, F.col("id") == F.col("w_id")).select("id", "grp", "blocks", "weight", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")).dropDuplicates(["id"])
-    found = lean.join(member, lean["doc_id"] == member["id"])
+    weights = classes.select(F.col("cid").alias("w_id"), "weight", "rep", F.col("text_hash").alias("rep_hash"))
+    member = groups.join(sizes, "grp").join(weights, F.col("id") == F.col("w_id")).select("id", "rep", "rep_hash", "grp", "blocks", "weight", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")).dropDuplicates(["id"])
+    found = lean.join(member, (lean["doc_id"] == member["rep"]) & (lean["text_hash"] == member["rep_hash"]))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = found.select("grp", "id", "block", "weight", "text", other).select("grp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "block", "weight", "text")
     parts = max(12, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     paired = paired.repartition(parts, "grp", "low", "high").sortWithinPartitions("grp", "low", "high", "id")
     links = written(paired.mapInArrow(lambda it: _verify(it, words, least), "id long, n long, root long"), "ngram-links")
     counts = links.groupBy("id").agg(F.sum("n").alias("n")).select(F.col("id").alias("n_id"), "n")
-    comps = components(links, "id", "root", "ngram-cc2").select(F.col("id").alias("c_id"), "component")
-    of = classes.join(counts, F.col("rep") == F.col("n_id"), "left").join(comps, F.col("rep") == F.col("c_id"), "left")
-    of = of.select("f1", "f2", F.coalesce(counts["n"], F.lit(0)).alias("linked"), "weight", "rep", F.coalesce("component", "rep").alias("component"), classes["n"].alias("size"))
-    of = of.select(F.col("f1").alias("o1"), F.col("f2").alias("o2"), F.col("size").alias("o3"), "rep", (F.col("linked") + F.col("weight") - 1).alias("links"), "component")
-    slim = signed.select("doc_id", "n", "f1", "f2")
+    comps = components(links, "id", "root", "ngram-cc2").select(F.col("id").alias("c_id"), F.col("component").alias("group_id"))
+    comps = written(comps.distinct().join(classes.select("cid", F.col("rep").alias("c_rep")), F.col("c_id") == F.col("cid")).select("c_id", "group_id", "c_rep"), "ngram-groups2")
+    least_id = comps.groupBy("group_id").agg(F.min("c_rep").alias("component"))
+    comps = comps.join(least_id, "group_id").select("c_id", "group_id", "component")
+    of = classes.join(counts, F.col("cid") == F.col("n_id"), "left").join(comps, F.col("cid") == F.col("c_id"), "left")
+    links_of = F.coalesce(counts["n"], F.lit(0)) + F.col("weight") - 1
+    of = of.select(F.col("f1").alias("o1"), F.col("f2").alias("o2"), classes["n"].alias("o3"), "rep", links_of.alias("links"), F.coalesce("component", "rep").alias("component"), F.coalesce("group_id", "cid").alias("group_id"))
+    slim = signed.select("doc_id", "text_hash", "n", "f1", "f2")
     out = slim.join(of, (F.col("f1") == F.col("o1")) & (F.col("f2") == F.col("o2")) & (F.col("n") == F.col("o3")) & F.col("doc_id").isNotNull(), "left")
     comp = F.coalesce("component", "doc_id")
-    return out.select("doc_id", F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
+    return out.select("doc_id", F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"), "text_hash", F.coalesce("group_id", "text_hash").alias("group_id"))
 
 
-def keep_one(docs: DataFrame, joined: DataFrame, *, key: str = "doc_id") -> DataFrame:
-    """docs without the documents that another of their group stands for; of rows that repeat a key one stays."""
-    name = unused("gone", docs)
-    gone = written(joined.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct(), "ngram-gone")
-    left = docs.join(gone, docs[key] == gone[name], "left_anti")
-    repeated = joined.where("class_id = doc_id and n_links > 0").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return left.dropDuplicates([key]) if repeated else left
+def keep_one(docs: DataFrame, joined: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs without the documents that another of their group stands for.
+
+    Rows are told apart by key and text, so a text stays that shares its key with one that goes. Of rows that repeat a key
+    and belong to one group (or are blank and equal) one stays. Rows without a key all stay.
+    """
+    name, mark, gone = unused("marked_id", docs), unused("marked_text", docs), unused("gone", docs)
+    each = joined.where("doc_id is not null").groupBy("doc_id", "group_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
+    each = each.withColumn("first", F.min("text_hash").over(Window.partitionBy("doc_id", "group_id")))
+    each = each.withColumn(gone, ~F.col("kept") | (F.col("text_hash") != F.col("first"))).where(F.col(gone) | (F.col("rows") > 1))
+    marks = written(each.select(F.col("doc_id").alias(name), F.col("text_hash").alias(mark), gone), "ngram-gone")
+    named = (docs[key].cast("long") == F.col(name)) & (F.xxhash64(docs[text].cast("string")) == F.col(mark))
+    left = docs.join(marks.drop(gone), named, "left_anti")
+    again = docs.join(marks.where(~F.col(gone)).drop(gone), named, "left_semi")
+    return left.union(again.withColumn(mark, F.xxhash64(F.col(text).cast("string"))).dropDuplicates([key, mark]).drop(mark))

@@ -47,7 +47,7 @@ def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gneiss.llm.ngram import jaccard_join
 
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("text_hash", "group_id")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -166,6 +166,20 @@ def test_jaccard_odd_rows(spark):
     assert ngram.jaccard_join(odd(spark).limit(0)).collect() == []
 
 
+def test_keep_one_of_shared_and_null_ids(spark):
+    a, b, c, d = (prose(700 + k, 60) for k in range(4))
+    near = " ".join([*a.split()[:-1], "changed"])
+    rows = [(None, b, "s"), (None, b, "s"), (None, c, "s"), (None, None, "s"), (1, a, "s"), (2, near, "s"), (2, b, "s"), (5, c, "s"), (5, c, "s"), (5, d, "s"), (6, a + " x", "s"), (6, near, "s"), (7, prose(710, 60), "s"), (7, prose(711, 60), "s"), (8, "", "s"), (8, "", "s"), (9, prose(712, 60), "s"), (9, prose(712, 60) + " x", "s")]
+    docs = documents(spark, rows)
+    out = ngram.keep_one(docs, ngram.jaccard_join(docs))
+    assert out.columns == docs.columns
+    got = Counter((x["doc_id"], x["text"]) for x in out.collect())
+    want = Counter({(None, b): 2, (None, c): 1, (None, None): 1, (1, a): 1, (2, b): 1, (5, c): 1, (5, d): 1, (7, rows[12][1]): 1, (7, rows[13][1]): 1, (8, ""): 1})
+    nine = [t for i, t in got if i == 9]
+    assert len(nine) == 1 and got[9, nine[0]] == 1
+    assert Counter({k: n for k, n in got.items() if k[0] != 9}) == want
+
+
 def test_prefix_depth():
     d = ngram.prefix_depth(0.8, 24, 8, 0.9999)
     assert ngram.collision(0.8, 24, d) >= 0.9999 > ngram.collision(0.8, 24, d + 1)
