@@ -22,14 +22,16 @@ class Encoder:
     The byte-level BPE never joins what a space after a non-space parts, so a text is cut there and each piece is
     encoded once and remembered. New pieces of plain Latin text go through the rank file of the same vocabulary, which is
     the faster encoder and gives the same ids; all others go through the tokenizer itself. Texts with unusual white
-    space are encoded whole by the tokenizer.
+    space are encoded whole by the tokenizer. With `added`, so are texts that hold one of its added tokens (such as
+    <|endoftext|>), which then get that token's id as by default; without it these are ordinary text.
     """
 
-    def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None, keep: int = 400_000):
+    def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None, keep: int = 400_000, added: bool = False):
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(tokenizer)
-        self.slow.encode_special_tokens = True
+        self.slow.encode_special_tokens = not added
+        self.added = [t.content for t in self.slow.get_added_tokens_decoder().values()] if added else []
         self.fast = None
         if ranks:
             import base64
@@ -50,6 +52,8 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(t in text for t in self.added):
+            return self.whole(text)
         parts = text.split(" ")
         if "" in parts or any(p[-1].isspace() for p in parts if not p.isalnum()):
             return self.whole(text)
@@ -153,7 +157,7 @@ def pack_stream(docs: Iterator[tuple], window: int, base: int) -> Iterator[tuple
 
 
 def _pack(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks: str | None, pattern: str | None, end_id: int, window: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    encoder, end, out = Encoder(tokenizer, ranks, pattern), array("I", [end_id]).tobytes(), []
+    encoder, end, out = Encoder(tokenizer, ranks, pattern, added=True), array("I", [end_id]).tobytes(), []
 
     def docs():
         for b in batches:
@@ -173,7 +177,7 @@ def _pack(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks: str | None,
 
 
 def pack(docs: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer: str | None = None, ranks: str | None = None, pattern: str | None = None, end_id: int = 1, window: int = 2048) -> DataFrame:
-    """Pack every document, ids by `tokenizer` and then `end_id`, into sequences of at most `window` tokens.
+    """Pack every document, ids by `tokenizer` (added tokens in the text as it reads them) and then `end_id`, into sequences of at most `window` tokens.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens. Each partition
     of the table is packed as a stream by the sum of squares, so nothing is shuffled and a lost task is simply packed

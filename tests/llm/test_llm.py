@@ -294,6 +294,22 @@ def test_pack_round_trip(spark):
         assert set(g["sequence_tokens"]) == {total}
 
 
+def test_pack_added_tokens(spark):
+    P, _ = tokenizer()
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "end<|endoftext|>", "plain <|endoftext text", "a  b <|endoftext|>\n é"]
+    assert 50256 in t.encode(texts[0], add_special_tokens=False).ids
+    got = packing.pack(documents(spark, [(i, x, "s") for i, x in enumerate(texts)]).coalesce(1), window=64).toPandas()
+    for i, x in enumerate(texts):
+        ids = t.encode(x, add_special_tokens=False).ids + [1]
+        own = got[got["doc_id"] == i].sort_values("start")
+        assert set(own["doc_tokens"]) == {len(ids)}
+        for p in own.itertuples():
+            assert p.ids_crc32 == zlib.crc32(np.array(ids[p.start : p.start + p.length], "<u4").tobytes())
+
+
 def test_pack_odd_rows(spark):
     got = packing.pack(odd(spark)).toPandas()
     assert got["length"].sum() == got.drop_duplicates(["doc_id", "doc_tokens"])["doc_tokens"].sum() + got[got["doc_id"] == 5]["doc_tokens"].iloc[0]
