@@ -274,7 +274,7 @@ def calibrated(model: Model, texts: list[str], labels: list[int]) -> Model:
     y = np.array(labels)
     if not y.any() or y.all():
         return model
-    logit = np.concatenate([model.logits([t.lower() for t in texts[i : i + 100]]) for i in range(0, len(texts), 100)])
+    logit = np.concatenate([model.logits([t.lower() for t in texts[i:j]]) for i, j in chunks(texts)])
     order = np.argsort(logit, kind="stable")
     cost = np.concatenate([[0], np.cumsum(y[order] / y.sum())]) + 2 * np.concatenate([np.cumsum(((1 - y[order]) / (1 - y).sum())[::-1])[::-1], [0]])
     edge = np.concatenate([[logit[order[0]] - 1], logit[order], [logit[order[-1]] + 1]])
@@ -288,18 +288,27 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1024, most_chars: int = 100_000, shape: Shape = Shape()) -> Model:
-    """Train on at most `per_label` documents of label 1 and twice as many of label 0 (those of least hash), none held out,
-    and of each on at most `most_chars` characters; scoring reads whole texts.
+def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1024, most_chars: int = 20_000_000, shape: Shape = Shape()) -> Model:
+    """Train on at most `per_label` documents of label 1 and twice as many of label 0 (those of least hash), none held out.
+    Texts are read whole: if those of a label exceed its part of `most_chars` characters, a third for label 1, fewer
+    documents are taken.
 
     A quarter of them is kept for setting the border between the labels. The sample's keys are a bounded table and are broadcast; its texts come to the driver, where the model is trained.
     """
     known = labels.where(labels[key].isNotNull() & labels[label].isin(0, 1) & ~held_out(labels[key])).select(labels[key].alias("k"), labels[label].cast("int").alias("y")).groupBy("k").agg(F.max("y").alias("y"))
     picked = None
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(per_label * (2 - y))
+        part = known.where(F.col("y") == y).withColumn("h", F.xxhash64("k")).orderBy("h", "k").limit(per_label * (2 - y))
         picked = part if picked is None else picked.union(part)
-    rows = docs.select(docs[key].alias("d"), F.substring(docs[text], 1, most_chars).alias("t")).join(F.broadcast(picked), F.col("d") == F.col("k")).select("d", "t", "y").collect()  # at most 3 * per_label keys
+    of = docs.select(docs[key].alias("d"), docs[text].alias("t")).join(F.broadcast(picked), F.col("d") == F.col("k"))
+    sizes = of.groupBy("y", "h").agg(F.sum(F.coalesce(F.length("t"), F.lit(0)))).collect()  # at most 3 * per_label keys
+    within = F.lit(False)
+    for y in (0, 1):
+        hashes, chars = zip(*sorted((r[1], r[2]) for r in sizes if r[0] == y), strict=True) if any(r[0] == y for r in sizes) else ((), ())
+        fit_in = int(np.searchsorted(np.cumsum(chars), most_chars * (2 - y) // 3, side="right"))
+        if hashes:
+            within |= (F.col("y") == y) & (F.col("h") <= hashes[max(0, min(fit_in, len(hashes)) - 1)])
+    rows = of.where(within).select("d", "t", "y").collect()
     rows = sorted({(r["y"], r["d"], r["t"] or "") for r in rows})
     return fitted([r[2] for r in rows], [r[0] for r in rows], shape)
 

@@ -418,6 +418,20 @@ def test_toxicity_held_out(spark):
     assert by[10_000] == 1 and by[10_001] == 0 and by[10_002] == 0
 
 
+def test_toxicity_trains_on_whole_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fitted", lambda texts, labels, shape: seen.append(Counter(zip(texts, labels, strict=True))))
+    keys = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:20]
+    rows = [(i, f"{prose(i, 25_000)} zorgblat{i}", "s") for i in keys]
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(keys)], "doc_id long, toxic int")
+    docs, whole = documents(spark, rows), Counter((t, k % 2) for k, (_, t, _) in enumerate(rows))
+    assert all(len(t) > 100_000 for t, _ in whole)
+    toxicity.fit(docs, labels)
+    toxicity.fit(docs, labels, most_chars=9 * max(len(t) for t, _ in whole))
+    assert seen[0] == whole
+    assert not seen[1] - whole and (sum(y for _, y in seen[1]), len(seen[1])) in ((3, 9), (3, 10))
+
+
 def test_toxicity_without_labels(spark):
     docs, none = odd(spark), spark.createDataFrame([], "doc_id long, toxic int")
     assert {x["predicted"] for x in toxicity.toxicity(docs, none).collect()} == {0}
