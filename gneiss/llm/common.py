@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,12 +23,14 @@ WRITTEN: list[DataFrame] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (local tests)."""
+    """The folder that driver and executors share. Only a local session without one (as in tests) gets a temporary one."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not named:
         held = sc._jsc.sc().getCheckpointDir()
         if held.isEmpty():
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="gneiss-"))
             held = sc._jsc.sc().getCheckpointDir()
         named = held.get()
@@ -119,33 +122,41 @@ def unused(name: str, df: DataFrame) -> str:
     return name
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Bound the rows, and so the bytes, of what goes to Python at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bound the rows, and so the bytes, of what goes to Python at once: one bound for all operators, as plans are lazy."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
     """Connected components of undirected links: rows (id, component), component the smallest id; only ids with a link.
 
     Alternates large-star and small-star steps. Each step is a minimum per id (combined before the shuffle) and a join
-    that adaptive execution may split, so a hub with very many links is never gathered. Links stay in the shared folder.
+    with those minima. They are written first, so that both sides of the join are shuffled for it alone and adaptive
+    execution can split a hub with very many links. Links stay in the shared folder.
     """
 
-    def starred(pairs: DataFrame, both: bool) -> DataFrame:
+    def starred(pairs: DataFrame, both: bool) -> tuple[DataFrame, DataFrame]:
         """Point links at the smallest neighbour: of larger neighbours (both) or of the id and its smaller ones."""
         if both:
             sym = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            low = sym.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-            return sym.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = pairs.groupBy("u").agg(F.min("v").alias("m"))
-        hung = pairs.join(low, "u")
-        return hung.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+            low = sym.groupBy("u").agg(F.min("v").alias("n")).select(F.col("u").alias("of"), F.least("n", "u").alias("m"))
+            held = written(low, name)
+            hung = sym.where("v > u").join(held, F.col("u") == F.col("of")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+            return written(hung.where("u <> v").distinct(), name), held
+        held = written(pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("of"), "m"), name)
+        hung = pairs.join(held, F.col("u") == F.col("of"))
+        hung = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).union(held.select(F.col("of").alias("u"), F.col("m").alias("v")))
+        return written(hung.where("u <> v").distinct(), name), held
 
     now = written(edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u <> v").distinct(), name)
     mark = None
     while True:
-        then = written(starred(starred(now, True), False), name)
-        forget(now)
+        grown, low = starred(now, True)
+        then, least = starred(grown, False)
+        for old in (now, grown, low, least):
+            forget(old)
         now = then
         said = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if said == mark:

@@ -1,16 +1,17 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification."""
+"""N-gram Jaccard join by a MinHash LSH forest, its matched prefixes shortened adaptively, with exact verification."""
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import U64, Rolling, components, mixed, small_batches, unused, word_hashes, written
+from gneiss.llm.common import U64, Rolling, components, forget, mixed, small_batches, unused, word_hashes, written
 from gneiss.llm.neardup import star_forest
 
 #: White space beyond ASCII, as str.split() knows it.
@@ -35,52 +36,216 @@ def collision(similarity: float, trees: int, depth: int) -> float:
     return 1 - (1 - similarity**depth) ** trees
 
 
-def prefix_depth(similarity: float, trees: int, longest: int, recall: float) -> int:
-    """Start from the longest prefix and shorten it until pairs at the threshold are met with the wanted recall."""
+def shortest_prefix(similarity: float, trees: int, longest: int, recall: float) -> int:
+    """The longest prefix by which even pairs just at the threshold are met with the wanted recall: none shorter is needed."""
     depth = longest
     while depth > 1 and collision(similarity, trees, depth) < recall:
         depth -= 1
     return depth
 
 
+#: A trie's digits: bits of one, digits in each of the two words that hold a row's prefix, bits left for the tree's number.
+DIGIT, DIGITS, TREE = 14, 4, 7
+
+
 class Forest:
-    """MinHash signatures as `trees` tries of `longest` values each."""
+    """MinHash signatures as `trees` tries of `longest` digits each."""
 
     def __init__(self, trees: int, longest: int, seed: int = 1):
+        if not (1 <= trees < 1 << TREE and 1 <= longest <= 2 * DIGITS):
+            raise ValueError(f"under {1 << TREE} trees, of at most {2 * DIGITS} digits")
         rng = np.random.default_rng(seed)
         self.trees, self.longest = trees, longest
         self.a = rng.integers(0, 1 << 32, trees * longest, dtype=np.uint32) | np.uint32(1)
         self.b = rng.integers(0, 1 << 32, trees * longest, dtype=np.uint32)
 
-    def prefixes(self, sets: np.ndarray, depth: int) -> np.ndarray:
-        """Per tree the trie node, as a 64-bit number, that a set of shingles reaches after `depth` values."""
+    def signature(self, sets: np.ndarray) -> np.ndarray:
+        """The least value of every hash function over a set of shingles."""
         x = (sets >> U64(32)).astype(np.uint32)
         low = np.full(len(self.a), 0xFFFFFFFF, np.uint32)
         for i in range(0, len(x), 512):
             np.minimum(low, (x[i : i + 512, None] * self.a + self.b).min(0), out=low)
-        values = low.reshape(self.trees, self.longest)
-        node = np.arange(self.trees, dtype=U64)
-        for d in range(depth):
-            node = mixed(node * U64(0x9E3779B97F4A7C15) + values[:, d].astype(U64) + U64(1))
-        return node.astype(np.int64)
+        return low
+
+    def words(self, signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per tree its row in sort order: tree and first DIGITS digits in one number, the other digits in a second."""
+        # the least of many hashes is small, so that digits come from mixed bits
+        digits = np.zeros((self.trees, 2 * DIGITS), np.int64)
+        digits[:, : self.longest] = (mixed(signature.astype(U64)) >> U64(64 - DIGIT)).astype(np.int64).reshape(self.trees, self.longest)
+        shifts = DIGIT * np.arange(DIGITS - 1, -1, -1)
+        return (np.arange(self.trees) << DIGIT * DIGITS) + (digits[:, :DIGITS] << shifts).sum(1), (digits[:, DIGITS:] << shifts).sum(1)
 
+    def bytes_of(self, signature: np.ndarray) -> bytes:
+        """One byte of every value, by which two signatures are compared."""
+        return (mixed(signature.astype(U64)) & U64(255)).astype(np.uint8).tobytes()
 
-SIGNED = "doc_id long, text_hash long, n int, f1 long, f2 long, nodes array<long>"
 
+SIGNED = "doc_id long, text_hash long, n int, f1 long, f2 long, hi array<long>, lo array<long>, sig binary"
 
-def _sign(batches: Iterator[pa.RecordBatch], forest: Forest, words: int, depth: int) -> Iterator[pa.RecordBatch]:
+
+def _sign(batches: Iterator[pa.RecordBatch], forest: Forest, words: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        n, f1, f2, nodes, ends = [], [], [], [], [0]
+        n, f1, f2, hi, lo, sig, ends = [], [], [], [], [], [], [0]
         for text in b.column(1).to_pylist():
             s = shingles(text, words)
             n.append(len(s))
             f1.append(s.sum(dtype=U64).astype(np.int64))
             f2.append(np.bitwise_xor.reduce(mixed(s)).astype(np.int64) if len(s) else 0)
+            sig.append(None)
             if len(s):
-                nodes.append(forest.prefixes(s, depth))
+                signature = forest.signature(s)
+                for to, row in zip((hi, lo), forest.words(signature), strict=True):
+                    to.append(row)
+                sig[-1] = forest.bytes_of(signature)
             ends.append(ends[-1] + forest.trees * bool(len(s)))
-        flat = np.concatenate(nodes) if nodes else np.empty(0, np.int64)
-        yield pa.record_batch([b.column(0), b.column(2), pa.array(n, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["doc_id", "text_hash", "n", "f1", "f2", "nodes"])
+        off = pa.array(ends, pa.int32())
+        hi, lo = (pa.ListArray.from_arrays(off, pa.array(np.concatenate(x) if x else np.empty(0, np.int64))) for x in (hi, lo))
+        yield pa.record_batch([b.column(0), b.column(2), pa.array(n, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), hi, lo, pa.array(sig, pa.binary())], names=["doc_id", "text_hash", "n", "f1", "f2", "hi", "lo", "sig"])
+
+
+def common_digits(hi: np.ndarray, lo: np.ndarray, least: int, longest: int) -> np.ndarray:
+    """Of each two rows that follow one another, the length of their common prefix (0 below `least`)."""
+    out = np.zeros(max(0, len(hi) - 1), np.int8)
+    whole = hi[1:] == hi[:-1]
+    for d in range(least, longest + 1):
+        if d <= DIGITS:
+            same = hi[1:] >> DIGIT * (DIGITS - d) == hi[:-1] >> DIGIT * (DIGITS - d)
+        else:
+            same = whole & (lo[1:] >> DIGIT * (2 * DIGITS - d) == lo[:-1] >> DIGIT * (2 * DIGITS - d))
+        out[same] = d
+    return out
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch], least: int, longest: int) -> Iterator[pa.RecordBatch]:
+    """Rows (hi, lo, cid) in order, each with the longest prefix it shares with a neighbour; those that share none go.
+
+    A partition's first and last row, whose neighbours lie elsewhere, are taken to share all of it.
+    """
+    held = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        hi, lo, cid = (b.column(i).to_numpy() for i in range(3))
+        if held is not None:
+            hi, lo, cid = (np.concatenate([[h], x]) for h, x in zip(held[:3], (hi, lo, cid), strict=True))
+        shared = common_digits(hi, lo, least, longest)
+        before = np.concatenate([[longest if held is None else held[3]], shared]).astype(np.int8)
+        held = hi[-1], lo[-1], cid[-1], before[-1]
+        best = np.maximum(before[:-1], shared)
+        yield _trie_rows(hi[:-1], lo[:-1], cid[:-1], best, least)
+    if held is not None:
+        yield _trie_rows(*(np.array([x]) for x in held[:3]), np.array([longest]), least)
+
+
+def _trie_rows(hi, lo, cid, shared, least: int) -> pa.RecordBatch:
+    at = shared >= least
+    return pa.record_batch([pa.array(hi[at], pa.int64()), pa.array(lo[at], pa.int64()), pa.array(cid[at], pa.int64()), pa.array(shared[at], pa.int32())], names=["hi", "lo", "cid", "shared"])
+
+
+def node_of(depth: int) -> Column:
+    """The trie node, as one number, that a row reaches after `depth` digits."""
+    first = F.shiftright("hi", DIGIT * max(0, DIGITS - depth))
+    return F.xxhash64(first, F.shiftright("lo", DIGIT * (2 * DIGITS - depth)) if depth > DIGITS else F.lit(0).cast("long"))
+
+
+def tied(sig: np.ndarray, least: int) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """A spanning forest of the rows whose signatures agree in at least `least` places: positions, positions they hang on, agreements.
+
+    Each tree is grown from its first row; what it reached is never compared again.
+    """
+    rest, a, b, n = np.arange(len(sig)), [], [], []
+    while len(rest) > 1:
+        front, rest = [rest[0]], rest[1:]
+        while front and len(rest):
+            x = front.pop()
+            same = (sig[rest] == sig[x]).sum(1)
+            hit = same >= least
+            if hit.any():
+                got = rest[hit]
+                a.append(got)
+                b.append(np.full(len(got), x))
+                n.append(same[hit])
+                front.extend(got)
+                rest = rest[~hit]
+    return a, b, n
+
+
+def _ties(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Rows (node, low, high, cid, sig) sorted by the first three: ties within each pair of a node's blocks, one held at a time."""
+    out: list[list[np.ndarray]] = [[], [], []]
+
+    def grown(ids: list[int], sigs: list[bytes]) -> None:
+        if len(ids) > 1:
+            own = np.array(ids)
+            a, b, n = tied(np.frombuffer(b"".join(sigs), np.uint8).reshape(len(ids), -1), least)
+            for x, y, m in zip(a, b, n, strict=True):
+                for to, values in zip(out, (np.maximum(own[x], own[y]), np.minimum(own[x], own[y]), m), strict=True):
+                    to.append(values)
+
+    def flushed() -> pa.RecordBatch:
+        columns = [np.concatenate(x) if x else np.empty(0, np.int64) for x in out]
+        for x in out:
+            x.clear()
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "same"])
+
+    key, ids, sigs = None, [], []
+    for batch in batches:
+        for *now, cid, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if now != key:
+                grown(ids, sigs)
+                key, ids, sigs = now, [], []
+            ids.append(cid)
+            sigs.append(sig)
+        if len(out[0]) > 1000:
+            yield flushed()
+    grown(ids, sigs)
+    yield flushed()
+
+
+def candidates(classes: DataFrame, forest: Forest, least: float, recall: float, block_rows: int) -> tuple[DataFrame, list[tuple[int, int, float]]]:
+    """Ties (a, b) of classes (cid, hi, lo, sig), and what was measured: (prefix length, ties so far, estimated recall).
+
+    The rows of all tries are sorted once over all machines and compared with their neighbours; rows that share too short
+    a prefix with them are alone and go. Prefixes start at full length and are shortened by one digit at a time. Rows of a
+    node are compared by their signatures, those that agree too little are not tied; a node that holds no more than one
+    longer prefix was compared before, and nodes of the same rows in several tries are compared once. A tie of similarity s
+    was to be met with probability p(s) at this length, so the ties found stand for sum(1 / p) that there are: shortening
+    ends once that estimate of the recall is reached, at the latest at the length that reaches it for pairs just at the
+    threshold. Large nodes are compared in pairs of blocks.
+    """
+    places = forest.trees * forest.longest
+    floor = shortest_prefix(least, forest.trees, forest.longest, recall)
+    # a pair at the threshold agrees this little once in 10**7 times or less
+    bound = math.floor(places * least - 5.2 * math.sqrt(places * least * (1 - least)))
+    spark = classes.sparkSession
+    parts = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = classes.select("cid", F.explode(F.arrays_zip("hi", "lo")).alias("w")).select(F.col("w.hi").alias("hi"), F.col("w.lo").alias("lo"), "cid")
+    rows = rows.repartitionByRange(parts, "hi", "lo", "cid").sortWithinPartitions("hi", "lo", "cid")
+    trie = written(rows.mapInArrow(lambda it: _neighbours(it, floor, forest.longest), "hi long, lo long, cid long, shared int"), "ngram-trie")
+    sigs = classes.select(F.col("cid").alias("s_cid"), "sig")
+    ties, said = None, []
+    for depth in range(forest.longest, floor - 1, -1):
+        here = trie.where(F.col("shared") >= depth).select("cid", node_of(depth).alias("node"), F.when(F.col("shared") > depth, node_of(min(depth + 1, forest.longest))).alias("finer"))
+        nodes = here.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("x"), F.min("finer").alias("f0"), F.max("finer").alias("f1"), F.count("finer").alias("f"))
+        nodes = nodes.where((F.col("size") > 1) & ((F.col("f") < F.col("size")) | (F.col("f0") < F.col("f1"))))
+        nodes = written(nodes.groupBy("size", "s", "x").agg(F.min("node").alias("at_node")).select("at_node", F.ceil(F.col("size") / block_rows).cast("int").alias("blocks")), "ngram-nodes")
+        member = here.join(nodes, F.col("node") == F.col("at_node")).select("node", "cid", "blocks", F.pmod(F.xxhash64(F.lit(2), "cid"), F.col("blocks")).cast("int").alias("block"))
+        member = member.select("node", "cid", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        member = member.join(sigs, F.col("cid") == F.col("s_cid")).select("node", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "sig")
+        member = member.repartition(parts, "node", "low", "high").sortWithinPartitions("node", "low", "high", "cid")
+        found = member.mapInArrow(lambda it: _ties(it, bound), "a long, b long, same long").dropDuplicates(["a", "b"])
+        found = written(found if ties is None else found.union(ties).dropDuplicates(["a", "b"]), "ngram-ties")
+        for old in (nodes, ties):
+            if old is not None:
+                forget(old)
+        ties = found
+        met = F.lit(1.0) - F.pow(F.lit(1.0) - F.pow(F.col("same") / places, F.lit(float(depth))), F.lit(float(forest.trees)))
+        n, of = ties.where(F.col("same") >= least * places).agg(F.count(F.lit(1)), F.sum(1 / met)).first()
+        said.append((depth, n, n / of if n else 0.0))
+        if n and said[-1][2] >= recall:
+            break
+    forget(trie)
+    return ties, said
 
 
 def similar_pairs(sets: list[np.ndarray], first: list[int], second: list[int], least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -147,34 +312,31 @@ def _verify(batches: Iterator[pa.RecordBatch], words: int, least: float) -> Iter
     yield from flush()
 
 
-def jaccard_join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8, trees: int = 24, longest: int = 8, recall: float = 0.9999, block_rows: int = 512) -> DataFrame:
+def jaccard_join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8, trees: int = 24, longest: int = 8, recall: float = 0.9999, block_rows: int = 512, node_rows: int = 2048) -> DataFrame:
     """Link documents whose sets of `words`-word shingles have Jaccard similarity >= least.
 
     One row per document: doc_id, class_id (smallest id with the same shingles), n_links (other documents linked
     directly), component_id (smallest id reachable by links), kept (doc_id = component_id); for `keep_one` also
     text_hash and group_id, a number of the component that holds where rows share an id.
 
-    Documents of equal shingle sets are one class and are joined once. Each class is signed by `trees` MinHash tries;
-    prefixes are shortened from `longest` until a pair at the threshold shares one with probability `recall`. Classes of
-    a trie node are tied to the node's smallest, and the ties' components hold every candidate pair. In a component all
-    pairs are compared exactly, in pairs of blocks of about `block_rows`; what leaves a pair of blocks is one count per
-    document and one star link per document, never the pairs.
+    Documents of equal shingle sets are one class and are joined once. Each class is signed by `trees` MinHash tries of
+    `longest` digits; `candidates` shortens their common prefixes until the recall is reached and ties classes whose
+    signatures agree. Components of ties are compared exactly, all pairs, in pairs of blocks of about `block_rows`; what
+    leaves a pair of blocks is one count per document and one star link per document, never the pairs. Only texts that are
+    alike by their signatures are tied, so loose likenesses do not chain into large components.
 
-    Words are parted by white space; a text of fewer words is one shingle. Null, empty or blank texts and null keys link
-    with nothing (component_id is the key itself). Rows that repeat a key and a text are copies of each other and count
-    as links of each other. Other columns are ignored; an empty table gives no rows.
+    Words are parted by white space; a text of fewer words is one shingle; a very long text is read whole. Null, empty or
+    blank texts and null keys link with nothing (component_id is the key itself). Rows that repeat a key and a text are
+    copies of each other and count as links of each other. Other columns are ignored; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession, 1000)
-    depth = prefix_depth(least, trees, longest, recall)
-    forest = Forest(trees, depth)
+    small_batches(docs.sparkSession)
+    forest = Forest(trees, longest)
     lean = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    signed = written(lean.mapInArrow(lambda it: _sign(it, forest, words, depth), SIGNED), "ngram-signed")
+    signed = written(lean.mapInArrow(lambda it: _sign(it, forest, words), SIGNED), "ngram-signed")
     full = signed.where("n > 0 and doc_id is not null")
-    classes = written(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min_by(F.struct("nodes", "text_hash"), "doc_id").alias("of")).select("f1", "f2", "n", "rep", "weight", "of.nodes", "of.text_hash", F.col("f1").bitwiseXOR(F.col("f2")).alias("cid")), "ngram-classes")
-    node = classes.select("cid", F.explode("nodes").alias("node"))
-    heads = node.groupBy("node").agg(F.min("cid").alias("head"), F.max("cid").alias("last")).where("head < last").drop("last")
-    ties = node.join(heads, "node").where("cid <> head").select("cid", "head").distinct()
-    groups = written(components(ties, "cid", "head", "ngram-cc").select(F.col("id"), F.col("component").alias("grp")), "ngram-groups")
+    classes = written(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min_by(F.struct("hi", "lo", "sig", "text_hash"), "doc_id").alias("of")).select("f1", "f2", "n", "rep", "weight", "of.hi", "of.lo", "of.sig", "of.text_hash", F.col("f1").bitwiseXOR(F.col("f2")).alias("cid")), "ngram-classes")
+    ties, _ = candidates(classes, forest, least, recall, node_rows)
+    groups = written(components(ties, "a", "b", "ngram-cc").select(F.col("id"), F.col("component").alias("grp")), "ngram-groups")
     sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("blocks"))
     weights = classes.select(F.col("cid").alias("w_id"), "weight", "rep", F.col("text_hash").alias("rep_hash"))
     member = groups.join(sizes, "grp").join(weights, F.col("id") == F.col("w_id")).select("id", "rep", "rep_hash", "grp", "blocks", "weight", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")).dropDuplicates(["id"])
@@ -202,7 +364,9 @@ def keep_one(docs: DataFrame, joined: DataFrame, *, key: str = "doc_id", text: s
     """docs without the documents that another of their group stands for.
 
     Rows are told apart by key and text, so a text stays that shares its key with one that goes. Of rows that repeat a key
-    and belong to one group (or are blank and equal) one stays. Rows without a key all stay.
+    and belong to one group (or are blank and equal) one stays. Rows without a key all stay. An empty table stays empty;
+    other columns, whatever their names, stay as they are. docs are shuffled once to meet the marks, and the marked ones
+    once more if any row repeats a key and a text.
     """
     name, mark, gone = unused("marked_id", docs), unused("marked_text", docs), unused("gone", docs)
     each = joined.where("doc_id is not null").groupBy("doc_id", "group_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
@@ -210,6 +374,9 @@ def keep_one(docs: DataFrame, joined: DataFrame, *, key: str = "doc_id", text: s
     each = each.withColumn(gone, ~F.col("kept") | (F.col("text_hash") != F.col("first"))).where(F.col(gone) | (F.col("rows") > 1))
     marks = written(each.select(F.col("doc_id").alias(name), F.col("text_hash").alias(mark), gone), "ngram-gone")
     named = (docs[key].cast("long") == F.col(name)) & (F.xxhash64(docs[text].cast("string")) == F.col(mark))
-    left = docs.join(marks.drop(gone), named, "left_anti")
-    again = docs.join(marks.where(~F.col(gone)).drop(gone), named, "left_semi")
+    left = docs.join(marks.drop(gone).hint("merge"), named, "left_anti")
+    repeated = marks.where(~F.col(gone)).drop(gone)
+    if repeated.isEmpty():
+        return left
+    again = docs.join(repeated, named, "left_semi")
     return left.union(again.withColumn(mark, F.xxhash64(F.col(text).cast("string"))).dropDuplicates([key, mark]).drop(mark))
