@@ -13,19 +13,37 @@ from gneiss.llm.common import unused, written
 GRID = 32
 
 
-def n_tokens(text: str) -> Column:
+def n_tokens(text: Column) -> Column:
     """Words of the text and one for its end, so that every document weighs something; null text counts as empty."""
-    return (F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"\S+")) + 1).cast("long")
+    return (F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(r"\S+")) + 1).cast("long")
 
 
-def pass_key(key: str, source: str, seed: int, epoch: Column) -> Column:
+def weighed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """Rows (key, source, n_tokens, salt) of docs, written: texts are read once, all else works on these.
+
+    salt tells rows apart whose source and text are equal or whose keys are null: it is the hash of the text.
+    """
+    lean = docs.select(docs[key].alias("key"), docs[source].alias("source"), n_tokens(docs[text]).alias("n_tokens"), salt_of(docs[text]).alias("salt"))
+    return written(lean, "mix-rows")
+
+
+def salt_of(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))
+
+
+def pass_key(key: Column, source: Column, salt: Column, seed: int, epoch: Column) -> Column:
     """The place of a document in its source's permutation of one pass."""
-    return F.xxhash64(F.lit(seed), F.col(key), F.col(source), epoch)
+    return F.xxhash64(F.lit(seed), key, source, salt, epoch)
+
+
+def ranges_of(rows: int, each: int = 4096) -> int:
+    """Bits of the hash ranges that part a table of so many rows into pieces of about `each`."""
+    return max(4, min(40, math.ceil(math.log2(max(1, rows) / each + 1))))
 
 
-def source_tokens(docs: DataFrame, *, text: str = "text", source: str = "source") -> DataFrame:
+def source_tokens(lean: DataFrame) -> DataFrame:
     """Rows (source, tokens, n_docs, share): combined before the shuffle, so one huge source costs no task more than another."""
-    per = written(docs.groupBy(F.col(source).alias("source")).agg(F.sum(n_tokens(text)).alias("tokens"), F.count(F.lit(1)).alias("n_docs")), "mix-sources")
+    per = written(lean.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_docs")), "mix-sources")
     total = per.agg(F.sum("tokens")).first()[0] or 1
     return per.select("source", "tokens", "n_docs", (F.col("tokens") / F.lit(float(total))).alias("share"))
 
@@ -67,18 +85,21 @@ def exponent_for(shares: DataFrame, *, target_entropy: float | None, max_repeats
     return wanted if max_repeats is None else max(wanted, search(within, False))
 
 
-def mixing_plan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", target_entropy: float | None = 0.98, max_repeats: float | None = 2.0, budget_tokens: int | None = None, seed: int = 0, buckets: int = 1024) -> DataFrame:
+def mixing_plan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", target_entropy: float | None = 0.98, max_repeats: float | None = 2.0, budget_tokens: int | None = None, seed: int = 0, lean: DataFrame | None = None) -> DataFrame:
     """One row per source: tokens, n_docs, share, weight, budget, full_passes, cut_key.
 
     weight is share ** exponent, normalised. budget_tokens of None is the least budget at which every source is passed
     over at least once, so nothing is lost. A source of budget b and t tokens gives floor(b / t) whole passes and then
     the first documents of one more permutation, up to the last that ends within b: those whose pass_key is at most
-    cut_key (null: none). Running sums are taken per hash range, never over a whole source in one task.
+    cut_key (null: none). Running sums are taken per hash range, of which there are the more the more rows there are, never
+    over a whole source in one task. Rows of one key, source and text are taken or left as one. `lean` is the table that
+    `weighed` gives, if there is one already. Null sources are a source of their own; an empty table gives no rows.
     """
-    per = source_tokens(docs, text=text, source=source)
+    lean = weighed(docs, key=key, text=text, source=source) if lean is None else lean
+    per = source_tokens(lean)
     x = exponent_for(per, target_entropy=target_entropy, max_repeats=max_repeats)
     power = F.pow("share", F.lit(x))
-    z, steepest = per.agg(F.sum(power), F.max(F.col("tokens") / power)).first()
+    z, steepest, rows = per.agg(F.sum(power), F.max(F.col("tokens") / power), F.sum("n_docs")).first()
     budget = float(budget_tokens) if budget_tokens is not None else (z or 1.0) * (steepest or 1.0)
     plan = (
         per.withColumn("weight", power / F.lit(z or 1.0))
@@ -88,9 +109,9 @@ def mixing_plan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
         .select("source", "tokens", "n_docs", "share", "weight", "budget", "full_passes", "rest")
     )
     plan = written(plan, "mix-plan")
-    lean = docs.select(F.col(key).alias("key"), F.col(source).alias("of"), n_tokens(text).alias("n"))
-    at = lean.join(plan.where("rest > 0"), F.col("of").eqNullSafe(F.col("source"))).select("of", "n", "rest", pass_key("key", "of", seed, F.col("full_passes")).alias("k"))
-    at = at.groupBy("of", "rest", "k").agg(F.sum("n").alias("n")).withColumn("range", F.shiftright("k", 64 - int(math.log2(buckets))))
+    asked = plan.where("rest > 0").select(F.col("source").alias("of"), "rest", "full_passes")
+    at = lean.join(asked, F.col("source").eqNullSafe(F.col("of"))).select("of", "n_tokens", "rest", pass_key(F.col("key"), F.col("of"), F.col("salt"), seed, F.col("full_passes")).alias("k"))
+    at = at.groupBy("of", "rest", "k").agg(F.sum("n_tokens").alias("n")).withColumn("range", F.shiftright("k", 64 - ranges_of(rows or 0)))
     sized = at.groupBy("of", "range").agg(F.sum("n").alias("n"))
     before = sized.select(F.col("of").alias("b_of"), F.col("range").alias("b_range"), (F.sum("n").over(Window.partitionBy("of").orderBy("range")) - F.col("n")).alias("before"))
     ends = at.join(before, F.col("of").eqNullSafe(F.col("b_of")) & (F.col("range") == F.col("b_range"))).withColumn("end", F.col("before") + F.sum("n").over(Window.partitionBy("of", "range").orderBy("k")))
@@ -99,33 +120,45 @@ def mixing_plan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
     return written(out, "mix-plan")
 
 
-def with_copies(docs: DataFrame, plan: DataFrame, *, key: str = "doc_id", source: str = "source", seed: int = 0) -> DataFrame:
-    """docs as they are, each row as often as the plan passes over it, with `mix_pass` (from 0) added."""
+def with_copies(docs: DataFrame, plan: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0, mix_pass: str = "mix_pass", salt: str | None = None) -> DataFrame:
+    """docs as they are, each row as often as the plan passes over it, with the column `mix_pass` (from 0) added.
+
+    docs must have no column of that name (ValueError). `salt` names a column that holds `salt_of` the text; without it the
+    text is hashed anew.
+    """
+    if mix_pass.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"column {mix_pass} is there already")
     of, full, cut = (unused(n, docs) for n in ("mix_source", "mix_full", "mix_cut"))
     p = plan.select(F.col("source").alias(of), F.col("full_passes").alias(full), F.col("cut_key").alias(cut))
-    more = F.coalesce(pass_key(key, source, seed, p[full]) <= p[cut], F.lit(False))
+    mark = salt_of(docs[text]) if salt is None else docs[salt]
+    more = F.coalesce(pass_key(docs[key], docs[source], mark, seed, p[full]) <= p[cut], F.lit(False))
     copies = p[full] + more.cast("long")
     seen = docs.join(p, docs[source].eqNullSafe(p[of])).where(copies > 0)
-    return seen.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("mix_pass"))
+    return seen.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias(mix_pass))
 
 
-def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", target_entropy: float | None = 0.98, max_repeats: float | None = 2.0, budget_tokens: int | None = None, block_tokens: int = 1 << 20, seed: int = 0, buckets: int = 1024) -> DataFrame:
+def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", target_entropy: float | None = 0.98, max_repeats: float | None = 2.0, budget_tokens: int | None = None, block_tokens: int = 1 << 20, seed: int = 0) -> DataFrame:
     """The whole mix, one row per use of a document: key, source, n_tokens, weight, mix_pass, block, block_key.
 
     Each source is laid out as its passes one after another, each pass a permutation by hash. Block b of the mix takes
     from each source the stretch [b, b + 1) * weight * block_tokens of that layout, by where a document starts, so every
     block holds the target weights to within a document; block_key permutes the rows within a block. Null sources are a
-    source of their own; null or empty texts weigh one token; repeated rows are separate documents; an empty table gives
-    no rows; other columns are left out.
+    source of their own; null or empty texts weigh one token; repeated rows and null keys are separate documents, told
+    apart by a number that the written table gives each row, so that not even a third of all rows being alike puts them
+    into one hash range; equal places are broken by that number. An empty table gives no rows; other columns, whatever
+    their names, are left out.
     """
-    plan = mixing_plan(docs, key=key, text=text, source=source, target_entropy=target_entropy, max_repeats=max_repeats, budget_tokens=budget_tokens, seed=seed, buckets=buckets)
-    lean = docs.select(F.col(key).alias(key), F.col(source).alias("source"), n_tokens(text).alias("n_tokens"))
-    uses = with_copies(lean, plan, key=key, source="source", seed=seed)
-    uses = uses.withColumn("k", pass_key(key, "source", seed, F.col("mix_pass"))).withColumn("range", F.shiftright("k", 64 - int(math.log2(buckets))))
+    lean = weighed(docs, key=key, text=text, source=source)
+    plan = mixing_plan(docs, key=key, text=text, source=source, target_entropy=target_entropy, max_repeats=max_repeats, budget_tokens=budget_tokens, seed=seed, lean=lean)
+    rows = lean.count()
+    # uses are written, as row numbers hold within one reading only
+    uses = with_copies(lean, plan, key="key", source="source", salt="salt", seed=seed).withColumn("row", F.monotonically_increasing_id())
+    uses = uses.withColumn("k", pass_key(F.col("key"), F.col("source"), F.xxhash64("salt", "row"), seed, F.col("mix_pass"))).withColumn("range", F.shiftright("k", 64 - ranges_of(rows)))
+    uses = written(uses.drop("salt"), "mix-uses")
     sized = uses.groupBy("source", "mix_pass", "range").agg(F.sum("n_tokens").alias("n"))
     before = sized.select(F.col("source").alias("b_source"), F.col("mix_pass").alias("b_pass"), F.col("range").alias("b_range"), (F.sum("n").over(Window.partitionBy("source").orderBy("mix_pass", "range")) - F.col("n")).alias("before"))
-    placed = uses.join(before, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("mix_pass") == F.col("b_pass")) & (F.col("range") == F.col("b_range"))).withColumn("start", F.col("before") + F.sum("n_tokens").over(Window.partitionBy("source", "mix_pass", "range").orderBy("k", key)) - F.col("n_tokens"))
+    placed = uses.join(before, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("mix_pass") == F.col("b_pass")) & (F.col("range") == F.col("b_range"))).withColumn("start", F.col("before") + F.sum("n_tokens").over(Window.partitionBy("source", "mix_pass", "range").orderBy("k", "row")) - F.col("n_tokens"))
     weights = plan.select(F.col("source").alias("w_source"), "weight")
     return placed.join(weights, F.col("source").eqNullSafe(F.col("w_source"))).select(
-        key, "source", "n_tokens", "weight", F.col("mix_pass").cast("int").alias("mix_pass"), F.floor(F.col("start") / (F.col("weight") * F.lit(float(block_tokens)))).cast("long").alias("block"), F.xxhash64(F.lit(seed + 1), F.col(key), F.col("mix_pass")).alias("block_key")
+        F.col("key").alias(key), "source", "n_tokens", "weight", F.col("mix_pass").cast("int").alias("mix_pass"), F.floor(F.col("start") / (F.col("weight") * F.lit(float(block_tokens)))).cast("long").alias("block"), F.xxhash64(F.lit(seed + 1), F.col("key"), F.col("mix_pass"), F.col("row")).alias("block_key")
     )
