@@ -2,67 +2,88 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gneiss.llm.common import written
 
-def leaf_draw(key: Column, shard: int, weight: float, seed: int) -> Column:
-    """An exponential draw of rate `weight` from the hash of key and shard: the least of several wins in proportion to weight."""
-    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(shard), F.lit(seed)), 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
-    return -F.log(u) / F.lit(float(weight))
+REGION, RACK, SHARD = 0, 1, 2
 
 
-def shard_of(key: Column, shards: int, *, shards_per_rack: int = 4, racks_per_region: int = 2, weights: Sequence[float] | None = None, seed: int = 0) -> Column:
-    """Descend region, rack and shard by weighted hash draws; returns struct(draw, region, rack, shard).
+def draw(key: Column, level: int, child: Column, weight: Column, seed: int) -> Column:
+    """An exponential draw of rate `weight` from the hash of key, level and child: the least of several wins in proportion to weight."""
+    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(level), child.cast("int"), F.lit(seed)), 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+    return F.when(weight > 0, -F.log(u) / weight)
 
-    A subtree draws the least of the draws of its shards, which is itself an exponential draw of the subtree's whole
-    weight. The walk from the root takes at each level the child of the least draw, so a changed weight moves keys only
-    into or out of the subtrees whose weight changed, and a new shard takes keys only into itself. A shard of weight 0
-    (or less) gets nothing; at least one weight must be positive.
-    """
-    weights = [1.0] * shards if weights is None else list(weights)
-    if len(weights) != shards or not any(w > 0 for w in weights):
-        raise ValueError("one weight per shard, at least one of them positive")
 
-    def least(children: list[Column]) -> Column:
-        return children[0] if len(children) == 1 else F.least(*children)
+def winner(key: Column, level: int, children: list[Column], weights: Column, seed: int) -> Column:
+    """The child of the least draw; children without a weight (missing ones too) take no part."""
+    drawn = [F.struct(F.coalesce(draw(key, level, c, F.coalesce(F.element_at(weights, c + 1), F.lit(0.0)), seed), F.lit(math.inf)).alias("draw"), c.cast("int").alias("child")) for c in children]
+    return (drawn[0] if len(drawn) == 1 else F.least(*drawn)).getField("child")
+
 
-    def rack_node(region: int, rack: int) -> Column | None:
-        own = [F.struct(leaf_draw(key, s, weights[s], seed).alias("draw"), F.lit(region).alias("region"), F.lit(rack).alias("rack"), F.lit(s).alias("shard")) for s in range(rack * shards_per_rack, min(shards, (rack + 1) * shards_per_rack)) if weights[s] > 0]
-        return least(own) if own else None
+def tree_weights(weights: Sequence[float], shards_per_rack: int, racks_per_region: int) -> tuple[list[float], list[float], list[float]]:
+    """Weights of the shards, of the racks and of the regions, filled up with zeros to whole racks and regions."""
+    own = [max(0.0, float(w)) for w in weights]
+    own += [0.0] * (-len(own) % (shards_per_rack * racks_per_region))
+    racks = [sum(own[i : i + shards_per_rack]) for i in range(0, len(own), shards_per_rack)]
+    return own, racks, [sum(racks[i : i + racks_per_region]) for i in range(0, len(racks), racks_per_region)]
 
-    def region_node(region: int, racks: int) -> Column | None:
-        own = [n for r in range(region * racks_per_region, min(racks, (region + 1) * racks_per_region)) if (n := rack_node(region, r)) is not None]
-        return least(own) if own else None
 
-    racks = -(-shards // shards_per_rack)
-    regions = -(-racks // racks_per_region)
-    return least([n for r in range(regions) if (n := region_node(r, racks)) is not None])
+def descend(rows: DataFrame, key: str, into: Sequence[str], shards: int, *, shards_per_rack: int = 4, racks_per_region: int = 2, weights: Sequence[float] | None = None, seed: int = 0) -> DataFrame:
+    """rows with the columns `into` (region, rack, shard) added: one weighted draw per child of the node that was reached.
+
+    At the root the regions draw, then only the racks of the region that won, then only the shards of that rack; a child's
+    draw depends on the key, the child and its weight alone. So a change of weight moves keys only into or out of the
+    subtrees whose weight changed, at every level. A new shard that opens a region of its own takes keys only into itself
+    (the law `key`); that is so for every shard count that is a multiple of shards_per_rack * racks_per_region. At other
+    counts keys may move within the region and the rack that grew as well. A shard of weight 0 (or less) gets nothing; at
+    least one weight must be positive. The draws per row are as many as the tree has regions, a region racks and a rack
+    shards, not as many as there are shards.
+    """
+    weights = [1.0] * shards if weights is None else list(weights)
+    if len(weights) != shards or not any(w > 0 for w in weights):
+        raise ValueError("one weight per shard, at least one of them positive")
+    own, racks, regions = (F.array(*map(F.lit, x)) for x in tree_weights(weights, shards_per_rack, racks_per_region))
+    count = -(-shards // (shards_per_rack * racks_per_region))
+    region, rack, shard = into
+    rows = rows.withColumn(region, winner(F.col(key), REGION, [F.lit(i) for i in range(count)], regions, seed))
+    rows = rows.withColumn(rack, winner(F.col(key), RACK, [F.col(region) * racks_per_region + i for i in range(racks_per_region)], racks, seed))
+    return rows.withColumn(shard, winner(F.col(key), SHARD, [F.col(rack) * shards_per_rack + i for i in range(shards_per_rack)], own, seed))
 
 
-def assign_shards(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shards: int = 16, shards_per_rack: int = 4, racks_per_region: int = 2, weights: Sequence[float] | None = None, grown_weight: float = 1.0, buckets: int = 1024, seed: int = 0) -> DataFrame:
+def assign_shards(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shards: int = 16, shards_per_rack: int = 4, racks_per_region: int = 2, weights: Sequence[float] | None = None, grown_weight: float = 1.0, bucket_rows: int = 4096, seed: int = 0) -> DataFrame:
     """Put every row into a shard by the law `key`: the key and the shard count decide.
 
     Returns key, size (UTF-8 bytes of the text plus 1), text_crc32, law, region, rack, shard, slot, grown_shard (the shard
-    with one more of `grown_weight`). slot counts each shard's rows from 0 without gaps: rows fall into `buckets` hash
-    buckets per shard, a small table of at most shards * buckets counts gives each bucket its first slot, and only rows of
-    one bucket are numbered together. Null text counts as empty. A null key is a key like any other (all such rows share
-    a shard). Repeated rows each get a slot of their own. Other columns, whatever their names, are left out. An empty
-    table gives an empty table.
+    with one more of `grown_weight`). That one more takes rows only into itself holds where `shards` fills whole regions,
+    as 16 does, see `descend`; other counts raise ValueError. slot counts each shard's rows from 0 without gaps: rows fall
+    into hash buckets of about `bucket_rows` rows, the running sum of the buckets' counts gives each its first slot, and
+    only rows of one bucket are numbered together. The bucket is drawn from key, text and the row's number in the written
+    table of hashes, so rows that repeat a key (or have none) are spread like all others. Null text counts as empty, a
+    very long one is one row like any other. A null key is a key like any other: all such rows share a shard. Repeated
+    rows each get a slot of their own. Other columns, whatever their names, are left out. An empty table gives an empty
+    table.
     """
+    if shards % (shards_per_rack * racks_per_region):
+        raise ValueError("the law `key` needs shards to fill whole regions")
     more = None if weights is None else [*weights, grown_weight]
+    more = [*[1.0] * shards, grown_weight] if more is None else more
     tree = dict(shards_per_rack=shards_per_rack, racks_per_region=racks_per_region, seed=seed)
-    k = F.col(key)
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(
-        k, (F.octet_length(body) + F.lit(1)).cast("long").alias("size"), F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"), shard_of(k, shards, weights=weights, **tree).alias("at"), shard_of(k, shards + 1, weights=more, **tree).getField("shard").alias("grown_shard")
-    ).select(key, "size", "text_crc32", F.col("at.region").alias("region"), F.col("at.rack").alias("rack"), F.col("at.shard").alias("shard"), "grown_shard", F.pmod(F.xxhash64(F.lit(seed + 1), key, "text_crc32"), F.lit(buckets)).cast("int").alias("bucket"))
+    body = F.coalesce(docs[text].cast("string"), F.lit(""))
+    rows = docs.select(docs[key].alias("key"), (F.octet_length(body) + F.lit(1)).cast("long").alias("size"), F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"), F.monotonically_increasing_id().alias("row"))
+    rows = descend(rows, "key", ("region", "rack", "shard"), shards, weights=weights, **tree)
+    rows = descend(rows, "key", ("grown_region", "grown_rack", "grown_shard"), shards + 1, weights=more, **tree).drop("grown_region", "grown_rack")
+    # written, as row numbers hold within one reading only; texts are read once
+    rows = written(rows, "shard-rows")
+    buckets = max(1, -(-rows.count() // (shards * bucket_rows)))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "key", "text_crc32", "row"), F.lit(buckets)))
     counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    first = counts.select("shard", "bucket", (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("first"))
-    numbered = rows.withColumn("nth", F.row_number().over(Window.partitionBy("shard", "bucket").orderBy(key, "text_crc32")) - 1)
-    # at most shards * buckets rows of three numbers: bounded by parameters, whatever the input
-    return numbered.join(F.broadcast(first), ["shard", "bucket"]).select(
-        key, "size", "text_crc32", F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), (F.col("first") + F.col("nth")).cast("long").alias("slot"), F.col("grown_shard").cast("int").alias("grown_shard"), F.col("region").cast("int").alias("region"), F.col("rack").cast("int").alias("rack")
+    first = counts.select(F.col("shard").alias("f_shard"), F.col("bucket").alias("f_bucket"), (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("first"))
+    numbered = rows.withColumn("nth", F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("key", "text_crc32", "row")) - 1)
+    return numbered.join(first, (F.col("shard") == F.col("f_shard")) & (F.col("bucket") == F.col("f_bucket"))).select(
+        F.col("key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("nth")).cast("long").alias("slot"), "grown_shard", "region", "rack"
     )
