@@ -80,7 +80,25 @@ class Levels:
         self.window = window
         self.counts = np.zeros(window + 1, np.int64)
         self.open: list[list[int]] = [[] for _ in range(window + 1)]
-        self.next = 0
+        self.next = self.n_open = 0
+
+    def raised(self, h: int, size: int) -> int:
+        """Move a window from level h (0: a new one) up by size, to its number."""
+        if h == 0:
+            at, self.next, self.n_open = self.next, self.next + 1, self.n_open + 1
+        else:
+            at = self.open[h].pop()
+            self.counts[h] -= 1
+        if h + size < self.window:
+            self.counts[h + size] += 1
+            self.open[h + size].append(at)
+        else:
+            self.n_open -= 1
+        return at
+
+    def fullest(self) -> int:
+        """The highest level of an open window."""
+        return int(np.flatnonzero(self.counts)[-1])
 
     def place(self, size: int) -> tuple[int, int]:
         """Window and offset for a document of 0 < size <= window: the level at which the sum of squared counts ends least.
@@ -96,15 +114,7 @@ class Levels:
         usable[0] = True
         change[~usable] = np.iinfo(np.int64).max
         h = len(change) - 1 - int(np.argmin(change[::-1]))
-        if h == 0:
-            at, self.next = self.next, self.next + 1
-        else:
-            at = self.open[h].pop()
-            n[h] -= 1
-        if h + size < w:
-            n[h + size] += 1
-            self.open[h + size].append(at)
-        return at, h
+        return self.raised(h, size), h
 
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
@@ -114,11 +124,13 @@ def _piece_schema(kind: pa.DataType) -> pa.Schema:
     return pa.schema([("doc_id", kind), *((n, pa.int64()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens"))])
 
 
-def pack_stream(docs: Iterator[tuple], window: int, base: int) -> Iterator[tuple]:
+def pack_stream(docs: Iterator[tuple], window: int, base: int, most_open: int = 64) -> Iterator[tuple]:
     """Pieces (doc, start, length, crc, doc_tokens, sequence, offset, tokens of the sequence) of (doc, id bytes).
 
-    A document's whole windows are sequences of their own; the rest of it is placed by `Levels`. Pieces leave once their
-    window is full. What is left in open windows when the stream ends is one run of tokens: it is cut into full windows
+    A document's whole windows are sequences of their own; the rest of it is placed by `Levels`. Whenever more than
+    `most_open` windows are open, the fullest is completed first, with as much of the next document as it has room for
+    (or with the whole of a shorter one), and only what remains of the document is placed. Pieces leave once their window
+    is full. The at most `most_open` windows open when the stream ends are one run of tokens: it is cut into full windows
     and then into falling powers of two, which need no padding. Memory: the ids of the open windows.
     """
     levels, held = Levels(window), {}
@@ -126,20 +138,28 @@ def pack_stream(docs: Iterator[tuple], window: int, base: int) -> Iterator[tuple
     def row(doc, ids: bytes, start: int, total: int, at: int, offset: int, tokens: int) -> tuple:
         return doc, start, len(ids) // WIDTH, zlib.crc32(ids), total, base + at, offset, tokens
 
+    def put(doc, ids: bytes, start: int, total: int, at: int, h: int) -> Iterator[tuple]:
+        held.setdefault(at, []).append((doc, ids, start, total, h))
+        if h + len(ids) // WIDTH == window:
+            for d, i, s, t, o in held.pop(at):
+                yield row(d, i, s, t, at, o, window)
+
     for doc, ids in docs:
         total = len(ids) // WIDTH
         whole = total - total % window
         for start in range(0, whole, window):
             at, levels.next = levels.next, levels.next + 1
             yield row(doc, ids[start * WIDTH : (start + window) * WIDTH], start, total, at, 0, window)
-        if whole < total:
-            rest = ids[whole * WIDTH :]
-            at, h = levels.place(total - whole)
-            own = held.setdefault(at, [])
-            own.append((doc, rest, whole, total, h))
-            if h + total - whole == window:
-                for d, i, s, t, o in held.pop(at):
-                    yield row(d, i, s, t, at, o, window)
+        while whole < total:
+            if levels.n_open > most_open:
+                h = levels.fullest()
+                size = min(window - h, total - whole)
+                at = levels.raised(h, size)
+            else:
+                size = total - whole
+                at, h = levels.place(size)
+            yield from put(doc, ids[whole * WIDTH : (whole + size) * WIDTH], whole, total, at, h)
+            whole += size
     left = sum(len(i) for own in held.values() for _, i, *_ in own) // WIDTH
     sizes = [window] * (left // window) + [1 << b for b in range(window.bit_length(), -1, -1) if left % window >> b & 1]
     at, offset, room = levels.next - 1, 0, 0
@@ -156,7 +176,7 @@ def pack_stream(docs: Iterator[tuple], window: int, base: int) -> Iterator[tuple
                 done, room, offset = done + take, room - take, offset + take
 
 
-def _pack(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks: str | None, pattern: str | None, end_id: int, window: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks: str | None, pattern: str | None, end_id: int, window: int, most_open: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     encoder, end, out = Encoder(tokenizer, ranks, pattern, added=True), array("I", [end_id]).tobytes(), []
 
     def docs():
@@ -167,7 +187,7 @@ def _pack(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks: str | None,
     def batch(rows):
         return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _piece_schema(kind), strict=True)], schema=_piece_schema(kind))
 
-    for r in pack_stream(docs(), window, TaskContext.get().partitionId() << 40):
+    for r in pack_stream(docs(), window, TaskContext.get().partitionId() << 40, most_open):
         out.append(r)
         if len(out) == 10_000:
             yield batch(out)
@@ -176,13 +196,15 @@ def _pack(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks: str | None,
         yield batch(out)
 
 
-def pack(docs: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer: str | None = None, ranks: str | None = None, pattern: str | None = None, end_id: int = 1, window: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer: str | None = None, ranks: str | None = None, pattern: str | None = None, end_id: int = 1, window: int = 2048, most_open: int = 64) -> DataFrame:
     """Pack every document, ids by `tokenizer` (added tokens in the text as it reads them) and then `end_id`, into sequences of at most `window` tokens.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens. Each partition
     of the table is packed as a stream by the sum of squares, so nothing is shuffled and a lost task is simply packed
     again; sequence_id is the partition's number in the high bits and a count below. A sequence holds `window` tokens or
-    a power of two, so no token of padding is needed at all. Null or empty texts are the end id alone. Repeated rows are
+    a power of two, so no token of padding is needed at all: a partition keeps at most `most_open` windows open, the fullest
+    of which take a cut piece of the next document when there are more, and only those at its end are cut anew. Very
+    long texts are tokenised whole, one at a time. Null or empty texts are the end id alone. Repeated rows are
     separate documents, each placed once. Null keys are kept. An empty table gives no rows. Other columns are ignored.
     `tokenizer` None: the public byte-level BPE of 50,257 ids, whose rank file then serves as its faster encoder.
     """
@@ -192,10 +214,10 @@ def pack(docs: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer:
         tokenizer, ranks, pattern = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN
     if window < 1:
         raise ValueError("window must be positive")
-    small_batches(docs.sparkSession, 1000)
+    small_batches(docs.sparkSession)
     lean = docs.select(docs[key].alias("doc_id"), docs[text].cast("string").alias("text"))
     of = lean.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(of)
-    return lean.mapInArrow(lambda it: _pack(it, str(tokenizer), ranks and str(ranks), pattern, end_id, window, kind), f"doc_id {of.simpleString()}, {PIECES}")
+    return lean.mapInArrow(lambda it: _pack(it, str(tokenizer), ranks and str(ranks), pattern, end_id, window, most_open, kind), f"doc_id {of.simpleString()}, {PIECES}")
