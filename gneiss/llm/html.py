@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,7 +45,11 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are menus if they hold little but links.
 MENUS = frozenset("div ul ol table tr td section center p".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+#: The rest of a tag behind its name, quotes kept together.
+TAG_END = re.compile(r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+TAG_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)")
+#: A tag whose quotes do not close ends at its first >; after so many on a page quotes are no longer looked at.
+MOST_UNCLOSED = 16
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PART = re.compile(r"[a-z]+")
 
@@ -60,55 +65,112 @@ class Node:
         return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(self.raw)}
 
 
+def tokens(source: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Tags and things to skip, in order: start, end, slash, name, attributes (name "" for comments and the like).
+
+    One scan: a < that begins nothing is text, and no construct is looked for again once it is known not to follow.
+    """
+    at, n, unclosed = 0, len(source), 0
+    last_close = source.rfind(">")
+    last_cdata = source.rfind("]]>")
+    while (at := source.find("<", at)) >= 0:
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            end = n if end < 0 else end + 3
+            yield at, end, "", "", ""
+        elif source.startswith("<![CDATA[", at) and last_cdata >= at + 9:
+            end = source.find("]]>", at + 9) + 3
+            yield at, end, "", "", ""
+        elif source.startswith(("!", "?"), at + 1) and last_close > at:
+            end = source.find(">", at) + 1
+            yield at, end, "", "", ""
+        elif last_close > at and (m := TAG_NAME.match(source, at + 1)):
+            rest = TAG_END.match(source, m.end()) if unclosed < MOST_UNCLOSED else None
+            if rest is None:
+                unclosed += 1
+                end = source.find(">", m.end()) + 1
+                if not end:
+                    at += 1
+                    continue
+                yield at, end, m[1], m[2], source[m.end() : end - 1]
+            else:
+                end = rest.end()
+                yield at, end, m[1], m[2], rest[1]
+        else:
+            end = at + 1
+        at = end
+
+
+class Open:
+    """The open elements, and where among them those of each name are, so that no walk is needed to find one."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Close all elements from this depth on."""
+        while len(self.stack) > depth:
+            node = self.stack.pop()
+            self.depths[node.tag].pop()
+            if node.tag in BLOCK:
+                self.blocks.pop()
+
+    def deepest(self, names: tuple[str, ...] | str) -> int:
+        return max((self.depths[t][-1] for t in ((names,) if isinstance(names, str) else names) if self.depths.get(t)), default=0)
+
+    def close(self, tag: str) -> None:
+        """A closing tag: of an inline element only within the innermost open block."""
+        depth = self.deepest(tag)
+        if depth and (tag in BLOCK or not self.blocks or depth > self.blocks[-1]):
+            self.cut(depth)
+
+    def implied(self, tag: str) -> None:
+        """What an opening tag ends."""
+        if tag in BLOCK and self.blocks and self.stack[self.blocks[-1]].tag == "p":
+            self.cut(self.blocks[-1])
+        if tag in ENDS:
+            stop = self.deepest(STOPS[tag])
+            found = [d[bisect_right(d, stop)] for t in ENDS[tag] if (d := self.depths.get(t)) and d[-1] > stop]
+            if found:
+                self.cut(min(found))
+
+
 def parse(source: str) -> Node:
-    """The tree of a page: never fails, closes what is left open, keeps raw text in `parts` as strings."""
-    root = here = Node("#root", None)
-    at, n = 0, len(source)
-    for m in iter(lambda: TOKEN.search(source, at), None):
-        if m.start() > at:
-            here.parts.append(source[at : m.start()])
-        at, name = m.end(), m[2]
-        if name is None:
+    """The tree of a page: never fails, closes what is left open, keeps raw text in `parts` as strings. Linear in its length."""
+    root = Node("#root", None)
+    held, at, n = Open(root), 0, len(source)
+    for start, end, slash, name, raw in tokens(source):
+        if start < at:  # within the raw text of a script or the like
+            continue
+        if start > at:
+            held.stack[-1].parts.append(source[at:start])
+        at = end
+        if not name:
             continue
         tag = name.lower()
-        if m[1]:
-            look = here
-            while look is not root and look.tag != tag:
-                if tag not in BLOCK and look.tag in BLOCK:
-                    look = root
-                    break
-                look = look.parent
-            if look is not root:
-                here = look.parent
+        if slash:
+            held.close(tag)
             continue
-        if tag in BLOCK:
-            look = here
-            while look is not root and look.tag != "p" and look.tag not in BLOCK:
-                look = look.parent
-            if look.tag == "p":
-                here = look.parent
-        if tag in ENDS:
-            look, last = here, None
-            while look is not root and look.tag not in STOPS[tag]:
-                if look.tag in ENDS[tag]:
-                    last = look
-                look = look.parent
-            if last is not None:
-                here = last.parent
-        node = Node(tag, here, m[3])
-        here.parts.append(node)
+        held.implied(tag)
+        node = Node(tag, held.stack[-1], raw)
+        held.stack[-1].parts.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(source, at)
-            stop = end.start() if end else n
+            close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
+            stop = close.start() if close else n
             node.parts.append(source[at:stop])
-            close = source.find(">", stop)
-            at = n if close < 0 else close + 1
-        elif tag not in VOID and not m[3].endswith("/"):
-            here = node
-        elif tag not in VOID and tag in BLOCK:
-            here = node  # a stray slash means nothing on such elements
+            at = source.find(">", stop) + 1 or n
+        elif tag not in VOID and (tag in BLOCK or not raw.endswith("/")):  # a stray slash means nothing on blocks
+            held.push(node)
     if at < n:
-        here.parts.append(source[at:])
+        held.stack[-1].parts.append(source[at:])
     return root
 
 
@@ -293,31 +355,32 @@ def scored_text(root: Node, skip: set[int]) -> str:
         if inside:
             inside_article.add(id(node))
         stack.extend((part, inside) for part in node.parts if isinstance(part, Node) and id(part) not in skip)
-    own: dict[int, str] = {}
+    own: dict[int, tuple[int, int, int]] = {}  # of its text outside of blocks: length, commas, characters but spaces at ends
     for node in reversed(order):  # children before parents
-        length, linked, texts, holds_block = 0, 0, [], False
+        length, linked, holds_block = 0, 0, False
+        size, commas, solid = -1, 0, 0
         for part in node.parts:
             if isinstance(part, str):
                 text = part.strip()
                 length += len(text)
-                texts.append(text)
+                size, commas, solid = size + len(text) + 1, commas + text.count(",") + text.count("，"), solid + len(text)
             elif id(part) not in skip:
                 length += part.length
                 linked += part.linked
                 if part.tag in BLOCK:
                     holds_block = True
                 else:
-                    texts.append(own.get(id(part), ""))
+                    inner = own.get(id(part), (0, 0, 0))
+                    size, commas, solid = size + inner[0] + 1, commas + inner[1], solid + inner[2]
         node.length, node.linked = length, length if node.tag == "a" else linked
         if node.tag in MENUS and linked > 0.66 * length and id(node) not in inside_article and sum(p.tag in ("a", "li") or p.linked > 0 for p in node.parts if isinstance(p, Node)) > 1:
             skip.add(id(node))
             node.length = node.linked = 0
-        own[id(node)] = " ".join(texts)
+        own[id(node)] = max(size, 0), commas, solid
         if node.tag in ("p", "pre", "td", "blockquote") or node.tag in BLOCK and not holds_block and node.tag not in ("h1", "h2", "h3", "h4", "h5", "h6", "li"):
-            text = own[id(node)]
-            if not text.strip():
+            if not solid:
                 continue
-            points = 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
+            points = 1 + commas + min(size / 100, 3)
             level, up = 0, node.parent
             while up is not None and level < 6:
                 up.score += points / (1 if level == 0 else 2 if level == 1 else level * 3)
@@ -367,11 +430,12 @@ def extract_main_text(pages: DataFrame, *, key: str = "page_id", url: str = "url
     """One row per row of `pages`: page_id, url, text, n_chars (code points).
 
     Runs where the page lies, without a shuffle. Null or empty pages give an empty text, null keys and urls stay null,
-    repeated rows give repeated rows, other columns are ignored, an empty table gives no rows.
+    repeated rows give repeated rows, other columns are ignored, an empty table gives no rows. Of equally scored containers
+    the first is taken. Pages are read in time and memory in proportion to their length, however deep, long or broken.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    small_batches(pages.sparkSession, 500)
+    small_batches(pages.sparkSession)
     lean = pages.select(pages[key].alias("page_id"), pages[url].alias("url"), pages[source].cast("string").alias("html"))
     out = lean.select("page_id", "url").schema.add("text", "string").add("n_chars", "long")
     arrow = to_arrow_schema(out)
