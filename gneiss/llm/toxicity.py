@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import U64, Rolling, mixed, small_batches
+from gneiss.llm.common import U64, Rolling, mixed, small_batches, unused
 
 #: Symbols that count as part of a word between two letters or digits, as in disguised spellings.
 INNER = "@$!*0'-_+&%#|."
@@ -183,13 +183,15 @@ def chunk_bags(texts: list[str], first: int, shape: Shape) -> tuple[np.ndarray,
     return buckets, a[b > a], b[b > a], stream.bag_doc[b > a] + first
 
 
-def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, least_epochs: int = 6, steps: int = 2000, batch: int = 256, rate: float = 0.3, bags_per_text: int = 16, hardest: int = 8, spoilt: float = 0.3, seed: int = 7) -> Model:
+def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, least_epochs: int = 4, steps: int = 2000, batch: int = 256, rate: float = 1.0, damping: float = 1e-6, bags_per_text: int = 16, hardest: int = 8, spoilt: float = 0.3, seed: int = 7) -> Model:
     """Fit n-gram vectors and softmax weights together on bags of words of labelled texts.
 
     A text is as toxic as its likeliest bag. So of a text of label 1 only the likeliest bag, and those already above one
     half, are shown as toxic (in the first epoch, up to bags_per_text drawn at random); of the others are shown
     bags_per_text bags drawn anew in each epoch and the `hardest`, those that are taken for toxic most. Each text is also
-    shown with some words misspelt. Few texts are gone over more often, up to about `steps` batches. N-grams that were never seen keep a zero vector and say nothing.
+    shown with some words misspelt. Few texts are gone over more often, up to about `steps` batches. N-grams that were
+    never seen keep a zero vector and say nothing; `damping` keeps the rare ones, seen by chance under one label, from
+    moving as far as those that many texts agree on.
     """
     rng = np.random.default_rng(seed)
     size = 1 << shape.bits
@@ -226,7 +228,7 @@ def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, least_
     vectors = np.zeros((size, shape.dim), np.float32)
     weights = rng.normal(0, 1, (shape.dim, 2)).astype(np.float32)
     bias = np.array([1.0, -1.0])
-    seen, seen_w, seen_b = np.full(size, 1e-8, np.float32), np.full(weights.shape, 1e-6), np.full(2, 1e-6)
+    seen, seen_w, seen_b = np.full(size, damping, np.float32), np.full(weights.shape, 1e-6), np.full(2, 1e-6)
     epoch, epochs = 0, 1
     while epoch < epochs:
         logit = logits_now()
@@ -258,30 +260,33 @@ def train(texts: list[str], labels: list[int], shape: Shape = Shape(), *, least_
             empty = 1 / (1 + np.exp(bias[0] - bias[1]))
             grad_b += 0.25 * empty * np.array([-1, 1])
             seen_w += grad_w * grad_w
-            weights -= (0.1 * rate * grad_w / np.sqrt(seen_w)).astype(np.float32)
+            weights -= (0.03 * rate * grad_w / np.sqrt(seen_w)).astype(np.float32)
             seen_b += grad_b * grad_b
-            bias -= 0.3 * rate * grad_b / np.sqrt(seen_b)
+            bias -= 0.1 * rate * grad_b / np.sqrt(seen_b)
         epoch += 1
     return Model((vectors @ (weights[:, 1] - weights[:, 0])).astype(np.float32), float(bias[1] - bias[0]), shape)
 
 
-def calibrated(model: Model, texts: list[str], labels: list[int]) -> Model:
-    """The model with its bias set so that one half parts the labels of texts it was not trained on best.
+def calibrated(model: Model, texts: list[str], labels: list[int], doubt: float = 4.0) -> Model:
+    """The model with its bias moved towards the border that parts the labels of texts it was not trained on best.
 
     A wrongly accused text weighs twice as much as a missed one, in parts of its label's texts; of equally good borders
-    the middle is taken.
+    the middle is taken. With n texts of the rarer label, the bias goes n / (n + doubt) of the way: few say little, none
+    nothing.
     """
-    y = np.array(labels)
-    if not y.any() or y.all():
-        return model
-    logit = np.concatenate([model.logits([t.lower() for t in texts[i:j]]) for i, j in chunks(texts)])
-    order = np.argsort(logit, kind="stable")
-    cost = np.concatenate([[0], np.cumsum(y[order] / y.sum())]) + 2 * np.concatenate([np.cumsum(((1 - y[order]) / (1 - y).sum())[::-1])[::-1], [0]])
-    edge = np.concatenate([[logit[order[0]] - 1], logit[order], [logit[order[-1]] + 1]])
-    best = np.flatnonzero(cost <= cost.min() + 1e-12)
-    run = best[: 1 + int(np.argmax(np.append(np.diff(best) != 1, True)))]
+    y = np.array(labels, bool)
+    n = int(min(y.sum(), (~y).sum()))
+    shift = 0.0
+    if n:
+        logit = np.concatenate([model.logits([t.lower() for t in texts[i:j]]) for i, j in chunks(texts)])
+        order = np.argsort(logit, kind="stable")
+        cost = np.concatenate([[0], np.cumsum(y[order] / y.sum())]) + 2 * np.concatenate([np.cumsum((~y[order] / (~y).sum())[::-1])[::-1], [0]])
+        edge = np.concatenate([[logit[order[0]] - 1], logit[order], [logit[order[-1]] + 1]])
+        best = np.flatnonzero(cost <= cost.min() + 1e-12)
+        run = best[: 1 + int(np.argmax(np.append(np.diff(best) != 1, True)))]
+        shift = n / (n + doubt) * float(edge[run[0]] + edge[run[-1] + 1]) / 2
     # a text that says nothing is not toxic, wherever the border falls
-    return Model(model.value, min(-1.0, model.bias - float(edge[run[0]] + edge[run[-1] + 1]) / 2), model.shape)
+    return Model(model.value, min(-1.0, model.bias - shift), model.shape)
 
 
 def held_out(key: Column) -> Column:
@@ -314,10 +319,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
 
 
 def fitted(texts: list[str], labels: list[int], shape: Shape = Shape()) -> Model:
-    """Train on three of four texts and set the border by the fourth; with under 16 texts of a label, train on all."""
-    if min(labels.count(0), labels.count(1)) < 16:
-        return train(texts, labels, shape)
-    kept = [i % 4 == 3 for i in range(len(texts))]
+    """Train on three of four texts of each label and set the border by the fourth."""
+    nth = {0: 0, 1: 0}
+    kept = []
+    for y in labels:
+        nth[y] += 1
+        kept.append(nth[y] % 4 == 0)
     model = train([t for t, k in zip(texts, kept, strict=True) if not k], [y for y, k in zip(labels, kept, strict=True) if not k], shape)
     return calibrated(model, [t for t, k in zip(texts, kept, strict=True) if k], [y for y, k in zip(labels, kept, strict=True) if k])
 
@@ -334,10 +341,10 @@ def scored(docs: DataFrame, model: Model, *, text: str = "text", score: str = "s
     """docs with the column `score` added (a column of that name is replaced). Runs where the rows lie; whole texts are read."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    small_batches(docs.sparkSession, 1000)
-    keep = [c for c in docs.columns if c != score]
-    lean = docs.select(docs[text].cast("string").alias("__text"), *[docs[c] for c in keep])
-    out = docs.select(*keep).schema.add(score, "double")
+    small_batches(docs.sparkSession)
+    keep = [c for c in docs.columns if c.lower() != score.lower()]
+    lean = docs.select(docs[text].cast("string").alias(unused("scored_text", docs)), *[docs[c] for c in keep])
+    out = docs.select(*[docs[c] for c in keep]).schema.add(score, "double")
     arrow = to_arrow_schema(out)
     held = docs.sparkSession.sparkContext.broadcast(model)
     return lean.mapInArrow(lambda it: _score(it, held.value, arrow), out)
@@ -348,7 +355,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: s
 
     A score is the probability of the likeliest stretch of words of the whole text. Null texts count as empty; a text
     without words gets the score of an empty bag; null keys are scored and count as not held out; repeated rows are
-    scored alike; other columns are ignored. Without labels of both kinds all scores are the labels' rate.
+    scored alike; other columns are ignored. A very long text is read in bags like any other; texts are taken in chunks of
+    about a million characters, a longer one by itself. Without labels of both kinds all scores are the labels' rate. An
+    empty table of documents gives no rows. Of labels that contradict each other for a key, 1 holds.
     """
     model = fit(docs, labels, key=key, text=text, label=label, per_label=per_label)
     got = scored(docs.select(docs[key].alias("doc_id"), docs[text].alias("text")), model)
