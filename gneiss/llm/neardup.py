@@ -132,7 +132,7 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
     columns are ignored; an empty table gives no rows.
     """
     spark = vectors.sparkSession
-    small_batches(spark, 2000)
+    small_batches(spark)
     v = vectors[vector]
     fine = usable(v, 1e150) & F.exists(v, lambda x: F.abs(x.cast("double")) > F.lit(1e-150)) & vectors[key].isNotNull()
     rows = vectors.select(vectors[key].cast("long").alias("id"), F.when(fine, F.transform(v, lambda x: x.cast("double"))).alias("v")).dropDuplicates(["id", "v"])

@@ -153,7 +153,7 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     that repeat a key are taken as one document; other columns are ignored.
     """
     spark = docs.sparkSession
-    small_batches(spark, 1000)
+    small_batches(spark)
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     lean = docs.where(docs[key].isNotNull()).select(docs[key].cast("long").alias("doc_id"), body.alias("text"))
     asked = lean.select("doc_id", "text", F.xxhash64("text").alias("t1"), F.crc32(F.encode("text", "UTF-8")).alias("t2"))
@@ -204,7 +204,7 @@ def without_passages(docs: DataFrame, passages: DataFrame, *, key: str = "doc_id
     """docs with the passages cut out of their texts (and n_chars counted anew); documents of which nothing is left go."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    small_batches(docs.sparkSession, 1000)
+    small_batches(docs.sparkSession)
     per = passages.groupBy("doc_id").agg(F.collect_list(F.struct("span_start", "span_words")).alias("spans"))
     found, starts, sizes, cut = (unused(n, docs) for n in ("passages_of", "starts", "sizes", "is_cut"))
     per = per.select(F.col("doc_id").alias(found), F.col("spans.span_start").alias(starts), F.col("spans.span_words").alias(sizes))
