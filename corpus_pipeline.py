@@ -6,36 +6,54 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gneiss.llm import mixing, ngram, packing, suffix
 from gneiss.llm import toxicity as tox
-from gneiss.llm.common import written
+from gneiss.llm.common import unused, written
 from gneiss.llm.queries import table
 
 THRESHOLD = 0.5
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score stays below THRESHOLD; the model is fitted on labelled ones of them that are not held out."""
+    """Documents whose score stays below THRESHOLD; the model is fitted on labelled ones of them that are not held out.
+
+    Null, empty and wordless texts say nothing and stay; repeated rows and null keys are scored like any others; columns of
+    whatever names stay as they are; an empty table stays empty.
+    """
     model = tox.fit(docs, table(spark, sf_dir, "labels"))
-    kept = tox.scored(docs, model, score="__toxicity")
-    return kept.where(kept["__toxicity"] < THRESHOLD).select(*docs.columns)
+    score = unused("toxicity", docs)
+    kept = tox.scored(docs, model, score=score)
+    return kept.where(kept[score] < THRESHOLD).drop(score)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
+    """One document, that of the smallest id, of each group of near duplicates.
+
+    Null or blank texts and rows without a key all stay; of rows that repeat a key and a text one stays, rows that share a
+    key but not the text are told apart (`ngram.keep_one`); an empty table stays empty.
+    """
     return ngram.keep_one(docs, ngram.jaccard_join(docs))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occurred before are cut out; documents that hold nothing else go."""
+    """Passages that occurred before are cut out; documents that hold nothing else go.
+
+    Null, empty and short texts and rows without a key stay as they are; rows of one key count as one document, the earlier
+    of which keeps the passage; an empty table stays empty.
+    """
     return suffix.without_passages(docs, suffix.repeated_passages(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once, those of small sources again up to the repetition limit."""
-    return mixing.with_copies(docs, mixing.mixing_plan(docs)).select(*docs.columns)
+    """Every document at least once, those of small sources again up to the repetition limit.
+
+    Null sources are one source; null texts weigh one token; repeated rows are passed over alike; an empty table stays
+    empty.
+    """
+    nth = unused("mix_pass", docs)
+    return mixing.with_copies(docs, mixing.mixing_plan(docs), mix_pass=nth).drop(nth)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and where they lie."""
+    """The pieces of all documents and where they lie; null and empty texts are the end id alone, repeated rows are packed each."""
     return packing.pack(docs)
 
 
