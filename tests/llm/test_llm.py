@@ -315,13 +315,67 @@ def test_suffix_odd_rows(spark):
     assert suffix.repeated_passages(odd(spark).limit(0)).collect() == []
 
 
-def test_minimisers_of_equal_runs():
+def test_retained_suffixes_of_equal_runs():
     r = np.random.default_rng(4)
     a, b = r.integers(0, 50, 300).astype(np.uint64), r.integers(0, 50, 300).astype(np.uint64)
     b[100:160] = a[20:80]
-    x, y = suffix.minimisers(a, 35), suffix.minimisers(b, 35)
-    for k in range(20, 80 - 35 + 1):
-        assert {p - 20 for p in x if k <= p < k + 35} & {p - 100 for p in y if k + 80 <= p < k + 115}
+    of = {}
+    for name, w in (("a", a), ("b", b)):
+        place, first, last, key = suffix.retained(w, 50, 16)
+        assert first[0] == 0 and last[-1] == 250 and (first[1:] == last[:-1] + 1).all()
+        of[name] = {s: (p - s, k) for p, f, e, k in zip(place, first, last, key) for s in range(f, e + 1)}
+        assert all(0 <= p <= 34 for p, _ in of[name].values())
+    assert all(of["a"][s] == of["b"][s + 80] for s in range(20, 80 - 50 + 1))
+    assert len(suffix.retained(a[:49], 50, 16)[0]) == 0
+
+
+def suffix_rows(texts, vocabulary, chunk, most, cuts):
+    """Passages found by `_compare` and the second sort alone, over partitions cut at `cuts`, as sets of words."""
+    import pyarrow as pa
+
+    rows = []
+    for doc, w in enumerate(texts):
+        words = " ".join(f"x{i}" for i in w).encode()
+        batch = pa.record_batch([pa.array([doc], pa.int64()), pa.array([words.decode()]), pa.array([list(range(len(w)))])], names=["doc_id", "text", "nth"])
+        for b in suffix._suffixes(iter([batch]), 50, 16):
+            rows += zip(*(c.to_pylist() for c in b.columns))
+    rows.sort()
+    names = ["gram_key", "behind", "before", "doc_id", "start", "runs"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32()]
+    found, opened = defaultdict(set), defaultdict(list)
+    edges = [0, *sorted(c % (len(rows) + 1) for c in cuts), len(rows)]
+    for lo, hi in zip(edges, edges[1:]):
+        part = [pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows[i : i + 7]), kinds)], names=names) for i in range(lo, hi, 7) if rows[i : min(i + 7, hi)]]
+        part = [b.slice(0, min(7, hi - lo - 7 * n)) for n, b in enumerate(part)]
+        for b in suffix._compare(iter(part), 34, chunk, most):
+            left = b.filter(pa.compute.equal(b.column(0), suffix.OPEN))
+            for o in suffix._opened(iter([pa.record_batch(left.columns[1:], names=names)]), 34):
+                for h1, h2, doc, start in zip(*(c.to_pylist() for c in o.columns)):
+                    opened[h1, h2].append((doc, start))
+            for kind, *_, doc, start, runs in zip(*(c.to_pylist() for c in b.columns)):
+                if kind == suffix.AGAIN:
+                    found[doc].update(range(start, start + runs + 49))
+    for own in opened.values():
+        for doc, start in sorted(own)[1:]:
+            found[doc].update(range(start, start + 50))
+    return dict(found)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_sorted_suffixes_brute_force(seed):
+    """Texts pieced together from shared passages of all lengths, few words in all, cut anywhere into partitions."""
+    r = random.Random(seed)
+    vocabulary = r.choice((2, 5, 1000))
+    shared = [[r.randrange(vocabulary) for _ in range(r.randrange(10, 140))] for _ in range(5)]
+    texts = []
+    for _ in range(14):
+        w = []
+        while len(w) < 150:
+            w += r.choice(shared)[r.randrange(8) :] if r.random() < 0.6 else [r.randrange(vocabulary) for _ in range(r.randrange(1, 40))]
+        texts.append(w)
+    want = brute_passages([(i, " ".join(f"x{k}" for k in w), "s") for i, w in enumerate(texts)])
+    for chunk, most, cuts in ((10**6, 10**6, ()), (20, 10**6, (r.randrange(1000),)), (5, 9, tuple(r.randrange(1000) for _ in range(6)))):
+        assert suffix_rows(texts, vocabulary, chunk, most, cuts) == dict(want)
 
 
 # ---- packing
