@@ -45,14 +45,15 @@ def brute_topk(rows, k=10):
     return out
 
 
-def test_topk_brute_force(spark):
+@pytest.mark.parametrize("cells", [1024, 3, 1])
+def test_topk_brute_force(spark, cells):
     r = np.random.default_rng(0)
     rows = [(i, r.normal(0, 0.2, 8).round(2).astype(np.float32).tolist()) for i in range(700)]
     rows[3] = (3, rows[100][1])  # ties
     rows += [(900, None), (901, []), (902, [float("nan")] * 8), (903, [1.0] * 7 + [None]), (904, [float("inf")] * 8)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("shard", F.lit(1)).withColumn("id", F.lit("x"))
     got = defaultdict(list)
-    for x in topk.top_k(df, shard_rows=100, query_block=3, leaf=8).orderBy("query_id", "rank").collect():
+    for x in topk.top_k(df, shard_rows=100, most_cells=cells, sample_rows=300, query_block=3, leaf=8).orderBy("query_id", "rank").collect():
         got[x["query_id"]].append((x["rank"], x["vec_id"], x["score"]))
     assert dict(got) == brute_topk(rows)
 
@@ -63,15 +64,64 @@ def test_topk_small(spark):
     assert topk.top_k(df.limit(0)).collect() == []
 
 
+def test_topk_large_components(spark):
+    """Every finite component takes part; scores are exact beyond what doubles hold; one that fits no long is an error."""
+    rows = [(0, [2.9e6, 0.0]), (1, [2.9e6, 0.0]), (2, [2097151.0, 1.0]), (100, [2.5e6 + 1 / 1024, 3.0]), (3, [float(2**10) + 1 / 1024, 0.0]), (4, [-1e300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for x in topk.top_k(df.where("vec_id <> 4"), k=3).orderBy("query_id", "rank").collect():
+        got[x["query_id"]].append((x["vec_id"], x["score"]))
+    live = {i: [math.floor(1024 * x) for x in v] for i, v in rows if i != 4}
+    for q in (0, 100):
+        want = sorted(((-sum(a * b for a, b in zip(live[q], live[i])), i) for i in live if i != q))[:3]
+        assert got[q] == [(i, -s) for s, i in want]
+    assert [x["vec_id"] for x in topk.top_k(df, k=1).where("query_id = 0").collect()] == [1]
+    with pytest.raises(Exception, match="does not fit"):
+        topk.top_k(df, k=5).collect()
+
+
+def test_topk_skips_shards(spark, monkeypatch):
+    """Queries go on only to cells whose boxes can reach their k-th score, and find the same rows."""
+    r = np.random.default_rng(3)
+    rows = [(i, [r.uniform(-4, 4), *r.normal(0, 0.02, 3).tolist()]) for i in range(1600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sent = []
+    real = topk.written
+    monkeypatch.setattr(topk, "written", lambda d, name: [x := real(d, name), name == "topk-asked" and sent.append(x.count())][0])
+    got = defaultdict(list)
+    for x in topk.top_k(df, shard_rows=100, leaf=16).orderBy("query_id", "rank").collect():
+        got[x["query_id"]].append((x["rank"], x["vec_id"], x["score"]))
+    assert dict(got) == brute_topk(rows)
+    assert sent[0] == 16 and sent[1] < 16 * 4
+
+
+def test_topk_of_equal_vectors(spark):
+    """A table of one vector: no split parts it, its cell is parted by hash, ties go to the smaller key."""
+    df = spark.range(500).select(F.col("id").alias("vec_id"), F.array(F.lit(0.5), F.lit(0.25)).alias("embedding"))
+    got = topk.top_k(df, shard_rows=50, leaf=8).where("query_id = 100").orderBy("rank").collect()
+    assert [x["vec_id"] for x in got] == list(range(10)) and {x["score"] for x in got} == {512 * 512 + 256 * 256}
+
+
 def test_kdtree_bounds():
     r = np.random.default_rng(1)
     points = r.integers(-50, 50, (500, 5)).astype(float)
     tree, q = topk.KDTree(points, 16), r.integers(-50, 50, (4, 5)).astype(float)
-    bounds = tree.bounds(q)
-    for node, rows in enumerate(tree.rows):
-        if rows is not None:
-            assert (bounds[:, node][:, None] >= q @ points[rows].T).all()
-    assert sorted(np.concatenate([x for x in tree.rows if x is not None])) == list(range(500))
+    bounds = topk.most_product(q, tree.low, tree.high)
+    for node, (begin, end) in enumerate(tree.span):
+        own = tree.points[begin:end]
+        assert (tree.low[node] == own.min(0)).all() and (tree.high[node] == own.max(0)).all()
+        assert (bounds[:, node][:, None] >= q @ own.T).all()
+        a, b = tree.child[node]
+        assert a < 0 or (tree.span[a][0], tree.span[a][1], tree.span[b][1]) == (begin, tree.span[b][0], end) and abs(int(np.diff(tree.span[a])[0]) - int(np.diff(tree.span[b])[0])) <= 1
+    assert sorted(tree.order) == list(range(500)) and (tree.points == points[tree.order]).all()
+
+
+def test_cells_of_a_sample():
+    r = np.random.default_rng(5)
+    points = r.normal(0, 1, (4000, 3))
+    cell = topk.cell_of(points, topk.cells_of(points, 16))
+    assert sorted(np.bincount(cell)) == [250] * 16
+    assert set(topk.cell_of(np.ones((5, 3)), topk.cells_of(np.ones((9, 3)), 16))) == {0}
 
 
 # ---- near duplicates
@@ -97,7 +147,7 @@ def test_near_duplicates_brute_force(spark):
     rows = [(i + 10, x.tolist()) for i, x in enumerate(v)]
     rows += [(1, None), (2, [0.0] * 6), (3, [float("nan")] * 6), (4, [None] * 6), (5, []), rows[0]]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("weight", F.lit(3)).withColumn("cell", F.lit("x"))
-    got = {x["vec_id"]: x for x in neardup.near_duplicates(df, cell_rows=16, block_rows=16).collect()}
+    got = {x["vec_id"]: x for x in neardup.near_duplicates(df, block_rows=16).collect()}
     u = v / np.linalg.norm(v, axis=1)[:, None]
     close = u @ u.T >= 0.95
     links = [(i + 10, j + 10) for i in range(len(v)) for j in range(len(v)) if i != j and close[i, j]]
@@ -107,6 +157,40 @@ def test_near_duplicates_brute_force(spark):
         assert (x["n_links"], x["component_id"], x["kept"]) == (n[i], label[i], label[i] == i), i
 
 
+def brute_links(v, least=0.95):
+    u = v / np.abs(v).max(1)[:, None]
+    u = u / np.linalg.norm(u, axis=1)[:, None]
+    return [(int(i), int(j)) for i, j in zip(*np.nonzero(u @ u.T >= least)) if i != j]
+
+
+def test_near_duplicates_of_clusters(spark):
+    """Among clusters many pivots are taken, few vectors are copied and few pairs compared; links are those of all pairs."""
+    r = np.random.default_rng(8)
+    middle = r.normal(0, 1, (60, 24))
+    v = middle[r.integers(0, 60, 1500)] + r.normal(0, 0.12, (1500, 24))
+    report = []
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {x["vec_id"]: x for x in neardup.near_duplicates(df, report=report).collect()}
+    links = brute_links(v)
+    n, label = Counter(a for a, _ in links), groups(got, links)
+    assert len(links) > 1000 and all((x["n_links"], x["component_id"]) == (n[i], label[i]) for i, x in got.items())
+    (said,) = report
+    assert said["pivots"] >= 4 and said["compared"] < 0.35 * said["all"]
+
+
+def test_rings_lose_no_link():
+    r = np.random.default_rng(9)
+    v = np.concatenate([r.normal(0, 1, (700, 5)), r.normal(0, 0.1, (300, 5)) + 1])
+    a, b, compared = neardup.links_between(v, v, 0.95, math.sqrt(0.1))
+    assert sorted((int(x), int(y)) for x, y in zip(a, b) if x != y) == sorted(brute_links(v)) and compared < len(v) ** 2
+
+
+def test_near_duplicates_of_extreme_components(spark):
+    rows = [(1, [1e200, 0.0]), (2, [2e200, 1e180]), (3, [1e-200, 0.0]), (4, [5e-324, 0.0]), (5, [0.0, 1e308]), (6, [1.0, 1e-320]), (7, [0.0, -1e-300])]
+    got = {x["vec_id"]: (x["n_links"], x["component_id"]) for x in neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**{i: (4, 1) for i in (1, 2, 3, 4, 6)}, 5: (0, 5), 7: (0, 7)}
+
+
 def test_near_duplicates_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neardup.near_duplicates(df).collect() == []
