@@ -51,9 +51,9 @@ def first_rows(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return rows.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("__n = 1").drop("__n")
 
 
-def valid_edges(edges: DataFrame) -> DataFrame:
-    """Columns stripped; an edge needs all but its source_id."""
-    clean = edges.select(*[strip(F.col(c)).alias(c) for c in TABLES["edge"]])
+def valid_edges(edges: DataFrame, free: Sequence[str] = TABLES["edge"]) -> DataFrame:
+    """Columns stripped (those of `free`, the others being constants); an edge needs all but its source_id."""
+    clean = edges.select(*[(strip(F.col(c)) if c in free else F.col(c)).alias(c) for c in TABLES["edge"]])
     return clean.where(reduce(lambda a, b: a & b, [F.col(c) != "" for c in TABLES["edge"] if c != "source_id"]))
 
 
@@ -70,10 +70,11 @@ def edges(tables: dict[str, DataFrame], rules: Sequence[EdgeRule] = RULES) -> Da
     return valid_edges(reduce(DataFrame.unionByName, parts)).dropDuplicates()
 
 
-def edges_in_row(parsed: DataFrame, types: Sequence[str] | None = None) -> DataFrame:
+def edges_in_row(parsed: DataFrame, types: Sequence[str] | None = None, *, once: bool = False) -> DataFrame:
     """The same edges (of the given types) out of each parsed row alone, with no join: both ends come from one document.
 
-    Rows with equal source_id must be one document; then this equals `edges` and its only shuffle is the dedupe.
+    Rows with equal source_id must be one document; then this equals `edges` and its only shuffle is the dedupe. With
+    `once`, no source_id comes twice: edges are deduplicated within the row and nothing is shuffled.
     """
     from gneiss.functions import text as T
 
@@ -103,8 +104,16 @@ def edges_in_row(parsed: DataFrame, types: Sequence[str] | None = None) -> DataF
         "REPRESENTS": lambda: F.transform(named("attorneys"), lambda p: of("REPRESENTS", T.attorney_key(p["iid"], p["name"], p["city"], p["ctry"]), app)),
     }
     every = F.concat(*[makers[t]() for t in types or makers])
+    every = F.array_distinct(every) if once else every
     rows = parsed.where("source_id <> ''").select(F.explode(every).alias("e"), "source_id").where("e.from_id is not null and e.to_id is not null").select("e.*", "source_id")
-    return valid_edges(rows).dropDuplicates()
+    rows = valid_edges(rows, ("from_id", "to_id", "source_id"))
+    return rows if once else rows.dropDuplicates()
+
+
+def fields_for(types: Sequence[str]) -> tuple[str, ...]:
+    """The nested fields of a parsed row that edges of these types (and the ends they lead to) need."""
+    of = {"publication": (), "ipc": ("ipc",), "cpc": ("cpc",), "applicant": ("applicants",), "inventor": ("inventors",), "attorney": ("attorneys",)}
+    return ("root", *dict.fromkeys(f for rule in RULES if rule.rel_type in types for f in of[rule.table]))
 
 
 def shape_counts(rows: DataFrame) -> DataFrame:

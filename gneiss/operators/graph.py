@@ -40,6 +40,35 @@ def vertex_ids(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).where("id <> ''").distinct()
 
 
+def vertex_ids_in_row(parsed: DataFrame) -> DataFrame:
+    """The same (label, key, id) out of each parsed row: one pass and one shuffle for all kinds of vertices."""
+    from gneiss.functions import text as T
+
+    r = F.col("root")
+    pub = F.when((r["country"] != "") & (r["doc_number"] != "") & (r["kind"] != ""), T.publication_id(r["country"], r["doc_number"], r["kind"]))
+
+    def named(field: str, key) -> Column:
+        return F.transform(F.filter(field, lambda p: p["name"] != ""), key)
+
+    ids = {
+        "publication": F.array(pub),
+        "application": F.array(r["id"]),
+        "ipc": F.transform("ipc", T.ipc_long),
+        "cpc": F.transform("cpc", T.cpc_long),
+        "applicant": named("applicants", lambda p: T.organisation_key(p["iid"], p["name"], p["ctry"])),
+        "inventor": named("inventors", lambda p: T.inventor_key(p["name"], p["city"], p["ctry"])),
+        "attorney": named("attorneys", lambda p: T.attorney_key(p["iid"], p["name"], p["city"], p["ctry"])),
+        "source_file": F.array(F.when(pub.isNotNull(), F.col("source_id"))),
+    }
+
+    def of(table: str) -> Column:
+        label, key = VERTICES[table]
+        return F.transform(F.coalesce(ids[table], F.array().cast("array<string>")), lambda x: F.struct(F.lit(label).alias("label"), F.lit(key).alias("key"), x.alias("id")))
+
+    every = F.array_distinct(F.concat(*[of(t) for t in VERTICES]))
+    return parsed.select(F.explode(every).alias("v")).select("v.*").where("id <> ''").distinct()
+
+
 def _aliased(label: str, key: str) -> tuple[Column, Column]:
     """Label and key of the vertices that an end of an edge means, by label alone or by label and edge type."""
     name = F.concat(F.col(label), F.lit("/"), F.col("rel_type"))
@@ -113,15 +142,18 @@ def only_sources(tables: dict[str, DataFrame], ids: DataFrame) -> dict[str, Data
     return {n: t.join(ids, "source_id", "left_semi").select(*t.columns) for n, t in tables.items()}
 
 
-def batch_ids(rows: DataFrame, order: list[str], size: int) -> DataFrame:
-    """rows with batch (from 0) of at most `size` rows each in the given order.
+def batch_ids(rows: DataFrame, order: list[str], size: int, folder: str | None = None) -> DataFrame:
+    """rows with batch (from 0) of at most `size` rows each in the given order, which must tell all rows apart.
 
-    Row numbers are made of per-partition counts of a range partitioning, so no task orders all rows.
+    Row numbers are made of per-partition counts of a range partitioning, so no task orders all rows. Counts and numbers
+    come from one partitioning: the placed rows are written to `folder` (else to the session's checkpoint folder).
     """
     from pyspark.sql import Window
 
+    from gneiss.sources.tables import set_aside
+
     parts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    placed = rows.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id())
+    placed = set_aside(rows.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id()), "batches", folder)
     numbered = placed.withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy(*order)) - 1)
     counts = placed.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
     first = counts.select("__p", (F.sum("__c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).alias("__f"))  # one row per partition

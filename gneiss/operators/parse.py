@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,53 +40,81 @@ def down(node: ET.Element | None, *steps: str) -> ET.Element | None:
     return node
 
 
-def parse_document(xml: bytes | None) -> dict:
+def _codes(root: ET.Element, group: str, tag: str) -> list[str]:
+    at = down(root, "SDOBI", "B500", group)
+    return [] if at is None else [own_text(e, "text") for e in at.findall(f".//{tag}") if e.find("text") is not None]
+
+
+def _parties(root: ET.Element, group: str, tag: str, **fields: str) -> list[dict]:
+    at = down(root, "SDOBI", "B700", group)
+    return [] if at is None else [{k: own_text(e, p) for k, p in {"name": "snm", **fields, "str": "adr/str", "city": "adr/city", "ctry": "adr/ctry"}.items()} for e in at.findall(f".//{tag}")]
+
+
+def _application(root: ET.Element) -> dict:
+    b220, b405 = down(root, "SDOBI", "B200", "B220"), down(root, "SDOBI", "B400", "B405")
+    return {"has_b220": b220 is not None, "has_b405": b405 is not None, "filing_date": own_text(b220, "date"), "gazette_date": own_text(b405, "date"), "gazette_issue": own_text(b405, "bnum")}
+
+
+def _description(root: ET.Element) -> dict | None:
+    at = root.find("description")
+    return None if at is None else {"paragraphs": [t for p in at.findall("p") if (t := all_text(p))], "flat": all_text(at)}
+
+
+#: How each nested field of a parsed row is made.
+FIELDS: dict[str, Callable[[ET.Element], object]] = {
+    "root": lambda root: {k: attribute(root, k.replace("_", "-")) for k in ("country", "doc_number", "kind", "date_publ", "lang", "id")},
+    "appl": _application,
+    "ipc": lambda root: _codes(root, "B510EP", "classification-ipcr"),
+    "cpc": lambda root: _codes(root, "B520EP", "classification-cpc"),
+    "applicants": lambda root: _parties(root, "B710", "B711", iid="iid", irf="irf"),
+    "inventors": lambda root: _parties(root, "B720", "B721"),
+    "attorneys": lambda root: _parties(root, "B740", "B741", sfx="sfx", iid="iid"),
+    "abstracts": lambda root: [{"lang": attribute(e, "lang"), "text": all_text(e)} for e in root.iterfind(".//abstract")],
+    "description": _description,
+    "claims": lambda root: [{"lang": e.get("lang"), "claims": [{"id": attribute(c, "id"), "num": attribute(c, "num"), "text": all_text(c)} for c in e.findall("claim")]} for e in root.findall("claims")],
+}
+
+
+def parse_document(xml: bytes | None, fields: Iterable[str] = tuple(FIELDS)) -> dict:
     root = ET.fromstring(xml or b"")
+    return {name: FIELDS[name](root) for name in fields}
 
-    def codes(group: str, tag: str) -> list[str]:
-        at = down(root, "SDOBI", "B500", group)
-        return [] if at is None else [own_text(e, "text") for e in at.findall(f".//{tag}") if e.find("text") is not None]
-
-    def parties(group: str, tag: str, **fields: str) -> list[dict]:
-        at = down(root, "SDOBI", "B700", group)
-        return [] if at is None else [{k: own_text(e, p) for k, p in {"name": "snm", **fields, "str": "adr/str", "city": "adr/city", "ctry": "adr/ctry"}.items()} for e in at.findall(f".//{tag}")]
-
-    b220, b405, description = down(root, "SDOBI", "B200", "B220"), down(root, "SDOBI", "B400", "B405"), root.find("description")
-    return {
-        "root": {"country": attribute(root, "country"), "doc_number": attribute(root, "doc-number"), "kind": attribute(root, "kind"), "date_publ": attribute(root, "date-publ"), "lang": attribute(root, "lang"), "id": attribute(root, "id")},
-        "appl": {"has_b220": b220 is not None, "has_b405": b405 is not None, "filing_date": own_text(b220, "date"), "gazette_date": own_text(b405, "date"), "gazette_issue": own_text(b405, "bnum")},
-        "ipc": codes("B510EP", "classification-ipcr"),
-        "cpc": codes("B520EP", "classification-cpc"),
-        "applicants": parties("B710", "B711", iid="iid", irf="irf"),
-        "inventors": parties("B720", "B721"),
-        "attorneys": parties("B740", "B741", sfx="sfx", iid="iid"),
-        "abstracts": [{"lang": attribute(e, "lang"), "text": all_text(e)} for e in root.iterfind(".//abstract")],
-        "description": None if description is None else {"paragraphs": [t for p in description.findall("p") if (t := all_text(p))], "flat": all_text(description)},
-        "claims": [{"lang": e.get("lang"), "claims": [{"id": attribute(c, "id"), "num": attribute(c, "num"), "text": all_text(c)} for c in e.findall("claim")]} for e in root.findall("claims")],
-    }
-
-
-def _parse(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    nested = schema.names[4:]
+
+def _parse(batches: Iterator[pa.RecordBatch], schema: pa.Schema, fields: tuple[str, ...] = tuple(FIELDS)) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows, errors = [], []
-        for xml in b.column(3).to_pylist():
+        columns, errors = {name: [] for name in fields}, []
+        for xml, broken in zip(b.column(3).to_pylist(), b.column(4).to_pylist() if b.num_columns > 4 else repeat(None)):
+            if broken is not None:
+                errors.append(broken)
+                for values in columns.values():
+                    values.append(None)
+                continue
             try:
-                rows.append(parse_document(xml))
+                row = parse_document(xml, fields)
                 errors.append(None)
             except (ET.ParseError, ValueError, LookupError) as e:
-                rows.append({})
+                row = {}
                 errors.append(f"{type(e).__name__}: {e}")
-        yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(errors, pa.string()), *(pa.array([r.get(n) for r in rows], schema.field(n).type) for n in nested)], schema=schema)
+            for name, values in columns.items():
+                values.append(row.get(name))
+        nested = [pa.array(columns[n], schema.field(n).type) if n in columns else pa.nulls(b.num_rows, schema.field(n).type) for n in schema.names[4:]]
+        yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(errors, pa.string()), *nested], schema=schema)
+
 
+def parse(documents: DataFrame, fields: Iterable[str] | None = None) -> DataFrame:
+    """documents (source_id, xml; batch_id and member_path if known) to PARSED rows. Broken XML fills `error` and nothing else,
+    and so does an `error` that a document has already, as an archive that could not be read.
 
-def parse(documents: DataFrame) -> DataFrame:
-    """documents (source_id, xml; batch_id and member_path if known) to PARSED rows. Broken XML fills `error` and nothing else."""
+    Only the wanted nested `fields` are made (all, if None), the others are null: Catalyst cannot prune what Python makes.
+    """
+    wanted = tuple(FIELDS) if fields is None else tuple(fields)
+    if unknown := set(wanted) - set(FIELDS):
+        raise ValueError(f"unknown fields {sorted(unknown)}")
     batch = documents["batch_id"].cast("long") if "batch_id" in documents.columns else F.lit(0).cast("long")
     path = documents["member_path"] if "member_path" in documents.columns else F.split(documents["source_id"], "::")
-    lean = documents.select("source_id", batch.alias("batch_id"), path.alias("member_path"), documents["xml"].cast("binary").alias("xml"))
+    lean = documents.select("source_id", batch.alias("batch_id"), path.alias("member_path"), documents["xml"].cast("binary").alias("xml"), *([documents["error"].cast("string").alias("error")] if "error" in documents.columns else []))
     arrow = to_arrow_schema(PARSED)
-    return lean.mapInArrow(lambda it: _parse(it, arrow), PARSED)
+    return lean.mapInArrow(lambda it: _parse(it, arrow, wanted), PARSED)
 
 
 def failure(strict_application: bool = False, strict_ipc: bool = False) -> Column:

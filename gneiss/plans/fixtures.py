@@ -19,7 +19,13 @@ def element(name: str, *parts) -> Column:
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: what its document says."""
     o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
-    return o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])
+    return spread(o).join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Narrow rows over all cores if their few files would leave cores idle in the parser behind."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(2 * cores)
 
 
 def patents(spark: SparkSession, sf_dir: str, *, codes: bool = True) -> DataFrame:
@@ -32,6 +38,8 @@ def patents(spark: SparkSession, sf_dir: str, *, codes: bool = True) -> DataFram
         cpc = element("classification-cpc", element("text", xml_escape(F.concat_ws(" ", "p_brand", "p_type", F.when(F.col("l_linenumber") % 2 == 0, F.col("p_size").cast("string")), F.when(F.col("l_linenumber") % 4 == 0, F.lit("X"))))))
         lines = li.join(p, li["l_partkey"] == p["p_partkey"]).groupBy("l_orderkey").agg(F.array_join(F.collect_list(ipc), "").alias("ipcs"), F.array_join(F.collect_list(cpc), "").alias("cpcs"))
         rows = rows.join(lines, rows["o_orderkey"] == lines["l_orderkey"], "left")
+        if lines.sparkSession.sparkContext.defaultParallelism > li.rdd.getNumPartitions():
+            rows = rows.repartition(2 * lines.sparkSession.sparkContext.defaultParallelism)
     else:
         rows = rows.withColumns({"ipcs": F.lit(""), "cpcs": F.lit("")})
     key = F.col("o_orderkey").cast("string")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import io
 import tarfile
+import uuid
 import zipfile
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gneiss.functions import text as T
@@ -19,7 +21,11 @@ from gneiss.operators import nodes as N
 from gneiss.operators import status as S
 from gneiss.operators.parse import failure, parse, split_failures
 from gneiss.plans.fixtures import application, kind, order_facts, patents, source_id, table
-from gneiss.schemas import FULLTEXT
+from gneiss.schemas import FULLTEXT, VERTICES
+from gneiss.sources import tables as TB
+from gneiss.sources.archives import DOCUMENTS, _rows, filtered_archive
+from gneiss.sources.http import metadata_url
+from gneiss.sources.tables import set_aside
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -84,12 +90,12 @@ _ORDERS = f"(select *, 'EP'||lpad(o_orderkey::varchar,9,'0')||{_KIND} as pub_id,
 
 @query(f"select pub_id, 'EP' as country, lpad(o_orderkey::varchar,9,'0') as pub_number, {_KIND} as kind_code, day as publication_date, 'en' as pub_language, source_id from {_ORDERS}")
 def q07_publications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return N.publications(parse(patents(spark, sf_dir, codes=False)))
+    return N.publications(parse(patents(spark, sf_dir, codes=False), ["root"]))
 
 
 @query(f"select appln_id, substr(appln_id,1,2) as appln_country, substr(appln_id,3,8) as appln_number, substr(appln_id,11) as appln_kind_code, day as appln_filing_date, case when o_orderkey%3=0 then '' else day end as gazette_date, case when o_orderkey%3=0 then '' else o_custkey::varchar end as gazette_issue, source_id, o_orderkey%3=0 as fails_if_strict from {_ORDERS}")
 def q08_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse(patents(spark, sf_dir, codes=False))
+    parsed = parse(patents(spark, sf_dir, codes=False), ["root", "appl"])
     told = parsed.withColumn("fails_if_strict", failure(strict_application=True).isNotNull())
     return N.applications(told, "fails_if_strict")
 
@@ -103,7 +109,7 @@ _PARTY = "case when o_custkey%2=0 then 'ID'||o_custkey else '{0}' || lower(c_nam
     f"select 'attorney', case when o_custkey%2=0 then 'ID'||o_custkey else 'ATT:'||lower(c_name)||'|CITY:city '||c_nationkey||'|CC:'||n_name end, c_name, n_name, source_id from {_ORDERS} where o_orderkey%2=0"
 )
 def q09_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse(patents(spark, sf_dir, codes=False)).persist(StorageLevel.DISK_ONLY)
+    parsed = set_aside(parse(patents(spark, sf_dir, codes=False), ["applicants", "inventors", "attorneys"]), "parties")  # parsed once for three tables
     parts = [rows.select(F.lit(p).alias("party"), F.col(k).alias("key"), F.col(f"{p}_name").alias("name"), F.col(f"{p}_country").alias("country"), "source_id") for p, k, rows in (("applicant", "org_key", N.applicants(parsed)), ("inventor", "person_key", N.inventors(parsed)), ("attorney", "person_key", N.attorneys(parsed)))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -113,14 +119,14 @@ _LINES = f"{_ORDERS} o join lineitem on l_orderkey=o.o_orderkey join part on l_p
 
 @query(f"select p_brand as ipc_short_code, count(distinct pub_id) as n_publications, count(distinct o_orderkey||'|'||p_brand||' '||p_type) as n_edges from {_LINES} group by 1")
 def q10_publications_per_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse(patents(spark, sf_dir))
-    links = E.edges_in_row(parsed, ("HAS_IPC",))  # both ends come from one document: no join
+    parsed = parse(patents(spark, sf_dir), E.fields_for(("HAS_IPC",)))
+    links = E.edges_in_row(parsed, ("HAS_IPC",), once=True)  # both ends come from one document: no join, no dedupe over documents
     return links.groupBy(T.ipc_short(F.col("to_id")).alias("ipc_short_code")).agg(F.countDistinct("from_id").alias("n_publications"), F.count(F.lit(1)).alias("n_edges"))
 
 
 @query(f"select distinct pub_id as from_id, 'HAS_IPC' as rel_type, 'IPC' as to_label, p_brand||' '||p_type as to_id, source_id from {_LINES}")
 def q11_ipc_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse(patents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)
+    parsed = set_aside(parse(patents(spark, sf_dir), ["root", "ipc"]), "codes")  # parsed once for both sides of the join
     links = E.edges({"publication": N.publications(parsed), "ipc": N.ipc_codes(parsed)}, [r for r in E.RULES if r.rel_type == "HAS_IPC"])
     return links.select("from_id", "rel_type", "to_label", "to_id", "source_id")
 
@@ -141,7 +147,7 @@ def q13_publication_application_edges(spark: SparkSession, sf_dir: str) -> DataF
 
 @query(f"select pub_id as from_id, 'SourceFile' as to_label, source_id as to_id from {_ORDERS} union all select null, 'source_file', source_id from {_ORDERS}")
 def q14_source_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse(patents(spark, sf_dir, codes=False))
+    parsed = parse(patents(spark, sf_dir, codes=False), ["root"])
     links = E.edges({"publication": N.publications(parsed)}, [r for r in E.RULES if r.rel_type == "FROM_SOURCE"])
     return links.select("from_id", "to_label", "to_id").unionByName(N.source_files(parsed).select(F.lit(None).cast("string").alias("from_id"), F.lit("source_file").alias("to_label"), F.col("source_id").alias("to_id")))
 
@@ -161,12 +167,12 @@ _SHAPES = (
 
 @query(" union all ".join(f"select '{a}' as from_label, '{b}' as from_key, '{r}' as rel_type, '{x}' as to_label, '{y}' as to_key, ({n}) as n" for a, b, r, x, y, n in _SHAPES))
 def q15_edge_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.shape_counts(E.edges_in_row(parse(patents(spark, sf_dir))))
+    return E.shape_counts(E.edges_in_row(parse(patents(spark, sf_dir), E.fields_for([r.rel_type for r in E.RULES])), once=True))
 
 
 def _graph(spark: SparkSession, sf_dir: str, aliases: bool) -> DataFrame:
-    parsed = parse(patents(spark, sf_dir)).persist(StorageLevel.DISK_ONLY)  # parsed once for edges and all vertices
-    return G.resolve(E.edges_in_row(parsed), G.vertex_ids(N.node_tables(parsed)), aliases=aliases).groupBy("rel_type", "from_label", "to_label").agg(F.count(F.lit(1)).alias("n"))
+    parsed = set_aside(parse(patents(spark, sf_dir), E.fields_for([r.rel_type for r in E.RULES])), "graph")  # parsed once for edges and all vertices
+    return G.resolve(E.edges_in_row(parsed, once=True), G.vertex_ids_in_row(parsed), aliases=aliases).groupBy("rel_type", "from_label", "to_label").agg(F.count(F.lit(1)).alias("n"))
 
 
 _MERGED = {
@@ -202,7 +208,8 @@ def q17_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q18_merged_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     rows = e.select(F.lit("User").alias("from_label"), F.lit("user_id").alias("from_key"), F.col("user_id").cast("string").alias("from_id"), F.col("event_type").alias("rel_type"), F.lit("Day").alias("to_label"), F.lit("day").alias("to_key"), F.date_format("ts", "yyyyMMdd").alias("to_id"), F.col("event_id").cast("string").alias("source_id"))
-    return G.merge_edges(rows.where("event_id % 2 = 0"), rows.where("event_id % 3 <> 0")).unionByName(rows.where("event_id % 6 = 3").select(*G.ENDS)).distinct()
+    # what is there and what comes overlap and together are all rows
+    return G.merge_edges(rows.where("event_type <> 'click'"), rows.where("event_type = 'click' or value > 50"))
 
 
 @query("select user_id, event_id, event_type, value from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events) where n=1")
@@ -290,19 +297,19 @@ def q27_fulltext(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "with t as (select doc_id, lang, 's1' as source_id, 'A'||doc_id as appln_id, n_chars::varchar as a from documents where doc_id%2=0), s as (select doc_id, lang, 's2' as source_id, 'B'||doc_id as appln_id, case when doc_id%5=0 then null else 'new' end as a from documents where doc_id%3=0) "
-    "select 'P'||coalesce(t.doc_id,s.doc_id) as pub_id, coalesce(t.lang,s.lang) as lang, case when s.doc_id is not null then s.source_id else t.source_id end as source_id, coalesce(t.appln_id,s.appln_id) as appln_id, case when s.doc_id is not null then s.a else t.a end as abstract_text from t full join s on t.doc_id=s.doc_id"
+    "select 'P'||coalesce(t.doc_id,s.doc_id) as pub_id, coalesce(t.lang,'en') as lang, case when s.doc_id is not null then 's2' else 's1' end as source_id, case when t.doc_id is not null then 'A'||t.doc_id else 'B'||s.doc_id end as appln_id, "
+    "md5(case when s.doc_id is null then t.text when s.quality=1 then 'toxic '||s.toxic end) as abstract from documents t full join labels s on t.doc_id=s.doc_id and t.lang='en'"
 )
 def q28_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    """All documents with their texts, and all labels set over them as English records; what is null overwrites too."""
 
-    def records(rows, source, prefix, abstract):
-        own = {"source_id": F.lit(source), "appln_id": F.concat(F.lit(prefix), F.col("doc_id").cast("string")), "pub_id": F.concat(F.lit("P"), F.col("doc_id").cast("string")), "lang": F.col("lang"), "abstract_text": abstract}
+    def records(rows, source, prefix, lang, abstract):
+        own = {"source_id": F.lit(source), "appln_id": F.concat(F.lit(prefix), F.col("doc_id").cast("string")), "pub_id": F.concat(F.lit("P"), F.col("doc_id").cast("string")), "lang": lang, "abstract_text": abstract}
         return rows.select(*[own.get(f.name, F.lit(None).cast("string")).alias(f.name) for f in FULLTEXT])
 
-    target = records(d.where("doc_id % 2 = 0"), "s1", "A", F.col("n_chars").cast("string"))
-    batch = records(d.where("doc_id % 3 = 0"), "s2", "B", F.when(F.col("doc_id") % 5 != 0, F.lit("new")))
-    return FT.upsert(target, batch).select("pub_id", "lang", "source_id", "appln_id", "abstract_text")
+    target = records(table(spark, sf_dir, "documents"), "s1", "A", F.col("lang"), F.col("text"))
+    batch = records(table(spark, sf_dir, "labels"), "s2", "B", F.lit("en"), F.when(F.col("quality") == 1, F.concat(F.lit("toxic "), F.col("toxic").cast("string"))))
+    return FT.upsert(target, batch).select("pub_id", "lang", "source_id", "appln_id", F.md5(F.encode("abstract_text", "UTF-8")).alias("abstract"))
 
 
 @query("select doc_id::varchar as source_id from documents where doc_id not in (select doc_id from labels where quality=1)")
@@ -313,10 +320,13 @@ def q29_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.pending(ids, log)
 
 
-@query("select page_id::varchar as source_id, 'failed' as status from pages")
-def q30_parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("source_id"), F.encode("html", "UTF-8").alias("xml"))
-    return S.failed_rows(split_failures(parse(pages))[1]).select("source_id", "status")
+@query("select 'page'||page_id as source_id, 'failed' as status, 'ParseError' as class from pages union all select 'doc'||doc_id, 'done', null from documents")
+def q30_parse_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages, none of which is XML, and documents as XML, in one run: each is told by its status and the kind of its error."""
+    pages = table(spark, sf_dir, "pages").select(F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("source_id"), F.encode("html", "UTF-8").alias("xml"))
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("source_id"), F.encode(F.concat(F.lit("<x>"), xml_text(F.col("text")), F.lit("</x>")), "UTF-8").alias("xml"))
+    good, bad = split_failures(set_aside(parse(pages.union(docs), ["root"]), "status"))
+    return S.done_rows(good).unionByName(S.failed_rows(bad)).select("source_id", "status", F.substring_index("error", ":", 1).alias("class"))
 
 
 @query("select 'a'||user_id||'.zip' as filename, event_type as status, event_id::varchar as raw_size, '' as message from (select *, row_number() over (partition by user_id order by event_id desc) as n from events) where n=1")
@@ -363,12 +373,20 @@ def q35_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.batch_ids(take_successes(good, 1250), ["o_orderkey"], 500).select("o_orderkey", "batch")
 
 
-@query()
+def xml_text(c: Column) -> Column:
+    """A text as XML holds it: escaped, without control characters that XML does not allow."""
+    return T.xml_escape(F.regexp_replace(F.coalesce(c, F.lit("")), "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\ufffe\\uffff]", " "))
+
+
+@query("select 'EP'||doc_id||'A1' as pub_id, source||'-'||floor(doc_id/1000)::bigint||'.zip::DOC/'||case when doc_id%2=1 then 'a.zip::EP'||doc_id||'.xml' else 'b.tgz::EP'||doc_id||'.XML' end as source_id from documents")
 def q36_nested_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents zipped twice, or put into a tar in a zip, in one archive per source; then walked."""
-    from gneiss.sources.archives import _rows
+    walked = packed(spark, sf_dir).mapInArrow(lambda it: _rows(it, {"doc_only": True, "prefix": "ep"}), DOCUMENTS)
+    return N.publications(parse(walked, ["root"]).where("error is null")).select("pub_id", "source_id")
 
-    docs = table(spark, sf_dir, "documents").select("source", "doc_id", "lang")
+
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content): a zip per source and thousand of document ids, holding a zip and a tar.gz, and members to leave out."""
 
     def pack(pdf):
         import pandas as pd
@@ -386,11 +404,156 @@ def q36_nested_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         with zipfile.ZipFile(top, "w") as z:
             z.writestr("DOC/a.zip", inner.getvalue())
             z.writestr("DOC/b.tgz", tar.getvalue())
+            z.writestr("DOC/notes.txt", b"-")
             z.writestr("INDEX/x.xml", b"<x/>")
         return pd.DataFrame({"path": [f"/in/{pdf['source'].iloc[0]}-{pdf['part'].iloc[0]}.zip"], "content": [top.getvalue()]})
 
-    archives = docs.withColumn("part", F.floor(F.col("doc_id") / 1000)).groupBy("source", "part").applyInPandas(pack, "path string, content binary")
-    from gneiss.sources.archives import DOCUMENTS
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id")
+    return docs.withColumn("part", F.floor(F.col("doc_id") / 1000)).groupBy("source", "part").applyInPandas(pack, "path string, content binary")
+
+
+@query("select source||'-'||floor(doc_id/1000)::bigint||'.zip' as archive, 'DOC/'||case when doc_id%2=1 then 'a.zip::EP'||doc_id||'.xml' else 'b.tgz::EP'||doc_id||'.XML' end as member, 58+length(doc_id::varchar) as size from documents")
+def q37_filtered_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archives of q36 filtered to their wanted XML files; then everything that is left in them is listed with its size."""
+
+    def filtered(batches):
+        for b in batches:
+            paths, bodies = b.column(0), [filtered_archive(c, p) for p, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            yield pa.record_batch([paths, pa.array(bodies, pa.binary())], names=["path", "content"])
+
+    left = packed(spark, sf_dir).mapInArrow(filtered, "path string, content binary").mapInArrow(lambda it: _rows(it, {"doc_only": False, "prefix": ""}), DOCUMENTS)
+    return left.select("archive", F.array_join(F.slice("member_path", 2, 9), "::").alias("member"), F.octet_length("xml").cast("bigint").alias("size"))
+
+
+@query(
+    "select case when page_id%7=0 then '__invalid_source_id__:source_id is empty/blank (expected a non-empty string)' else page_id::varchar end as source_id, 'failed' as status, md5(substr(html,1,2000)) as error, length(substr(html,1,2000)) as error_length, "
+    "case when page_id%3<>0 then 'at '||url end as context from pages"
+)
+def q38_failure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures with long errors, blank ids and blank contexts, as the status log keeps them."""
+    p = table(spark, sf_dir, "pages")
+    rows = p.select(F.when(F.col("page_id") % 7 == 0, F.lit(" \u00a0\t")).otherwise(F.concat(F.lit(" "), F.col("page_id").cast("string"))).alias("source_id"), F.col("html").alias("error"), F.when(F.col("page_id") % 3 == 0, F.lit(" \n")).otherwise(F.concat(F.lit("  at "), "url", F.lit(" "))).alias("c"))
+    out = S.failed_rows(rows, F.col("c"))
+    return out.select("source_id", "status", F.md5(F.encode("error", "UTF-8")).alias("error"), F.length("error").cast("bigint").alias("error_length"), "context")
+
+
+@query("select event_id, user_id from events where event_type='view' or event_id%5=0")
+def q39_invalid_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    ident = F.when(F.col("event_type") == "view", F.lit("")).when(F.col("event_id") % 5 == 0, F.lit("\u2003 \n")).otherwise(F.col("user_id").cast("string"))
+    return S.invalid_source_ids(e.withColumn("source_id", ident)).select("event_id", "user_id")
+
+
+@query("select distinct o_custkey::varchar as source_id from orders where o_custkey not in (select user_id from events)")
+def q40_ids_to_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An insert-or-ignore list: ids that come with orders and are not among those known from events."""
+    known = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("source_id"))
+    return S.add_ids(known, table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("source_id")))
+
+
+@query("select distinct c_custkey::varchar as source_id from customer union select distinct o_custkey::varchar from orders")
+def q41_id_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text list of ids, one per line, appended to twice; written and read again."""
+    path = f"{TB.shared_folder(spark)}/gneiss-ids-{uuid.uuid4().hex[:12]}"
+    for name, column in (("customer", "c_custkey"), ("orders", "o_custkey")):
+        ids = table(spark, sf_dir, name).select(F.concat(F.lit(" "), F.col(column).cast("string"), F.lit("  ")).alias("source_id"))
+        TB.append_ids(ids.unionByName(spark.range(1).select(F.lit(" ").alias("source_id"))), path)
+    # the list itself, not only its distinct ids: none was added twice
+    return spark.read.text(path).select(F.col("value").alias("source_id"))
+
+
+@query(f"select 'publication' as part, pub_id as id, day as a, source_id from {_ORDERS} union all select 'application', appln_id, case when o_orderkey%3=0 then '' else day end, source_id from {_ORDERS} union all select 'applicant', c_name, case when o_custkey%2=0 then 'ID'||o_custkey else '' end, source_id from {_ORDERS} union all select 'citation', null, null, null where false")
+def q42_csv_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Node tables written to their CSV files, nulls as blanks, and read again."""
+    folder = f"{TB.shared_folder(spark)}/gneiss-csv-{uuid.uuid4().hex[:12]}"
+    parsed = set_aside(parse(patents(spark, sf_dir, codes=False)), "csv")
+    TB.write_node_tables(N.node_tables(parsed), folder)
+    t = TB.read_node_tables(spark, folder)
+    picks = (("publication", "pub_id", "publication_date"), ("application", "appln_id", "gazette_date"), ("applicant", "applicant_name", "applicant_epo_id"), ("citation", "from_pub_id", "to_pub_id"))
+    return reduce(DataFrame.unionByName, [t[n].select(F.lit(n).alias("part"), F.col(a).alias("id"), F.col(b).alias("a"), "source_id") for n, a, b in picks])
+
+
+@query(
+    "with e as (select 'f'||user_id as filename, event_type as status, event_id::varchar as raw_size, row_number() over (partition by user_id order by event_id desc) as n from events), c as (select distinct 'f'||c_custkey as filename from customer) "
+    "select coalesce(c.filename,e.filename) as filename, case when c.filename is not null then 'moved' else e.status end as status, case when c.filename is not null then '' else e.raw_size end as raw_size, row_number() over (order by coalesce(c.filename,e.filename)) - 1 as row from c full join (select * from e where n=1) e on c.filename=e.filename"
+)
+def q43_manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of events, rows of which customers replace as a whole; written sorted by name and read again."""
+    e = table(spark, sf_dir, "events").select(F.concat(F.lit("f"), F.col("user_id").cast("string")).alias("filename"), F.col("event_type").alias("status"), F.col("event_id").cast("string").alias("raw_size"), F.col("event_id").alias("row"))
+    c = table(spark, sf_dir, "customer").select(F.concat(F.lit("f"), F.col("c_custkey").cast("string")).alias("filename"), F.lit("moved").alias("status"), F.lit(0).alias("row"))
+    path = f"{TB.shared_folder(spark)}/gneiss-manifest-{uuid.uuid4().hex[:12]}"
+    TB.write_manifest(S.manifest_rows(e, ["row"]), path)
+    TB.write_manifest(S.set_manifest(TB.read_manifest(spark, path).drop("row"), S.manifest_rows(c, ["row"])), path)
+    return TB.read_manifest(spark, path).select("filename", "status", "raw_size", "row")
+
+
+@query("select event_id, 'https://h/p/7/delivery/'||event_id||'/file/'||user_id||'/download' as url, array_to_string(list_filter(['de', event_type, case when event_id%2=0 then 'x' end], lambda x: x is not null), '+') as items from events")
+def q44_urls_and_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id").cast("string")
+    listed = F.concat(F.lit(" de ,,"), "event_type", F.lit(" , \t,"), F.when(F.col("event_id") % 2 == 0, F.lit("x")).otherwise(F.lit("")))
+    return table(spark, sf_dir, "events").select("event_id", T.download_url(metadata_url("https://h/p/", 7), e, F.col("user_id").cast("string")).alias("url"), F.array_join(T.csv_list(listed), "+").alias("items"))
+
+
+@query(
+    r"""select 'EP'||doc_id||'A1' as pub_id, lang, 'AP'||doc_id as appln_id, md5('Summary: '||body) as abstract, md5('Heading '||body||' end'||chr(10)||chr(10)||'last') as description, md5('1. '||body||chr(10)||chr(10)||'also '||body) as claims, md5('[{"id":"c1","num":"1","text":'||to_json(body)||'},{"id":"","num":"","text":'||to_json('also '||body)||'}]') as json """
+    r"from (select *, trim(regexp_replace(regexp_replace(coalesce(text,''),'[\x00-\x08\x0b\x0c\x0e-\x1f\x{fffe}\x{ffff}]',' ','g'),'\s+',' ','g')) as body from documents) where body<>''"
+)
+def q45_fulltext_of_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as XML with mixed content, nested elements and comments, parsed and taken apart into full text."""
+    d = table(spark, sf_dir, "documents")
+    t, i = xml_text(F.col("text")), F.col("doc_id").cast("string")
+    xml = F.concat(
+        F.lit('<ep-patent-document country="EP" kind="A1" doc-number="'), i, F.lit('" id="AP'), i, F.lit('"><abstract lang="xx"><p>no</p></abstract><abstract lang="'), "lang", F.lit('"><p>Summary:<!-- no --> <b>'), t, F.lit("</b></p></abstract><description><p>Heading\n<i>"), t,
+        F.lit("</i> end</p><p>  </p><section><p>nested</p></section><p>last</p></description><claims lang=\""), "lang", F.lit('"><claim id="c1" num="1">'), t, F.lit('</claim><claim num="2"> </claim></claims><claims lang="'), "lang", F.lit('"><claim>also <claim-text>'), t, F.lit("</claim-text></claim></claims></ep-patent-document>"),
+    )
+    parsed = parse(d.where(T.collapse(xml_text(F.col("text"))) != "").select(i.alias("source_id"), F.encode(xml, "UTF-8").alias("xml"), "lang"), ["root", "abstracts", "description", "claims"])
+    langs = sorted(r[0] for r in d.select("lang").distinct().collect())
+
+    def digest(c: str, name: str) -> Column:
+        return F.md5(F.encode(c, "UTF-8")).alias(name)
+
+    rows = FT.fulltext(parsed, langs).where("claims_text is not null")  # the description stands for every language
+    return rows.select("pub_id", "lang", "appln_id", digest("abstract_text", "abstract"), digest("description_text", "description"), digest("claims_text", "claims"), digest("claims_json", "json"))
+
+
+_VERTEX_COUNTS = {
+    "Publication": f"select count(distinct pub_id) from {_ORDERS}",
+    "Application": f"select count(distinct appln_id) from {_ORDERS}",
+    "SourceFile": f"select count(*) from {_ORDERS}",
+    "Applicant": f"select count(distinct o_custkey) from {_ORDERS}",
+    "Inventor": f"select count(distinct o_custkey) from {_ORDERS} where o_orderkey%2=0",
+    "Attorney": f"select count(distinct o_custkey) from {_ORDERS} where o_orderkey%2=0",
+}
+
+
+@query(" union all ".join(f"select '{k}' as kind, ({v}) as n" for k, v in {**_VERTEX_COUNTS, **{r: _MERGED[r] for r in ("FROM_SOURCE", "HAS_PUBLICATION", "OF_APPLICATION", "APPLIES_FOR", "INVENTED", "REPRESENTS")}, "done": f"select count(*) from {_ORDERS}"}.items()))
+def q46_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in an initial run over those of one order status and a weekly run over all: tables, status, bulk and
+    incremental merges on disk; then the graph is counted. The second run takes only what the first did not."""
+    from gneiss.plans.pipelines import Config, graph_edges, graph_vertices, run, status_table
+
+    cfg = Config(f"{TB.shared_folder(spark)}/gneiss-run-{uuid.uuid4().hex[:12]}", buckets=8)
+    docs = set_aside(patents(spark, sf_dir, codes=False).withColumn("member_path", F.split("source_id", "::")), "docs")
+    run(spark, docs.where(F.col("xml").contains('kind="A1"')), cfg, "initial", 0, stages=("graph", "load"))
+    run(spark, docs, cfg, "weekly", 1, stages=("graph", "load"))
+    counted = [graph_vertices(spark, cfg, t).select(F.lit(label).alias("kind")) for t, (label, _) in VERTICES.items()]
+    counted += [graph_edges(spark, cfg).select(F.col("rel_type").alias("kind")), status_table(spark, cfg).select(F.col("status").alias("kind"))]
+    return reduce(DataFrame.unionByName, counted).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select user_id, event_id, event_type, value from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as n from events) where n=1")
+def q47_stream_of_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last write of every user, of events that come as a file stream: each batch is set over a bucketed table."""
+    folder = f"{TB.shared_folder(spark)}/gneiss-stream-{uuid.uuid4().hex[:12]}"
+    events = table(spark, sf_dir, "events")
+    wanted = events.select("user_id", "event_id", "event_type", "value", "ts").schema
+
+    def later(old: DataFrame, new: DataFrame) -> DataFrame:
+        return G.last_rows(old.unionByName(new), "user_id", ["ts", "event_id"]).select(*wanted.names)
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        TB.merge_buckets(batch.sparkSession, f"{folder}/last", wanted, ["user_id"], later(batch.limit(0), batch), later, 8)
 
-    walked = archives.mapInArrow(lambda it: _rows(it, {"doc_only": True, "prefix": "ep"}), DOCUMENTS)
-    return N.publications(parse(walked.where("error is null"))).select("pub_id", "source_id")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]").select(*wanted.names)
+    stream.writeStream.foreachBatch(one).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return TB.read_parquet(spark, f"{folder}/last", wanted).select("user_id", "event_id", "event_type", "value")

@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import io
+import os
+import shutil
 import tarfile
+import tempfile
+import urllib.parse
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,20 +80,40 @@ def walk(data: io.BufferedIOBase, name: str, chain: list[str], *, doc_only: bool
         yield chain, None, f"{type(e).__name__}: {e}"
 
 
+#: The largest archive that is read as one binary cell; larger ones are opened by path.
+MOST_BYTES = 1 << 30
+
+
+def _opened(path: str, content: bytes | None):
+    """The archive's bytes, or the file itself on a store that executors mount."""
+    return io.BytesIO(content) if content is not None else open(urllib.parse.unquote(urllib.parse.urlsplit(path).path) if ":" in path.split("/", 1)[0] else path, "rb")
+
+
 def _rows(batches, opts: dict):
     import pyarrow as pa
 
+    names = _arrow().names
+
+    def batch(part):
+        return pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in part], schema=_arrow())
+
     for b in batches:
         for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            top = path.rstrip("/").rsplit("/", 1)[-1]
+            top = urllib.parse.unquote(path.rstrip("/").rsplit("/", 1)[-1])
             part: list[tuple] = []
-            for chain, xml, error in walk(io.BytesIO(content or b""), top, [top], **opts):
-                part.append((top, "::".join(chain), chain, xml, error))
-                if len(part) == 256:
-                    yield pa.RecordBatch.from_pylist([dict(zip(("archive", "source_id", "member_path", "xml", "error"), r, strict=True)) for r in part], schema=_arrow())
-                    part = []
+            try:
+                held = _opened(path, content)
+            except OSError as e:
+                yield batch([(top, top, [top], None, f"{type(e).__name__}: {e}")])
+                continue
+            with held:
+                for chain, xml, error in walk(held, top, [top], **opts):
+                    part.append((top, "::".join(chain), chain, xml, error))
+                    if len(part) == 256:
+                        yield batch(part)
+                        part = []
             if part:
-                yield pa.RecordBatch.from_pylist([dict(zip(("archive", "source_id", "member_path", "xml", "error"), r, strict=True)) for r in part], schema=_arrow())
+                yield batch(part)
 
 
 def _arrow():
@@ -95,14 +122,21 @@ def _arrow():
     return pa.schema([("archive", pa.string()), ("source_id", pa.string()), ("member_path", pa.list_(pa.string())), ("xml", pa.binary()), ("error", pa.string())])
 
 
-def read_archives(spark: SparkSession, folder: str, *, doc_only: bool = True, prefix: str = "", read: bool = True, crc: bool = False) -> DataFrame:
-    """DOCUMENTS rows of the archives right in `folder`, which may lie in any store that Spark reads; a missing folder fails.
+#: Names of archives, whatever their case.
+ARCHIVES = "*{.[zZ][iI][pP],.[tT][aA][rR],.[tT][aA][rR].[gG][zZ],.[tT][gG][zZ]}"
+
+
+def read_archives(spark: SparkSession, folder: str, *, doc_only: bool = True, prefix: str = "", read: bool = True, crc: bool = False, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """DOCUMENTS rows of the archives right in `folder`; a missing folder fails. Other files are not read.
 
-    For archives under 2 GB, the limit of a binary cell; `XmlArchives` opens larger ones by path.
+    Archives of up to `most_bytes` may lie in any store that Spark reads; each is one binary cell. Larger ones are opened
+    by path, for which executors must mount the folder. A broken archive is a row with its error.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", False).load(folder).where(F.lower("path").rlike(r"\.(zip|tar|tar\.gz|tgz)$"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", False).option("pathGlobFilter", ARCHIVES).load(folder)
     opts = {"doc_only": doc_only, "prefix": prefix, "read": read, "crc": crc}
-    return files.select("path", "content").mapInArrow(lambda it: _rows(it, opts), DOCUMENTS)
+    small = files.where(F.col("length") <= most_bytes).select("path", "content")
+    large = files.where(F.col("length") > most_bytes).select("path", F.lit(None).cast("binary").alias("content"))
+    return small.union(large).mapInArrow(lambda it: _rows(it, opts), DOCUMENTS)
 
 
 def read_xml_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,38 +184,118 @@ class XmlArchives(DataSource):
         return ArchiveReader(self.options)
 
 
-def filtered_archive(data: bytes, name: str, *, prefix: str = "ep", strict: bool = True) -> bytes:
-    """The archive with only its wanted XML files, nested archives filtered alike; b'' if nothing is kept.
-
-    Errors and unknown kinds give b'' unless strict, where errors are raised.
+#: Filtered nested archives up to this size stay in memory, larger ones go to a temporary file of the task.
+SPOOL = 64 << 20
+COPY = 8 << 20
+
+
+@dataclass
+class Kept:
+    """What a filter saw and kept, nested archives included."""
+
+    xml: int = 0
+    nested_seen: int = 0
+    nested_kept: int = 0
+
+    @property
+    def anything(self) -> bool:
+        return bool(self.xml)
+
+
+def _filter_zip(source, out, rules: dict, kept: Kept) -> None:
+    with zipfile.ZipFile(source) as z, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as to:
+        to.comment = z.comment
+        for member in sorted((m for m in z.infolist() if not m.is_dir()), key=lambda m: m.filename):
+            if kind_of(member.filename):
+                with z.open(member) as body, _nested(body, member.filename, rules, kept) as inner:
+                    if inner is not None:
+                        _zip_member(to, member, inner, zipfile.ZIP_STORED)
+            elif wanted(member.filename, **rules["match"]):
+                with z.open(member) as body:
+                    _zip_member(to, member, body, zipfile.ZIP_DEFLATED)
+                kept.xml += 1
+
+
+def _zip_member(to: zipfile.ZipFile, like: zipfile.ZipInfo, body, compression: int) -> None:
+    """Copy a member piece by piece; it keeps its date, mode and comment."""
+    info = zipfile.ZipInfo(like.filename, like.date_time)
+    info.compress_type, info.external_attr, info.create_system, info.comment = compression, like.external_attr, like.create_system, like.comment
+    with to.open(info, "w", force_zip64=True) as f:
+        shutil.copyfileobj(body, f, COPY)
+
+
+def _filter_tar(source, out, packed: bool, rules: dict, kept: Kept) -> None:
+    with tarfile.open(fileobj=source, mode="r:gz" if packed else "r:") as t, tarfile.open(fileobj=out, mode="w:gz" if packed else "w") as to:
+        for member in sorted((m for m in t.getmembers() if m.isfile()), key=lambda m: m.name):
+            like = tarfile.TarInfo(member.name)
+            like.mtime, like.mode, like.size = member.mtime, member.mode, member.size
+            if kind_of(member.name):
+                with t.extractfile(member) as body, _nested(body, member.name, rules, kept) as inner:
+                    if inner is not None:
+                        like.size = inner.seek(0, 2)
+                        inner.seek(0)
+                        to.addfile(like, inner)
+            elif wanted(member.name, **rules["match"]):
+                with t.extractfile(member) as body:
+                    to.addfile(like, body)
+                kept.xml += 1
+
+
+@contextmanager
+def _nested(body, name: str, rules: dict, kept: Kept):
+    """The filtered nested archive as an open file at its start, or None if nothing of it is kept."""
+    kept.nested_seen += 1
+    with tempfile.SpooledTemporaryFile(SPOOL) as raw, tempfile.SpooledTemporaryFile(SPOOL) as out:
+        shutil.copyfileobj(body, raw, COPY)
+        inner = Kept()
+        if raw.tell():
+            raw.seek(0)
+            inner = filter_archive(raw, name, out, **rules)
+        kept.xml, kept.nested_seen, kept.nested_kept = kept.xml + inner.xml, kept.nested_seen + inner.nested_seen, kept.nested_kept + inner.nested_kept + inner.anything
+        out.seek(0)
+        yield out if inner.anything else None
+
+
+def filter_archive(source, name: str, out, *, match: dict | None = None, strict: bool = True) -> Kept:
+    """Write to the file `out` the archive that the file `source` holds, with only its wanted XML files; say what was kept.
+
+    Nested archives of all kinds are filtered alike, empty ones left out. Members are copied piece by piece, so that no
+    archive is held in memory. A broken archive or an unknown kind keeps nothing unless strict, where errors are raised.
     """
-    kind = kind_of(name)
+    kind, rules, kept = kind_of(name), {"match": match or {}, "strict": strict}, Kept()
     if kind is None:
-        return b""
-    kept: list[tuple[str, bytes]] = []
+        return kept
     try:
-        for path, load in members(io.BytesIO(data), kind):
-            if kind_of(path):
-                body = filtered_archive(load(), path, prefix=prefix, strict=strict)
-                if body:
-                    kept.append((path, body))
-            elif wanted(path, prefix):
-                kept.append((path, load()))
+        if kind == "zip":
+            _filter_zip(source, out, rules, kept)
+        else:
+            _filter_tar(source, out, kind == "tar.gz", rules, kept)
     except BROKEN:
         if strict:
             raise
-        return b""
-    if not kept:
-        return b""
+        return Kept(nested_seen=kept.nested_seen)
+    return kept
+
+
+def filtered_archive(data: bytes, name: str, *, prefix: str = "ep", strict: bool = True) -> bytes:
+    """`filter_archive` of bytes; b'' if nothing is kept."""
     out = io.BytesIO()
-    if kind == "zip":
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            for path, body in kept:
-                z.writestr(zipfile.ZipInfo(path), body, zipfile.ZIP_STORED if kind_of(path) else zipfile.ZIP_DEFLATED)
-    else:
-        with tarfile.open(fileobj=out, mode="w:gz" if kind == "tar.gz" else "w") as t:
-            for path, body in kept:
-                info = tarfile.TarInfo(path)
-                info.size = len(body)
-                t.addfile(info, io.BytesIO(body))
-    return out.getvalue()
+    return out.getvalue() if filter_archive(io.BytesIO(data), name, out, match={"prefix": prefix}, strict=strict).anything else b""
+
+
+def filter_file(source: Path, target: Path, *, prefix: str = "ep", strict: bool = True, validators: Iterable[Callable[[Path], None]] = ()) -> Kept:
+    """`filter_archive` from file to file: into `.part` first, checked, then renamed. Without anything kept there is no target."""
+    target.parent.mkdir(parents=True, exist_ok=True)
+    part = target.with_name(target.name + ".part")
+    try:
+        with source.open("rb") as f, part.open("wb") as out:
+            kept = filter_archive(f, source.name, out, match={"prefix": prefix}, strict=strict)
+            out.flush()
+            os.fsync(out.fileno())
+        if kept.anything:
+            for check in validators:
+                check(part)
+            os.replace(part, target)
+        return kept
+    finally:
+        part.unlink(missing_ok=True)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gneiss.plans.fixtures import patents
-from gneiss.plans.pipelines import Config, build_graph, export, languages_of, run, status_table
+from gneiss.plans.pipelines import Config, build_graph, check_keys, export, graph_edges, graph_vertices, languages_of, run, status_table
 from gneiss.schemas import CSV_NAMES, MANIFEST, TABLES, VERTICES, schema_of
 from gneiss.sources import tables as TB
 from gneiss.streaming.incremental import run_available
@@ -13,8 +13,8 @@ from tests.test_parse import FULL, head
 
 
 def read(spark, cfg):
-    edges = sorted(tuple(x) for x in spark.read.parquet(cfg.at("graph/edges")).collect())
-    vertices = {n: sorted(tuple(x) for x in spark.read.parquet(cfg.at(f"graph/vertices/{n}")).collect()) for n in VERTICES}
+    edges = sorted(tuple(x) for x in graph_edges(spark, cfg).collect())
+    vertices = {n: sorted(tuple(x) for x in graph_vertices(spark, cfg, n).collect()) for n in VERTICES}
     return edges, vertices
 
 
@@ -95,7 +95,9 @@ def test_manifest_file(spark, tmp_path):
     path = f"{tmp_path}/m.csv"
     m = spark.createDataFrame([("b", *[""] * 6), ("a", *["x"] * 6)], MANIFEST)
     TB.write_manifest(m, path)
-    assert [x["filename"] for x in TB.read_manifest(spark, path).orderBy("row").collect()] == ["a", "b"] and not TB.exists(spark, path + ".tmp")
+    assert [x["filename"] for x in TB.read_manifest(spark, path).orderBy("row").collect()] == ["a", "b"] 
+    TB.write_manifest(m.limit(1), path)
+    assert [x["filename"] for x in TB.read_manifest(spark, path).collect()] == ["b"] and sorted(p.name for p in (tmp_path / "m.csv").glob("v=*")) == ["v=1", "v=2"]
 
 
 def test_id_list(spark, tmp_path):
