@@ -37,8 +37,8 @@ def pass_key(key: Column, source: Column, salt: Column, seed: int, epoch: Column
 
 
 def ranges_of(rows: int, each: int = 4096) -> int:
-    """Bits of the hash ranges that part a table of so many rows into pieces of about `each`."""
-    return max(4, min(40, math.ceil(math.log2(max(1, rows) / each + 1))))
+    """Bits of the hash ranges that part a table of so many rows into pieces of at most about `each`."""
+    return max(10, min(40, math.ceil(math.log2(max(1, rows) / each + 1))))
 
 
 def source_tokens(lean: DataFrame) -> DataFrame:
