@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,6 +67,15 @@ def attorney_key(epo_id: Column, name: Column, city: Column, country: Column) ->
     return F.coalesce(blank_to_null(strip(epo_id)), F.concat(F.lit("ATT:"), strip_lower(name), F.lit("|CITY:"), strip_lower(city), F.lit("|CC:"), strip(country)))
 
 
+@dataclass(frozen=True)
+class Keys:
+    """How parties are keyed; tables, edges and vertices of a run must be made with the same."""
+
+    organisation: Callable[[Column, Column, Column], Column] = organisation_key
+    inventor: Callable[[Column, Column, Column], Column] = inventor_key
+    attorney: Callable[[Column, Column, Column, Column], Column] = attorney_key
+
+
 def application_parts(ident: Column) -> tuple[Column, Column, Column]:
     """Country, number and kind of an application id."""
     return F.substring(ident, 1, 2), F.substring(ident, 3, 8), F.substring(ident, 11, 1_000_000)

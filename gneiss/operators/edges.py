@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gneiss.functions import text as T
 from gneiss.functions.text import strip
 from gneiss.schemas import TABLES
 
@@ -70,14 +71,12 @@ def edges(tables: dict[str, DataFrame], rules: Sequence[EdgeRule] = RULES) -> Da
     return valid_edges(reduce(DataFrame.unionByName, parts)).dropDuplicates()
 
 
-def edges_in_row(parsed: DataFrame, types: Sequence[str] | None = None, *, once: bool = False) -> DataFrame:
+def edges_in_row(parsed: DataFrame, types: Sequence[str] | None = None, *, once: bool = False, keys: T.Keys = T.Keys()) -> DataFrame:
     """The same edges (of the given types) out of each parsed row alone, with no join: both ends come from one document.
 
     Rows with equal source_id must be one document; then this equals `edges` and its only shuffle is the dedupe. With
     `once`, no source_id comes twice: edges are deduplicated within the row and nothing is shuffled.
     """
-    from gneiss.functions import text as T
-
     r = F.col("root")
     pub = F.when((r["country"] != "") & (r["doc_number"] != "") & (r["kind"] != ""), T.publication_id(r["country"], r["doc_number"], r["kind"]))
     app = F.nullif(r["id"], F.lit(""))
@@ -99,9 +98,9 @@ def edges_in_row(parsed: DataFrame, types: Sequence[str] | None = None, *, once:
         "OF_APPLICATION": lambda: F.array(of("OF_APPLICATION", pub, app)),
         "HAS_IPC": lambda: F.transform("ipc", lambda x: of("HAS_IPC", pub, T.ipc_long(x))),
         "HAS_CPC": lambda: F.transform("cpc", lambda x: of("HAS_CPC", pub, T.cpc_long(x))),
-        "APPLIES_FOR": lambda: F.transform(named("applicants"), lambda p: of("APPLIES_FOR", T.organisation_key(p["iid"], p["name"], p["ctry"]), app)),
-        "INVENTED": lambda: F.transform(named("inventors"), lambda p: of("INVENTED", T.inventor_key(p["name"], p["city"], p["ctry"]), app)),
-        "REPRESENTS": lambda: F.transform(named("attorneys"), lambda p: of("REPRESENTS", T.attorney_key(p["iid"], p["name"], p["city"], p["ctry"]), app)),
+        "APPLIES_FOR": lambda: F.transform(named("applicants"), lambda p: of("APPLIES_FOR", keys.organisation(p["iid"], p["name"], p["ctry"]), app)),
+        "INVENTED": lambda: F.transform(named("inventors"), lambda p: of("INVENTED", keys.inventor(p["name"], p["city"], p["ctry"]), app)),
+        "REPRESENTS": lambda: F.transform(named("attorneys"), lambda p: of("REPRESENTS", keys.attorney(p["iid"], p["name"], p["city"], p["ctry"]), app)),
     }
     every = F.concat(*[makers[t]() for t in types or makers])
     every = F.array_distinct(every) if once else every

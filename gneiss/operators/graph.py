@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gneiss.functions import text as T
 from gneiss.schemas import TABLES, VERTICES
 
 ENDS = ("from_label", "from_key", "from_id", "rel_type", "to_label", "to_key", "to_id")
@@ -40,10 +41,8 @@ def vertex_ids(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).where("id <> ''").distinct()
 
 
-def vertex_ids_in_row(parsed: DataFrame) -> DataFrame:
+def vertex_ids_in_row(parsed: DataFrame, keys: T.Keys = T.Keys()) -> DataFrame:
     """The same (label, key, id) out of each parsed row: one pass and one shuffle for all kinds of vertices."""
-    from gneiss.functions import text as T
-
     r = F.col("root")
     pub = F.when((r["country"] != "") & (r["doc_number"] != "") & (r["kind"] != ""), T.publication_id(r["country"], r["doc_number"], r["kind"]))
 
@@ -55,9 +54,9 @@ def vertex_ids_in_row(parsed: DataFrame) -> DataFrame:
         "application": F.array(r["id"]),
         "ipc": F.transform("ipc", T.ipc_long),
         "cpc": F.transform("cpc", T.cpc_long),
-        "applicant": named("applicants", lambda p: T.organisation_key(p["iid"], p["name"], p["ctry"])),
-        "inventor": named("inventors", lambda p: T.inventor_key(p["name"], p["city"], p["ctry"])),
-        "attorney": named("attorneys", lambda p: T.attorney_key(p["iid"], p["name"], p["city"], p["ctry"])),
+        "applicant": named("applicants", lambda p: keys.organisation(p["iid"], p["name"], p["ctry"])),
+        "inventor": named("inventors", lambda p: keys.inventor(p["name"], p["city"], p["ctry"])),
+        "attorney": named("attorneys", lambda p: keys.attorney(p["iid"], p["name"], p["city"], p["ctry"])),
         "source_file": F.array(F.when(pub.isNotNull(), F.col("source_id"))),
     }
 

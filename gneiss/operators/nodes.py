@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,22 +43,22 @@ def _parties(parsed: DataFrame, field: str) -> DataFrame:
     return parsed.select(F.posexplode(field).alias("ordinal", "p"), "source_id", *SEQUENCE).where("p.name <> ''")
 
 
-def applicants(parsed: DataFrame, *keep: str) -> DataFrame:
+def applicants(parsed: DataFrame, *keep: str, keys: T.Keys = T.Keys()) -> DataFrame:
     p = F.col("p")
     return _parties(parsed, "applicants").select(
-        T.organisation_key(p["iid"], p["name"], p["ctry"]).alias("org_key"), p["name"].alias("applicant_name"), p["iid"].alias("applicant_epo_id"), p["irf"].alias("applicant_reference"), p["str"].alias("applicant_address"), p["city"].alias("applicant_city"), p["ctry"].alias("applicant_country"), "source_id", *keep
+        keys.organisation(p["iid"], p["name"], p["ctry"]).alias("org_key"), p["name"].alias("applicant_name"), p["iid"].alias("applicant_epo_id"), p["irf"].alias("applicant_reference"), p["str"].alias("applicant_address"), p["city"].alias("applicant_city"), p["ctry"].alias("applicant_country"), "source_id", *keep
     )
 
 
-def inventors(parsed: DataFrame, *keep: str) -> DataFrame:
+def inventors(parsed: DataFrame, *keep: str, keys: T.Keys = T.Keys()) -> DataFrame:
     p = F.col("p")
-    return _parties(parsed, "inventors").select(T.inventor_key(p["name"], p["city"], p["ctry"]).alias("person_key"), p["name"].alias("inventor_name"), p["str"].alias("inventor_address"), p["city"].alias("inventor_city"), p["ctry"].alias("inventor_country"), "source_id", *keep)
+    return _parties(parsed, "inventors").select(keys.inventor(p["name"], p["city"], p["ctry"]).alias("person_key"), p["name"].alias("inventor_name"), p["str"].alias("inventor_address"), p["city"].alias("inventor_city"), p["ctry"].alias("inventor_country"), "source_id", *keep)
 
 
-def attorneys(parsed: DataFrame, *keep: str) -> DataFrame:
+def attorneys(parsed: DataFrame, *keep: str, keys: T.Keys = T.Keys()) -> DataFrame:
     p = F.col("p")
     return _parties(parsed, "attorneys").select(
-        T.attorney_key(p["iid"], p["name"], p["city"], p["ctry"]).alias("person_key"), p["name"].alias("attorney_name"), p["sfx"].alias("attorney_sfx"), p["iid"].alias("attorney_epo_id"), p["str"].alias("attorney_address"), p["city"].alias("attorney_city"), p["ctry"].alias("attorney_country"), "source_id", *keep
+        keys.attorney(p["iid"], p["name"], p["city"], p["ctry"]).alias("person_key"), p["name"].alias("attorney_name"), p["sfx"].alias("attorney_sfx"), p["iid"].alias("attorney_epo_id"), p["str"].alias("attorney_address"), p["city"].alias("attorney_city"), p["ctry"].alias("attorney_country"), "source_id", *keep
     )
 
 
@@ -65,15 +68,24 @@ def source_files(parsed: DataFrame, *keep: str) -> DataFrame:
     return found.select("source_id", *keep).dropDuplicates(["source_id"]) if keep else found.select("source_id").distinct()
 
 
-NODE_TABLES = {"publication": publications, "application": applications, "ipc": ipc_codes, "cpc": cpc_codes, "applicant": applicants, "inventor": inventors, "attorney": attorneys, "source_file": source_files}
+#: How each node table is made of parsed rows; a run may be given others (Config.extractors).
+NODE_TABLES: dict[str, Callable[..., DataFrame]] = {"publication": publications, "application": applications, "ipc": ipc_codes, "cpc": cpc_codes, "applicant": applicants, "inventor": inventors, "attorney": attorneys, "source_file": source_files}
 #: Tables with several rows per document, which have an ordinal.
 REPEATED = ("ipc", "cpc", "applicant", "inventor", "attorney")
+#: Tables of parties, which have keys.
+KEYED = ("applicant", "inventor", "attorney")
+
 
+def node_tables(parsed: DataFrame, *, ordered: bool = False, keys: T.Keys = T.Keys(), extractors: Mapping[str, Callable[..., DataFrame]] | None = None) -> dict[str, DataFrame]:
+    """All node tables; `ordered` keeps the columns that say which row is the later one.
 
-def node_tables(parsed: DataFrame, *, ordered: bool = False) -> dict[str, DataFrame]:
-    """All node tables; `ordered` keeps the columns that say which row is the later one."""
+    `extractors` replaces how tables of some names are made: a function of the parsed rows and the names of further
+    columns to keep, for repeated tables among them `ordinal`.
+    """
     out = {}
-    for name, make in NODE_TABLES.items():
+    for name, make in {**NODE_TABLES, **(extractors or {})}.items():
+        if name in KEYED and make is NODE_TABLES[name]:
+            make = partial(make, keys=keys)
         keep = (*SEQUENCE, "ordinal") if name in REPEATED else SEQUENCE
         rows = make(parsed, *(keep if ordered else ()))
         out[name] = rows.withColumn("ordinal", F.lit(0)) if ordered and name not in REPEATED else rows if ordered else rows.select(*TABLES[name])

@@ -18,9 +18,14 @@ from gneiss.schemas import PARSED
 SPACE = re.compile(r"\s+")
 
 
-def own_text(node: ET.Element | None, path: str) -> str:
-    """Stripped text before the first child of the first match."""
-    hit = None if node is None else node.find(path)
+def qualified(namespace: str | None, tag: str) -> str:
+    """A tag as the parser names it in a namespace."""
+    return f"{{{namespace}}}{tag}" if namespace else tag
+
+
+def own_text(node: ET.Element | None, path: str, namespaces: dict[str, str] | None = None) -> str:
+    """Stripped text before the first child of the first match; prefixes of the path are looked up in `namespaces`."""
+    hit = None if node is None else node.find(path, namespaces)
     return (hit.text or "").strip() if hit is not None else ""
 
 

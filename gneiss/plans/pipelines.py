@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from gneiss.functions.text import Keys
 from gneiss.operators import fulltext as ft
 from gneiss.operators import graph as g
-from gneiss.operators.edges import edges_in_row
+from gneiss.operators.edges import EdgeRule, edges, edges_in_row
 from gneiss.operators.nodes import NODE_TABLES, node_tables
 from gneiss.operators.parse import FIELDS, parse, split_failures
 from gneiss.operators.status import done_rows, failed_rows, latest_status, pending
@@ -39,6 +40,10 @@ class Config:
     csv_folder: str | None = None
     batch_size: int = 500
     buckets: int = 64
+    keys: Keys = Keys()
+    extractors: Mapping[str, Callable[..., DataFrame]] | None = None  # other ways to make node tables
+    rules: Sequence[EdgeRule] | None = None  # other edge rules; these are joined, not made in the row
+    sink: Callable[[str, DataFrame], None] | None = None  # is given every table that an export writes
     connect: Callable[[], Connection] | None = None  # a SQL database that full text goes to as well
     graph: Callable[[], GraphSession] | None = None  # a graph store that the graph goes to as well
 
@@ -92,9 +97,12 @@ def export(spark: SparkSession, documents: DataFrame, cfg: Config, batch_id: int
     for part, of in zip(parts, known, strict=True):
         own = good.join(of, "source_id", "left_anti") if len(parts) > 1 else good
         if part == "graph":
-            tables = node_tables(own, ordered=True)
-            for name, rows in [*tables.items(), ("edge", edges_in_row(own))]:
+            tables = node_tables(own, ordered=True, keys=cfg.keys, extractors=cfg.extractors)
+            links = edges_in_row(own, keys=cfg.keys) if cfg.rules is None else edges(tables, cfg.rules)
+            for name, rows in [*tables.items(), ("edge", links)]:
                 counted(rows, name, cfg.at(f"silver/{name}/run={batch_id}"))
+                if cfg.sink:
+                    cfg.sink(name, spark.read.parquet(cfg.at(f"silver/{name}/run={batch_id}")))
             if cfg.csv_folder:
                 held = {n: spark.read.parquet(cfg.at(f"silver/{n}/run={batch_id}")).select(*TABLES[n]) for n in [*tables, "edge"]}
                 write_node_tables({**held, "citation": empty(spark, "citation")}, cfg.csv_folder)
@@ -102,6 +110,8 @@ def export(spark: SparkSession, documents: DataFrame, cfg: Config, batch_id: int
             batch = ft.collapse_batch(ft.fulltext(own, cfg.languages, ordered=True))
             counted(batch, "patent_fulltext", cfg.at(f"silver/fulltext/run={batch_id}"))
             batch = spark.read.schema(FULLTEXT).parquet(cfg.at(f"silver/fulltext/run={batch_id}"))
+            if cfg.sink:
+                cfg.sink("patent_fulltext", batch)
             merge_buckets(spark, cfg.at("fulltext"), FULLTEXT, ("pub_id", "lang"), batch, ft.upsert, cfg.buckets)
             if cfg.connect:
                 upsert_sql(batch, cfg.connect, "patent_fulltext", ("pub_id", "lang"), keep=("appln_id",), batch=cfg.batch_size)

@@ -14,6 +14,7 @@ from pathlib import Path
 
 Validator = Callable[[Path], None]
 PIECE = 1 << 20
+GIB = 1 << 30
 
 
 def metadata_url(base: str, product_id: int | str) -> str:
@@ -76,8 +77,16 @@ def move(source: Path, target: Path) -> None:
         source.unlink()
 
 
-def download(url: str, target: Path, *, headers: dict[str, str] | None = None, expected_size: int | None = None, validators: Iterable[Validator] = (), timeout: float = 300, piece: int = PIECE) -> int:
-    """Stream a URL to a file: into `.part` first, size and validity checked, then renamed. Nothing is left of a failure."""
+def progress_text(size: int, total: int | None = None) -> str:
+    """Bytes so far in GiB, and of how many."""
+    return f"{size / GIB:.2f} GiB" + (f" of {total / GIB:.2f} GiB ({100 * size / total:.1f} %)" if total else "")
+
+
+def download(url: str, target: Path, *, headers: dict[str, str] | None = None, expected_size: int | None = None, validators: Iterable[Validator] = (), timeout: float = 300, piece: int = PIECE, progress: Callable[[int, int | None], None] | None = None, every: int = GIB) -> int:
+    """Stream a URL to a file: into `.part` first, size and validity checked, then renamed. Nothing is left of a failure.
+
+    `progress` is told bytes so far and bytes in all (None if not known) whenever another `every` bytes have come.
+    """
     target.parent.mkdir(parents=True, exist_ok=True)
     part, size = target.with_name(target.name + ".part"), 0
     try:
@@ -86,6 +95,8 @@ def download(url: str, target: Path, *, headers: dict[str, str] | None = None, e
             while data := r.read(piece):
                 f.write(data)
                 size += len(data)
+                if progress and size // every > (size - len(data)) // every:
+                    progress(size, expected_size if expected_size is not None else int(told) if told and told.isdigit() else None)
             f.flush()
             os.fsync(f.fileno())
         for wanted in (expected_size, int(told) if told and told.isdigit() else None):

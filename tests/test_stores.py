@@ -289,3 +289,38 @@ def test_parse_of_some_fields(spark):
         assert all(row[f] is None for f in FIELDS if f not in ("root", "ipc"))
     with pytest.raises(ValueError):
         parse(docs, ["some"])
+
+
+def test_own_keys_extractors_rules_and_sink(spark, tmp_path):
+    from gneiss.functions.text import Keys
+
+    def shout(ident, name, country):
+        return F.upper(F.concat(F.lit("K:"), name))
+
+    def no_attorneys(parsed, *keep):
+        return N.attorneys(parsed, *keep).where("false")
+
+    seen = {}
+    cfg = Config(f"{tmp_path}/w", buckets=2, keys=Keys(organisation=shout), extractors={"attorney": no_attorneys}, sink=lambda name, rows: seen.update({name: rows.count()}))
+    counts = run(spark, sample(spark), cfg)
+    assert counts["attorney"] == 0 == seen["attorney"] and set(seen) == {*N.NODE_TABLES, "edge", "patent_fulltext"} and all(seen[n] == counts[n] for n in seen)
+    keys = {r["org_key"] for r in graph_vertices(spark, cfg, "applicant").collect()}
+    assert keys and all(k.startswith("K:") and k == k.upper() for k in keys)
+    types = {r["rel_type"] for r in graph_edges(spark, cfg).collect()}
+    assert "APPLIES_FOR" in types and "REPRESENTS" not in types
+    few = Config(f"{tmp_path}/v", buckets=2, rules=[r for r in E.RULES if r.rel_type == "FROM_SOURCE"])
+    run(spark, sample(spark), few)
+    assert {r["rel_type"] for r in graph_edges(spark, few).collect()} == {"FROM_SOURCE"}
+
+
+def test_namespaces_and_progress(tmp_path):
+    import xml.etree.ElementTree as ET
+
+    from gneiss.operators.parse import own_text, qualified
+
+    root = ET.fromstring('<r xmlns:e="urn:e"><e:a> x <b/> y</e:a></r>')
+    assert own_text(root, "e:a", {"e": "urn:e"}) == "x" == own_text(root, qualified("urn:e", "a")) and own_text(root, "a") == "" and qualified(None, "a") == "a"
+    (tmp_path / "f").write_bytes(b"x" * 10)
+    told = []
+    assert http.download(f"file://{tmp_path}/f", tmp_path / "g", piece=3, every=4, progress=lambda *x: told.append(x)) == 10
+    assert [n for n, _ in told] == [6, 9] and http.progress_text(1 << 29, 1 << 30) == "0.50 GiB of 1.00 GiB (50.0 %)" and http.progress_text(3 << 30) == "3.00 GiB"
