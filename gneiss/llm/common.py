@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,21 @@ def forget(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def intermediates(*kept: DataFrame) -> Iterator[list[DataFrame]]:
+    """Deletes, at its end, the tables that operators wrote within it, but for those appended to the list it gives.
+
+    What is computed within must be written or collected within too.
+    """
+    before, keep = set(map(id, WRITTEN)), list(kept)
+    try:
+        yield keep
+    finally:
+        for df in list(WRITTEN):
+            if id(df) not in before and not any(df is k for k in keep):
+                forget(df)
+
+
 def sweep() -> None:
     """Delete all tables that `written` left in the shared folder; for callers who have read their results."""
     for df in list(WRITTEN):

@@ -207,6 +207,21 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_intermediates_are_cleared(spark, tmp_path):
+    import os
+
+    there = common.written(spark.range(3), "there")
+    with common.intermediates() as kept:
+        gone, stays = common.written(spark.range(3), "gone"), common.written(spark.range(3), "stays")
+        kept.append(stays)
+        rows = ngram.jaccard_join(documents(spark, near_copies())).collect()
+    assert len(rows) == len(near_copies()) and there.count() == stays.count() == 3
+    at = lambda df: df._gneiss_path.removeprefix("file:")
+    assert os.path.exists(at(there)) and os.path.exists(at(stays)) and not os.path.exists(at(gone))
+    common.forget(there)
+    common.forget(stays)
+
+
 def test_no_local_folder_on_a_cluster(monkeypatch):
     class Context:
         master = "spark://host:7077"
