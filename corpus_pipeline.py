@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gneiss.llm import mixing, ngram, packing, suffix
 from gneiss.llm import toxicity as tox
-from gneiss.llm.common import unused, written
+from gneiss.llm.common import forget, intermediates, unused, written
 from gneiss.llm.queries import table
 
 THRESHOLD = 0.5
@@ -64,7 +64,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after another, each over what the one before wrote; a stage's intermediate tables go when it is done."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with intermediates() as kept:
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+            kept.append(docs)
+        if before is not None:
+            forget(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
