@@ -148,6 +148,11 @@ def node_of(depth: int) -> Column:
     return F.xxhash64(first, F.shiftright("lo", DIGIT * (2 * DIGITS - depth)) if depth > DIGITS else F.lit(0).cast("long"))
 
 
+def blocks_of(size: Column, block_rows: int) -> Column:
+    """Blocks of a group: of at most about `block_rows` rows, and of fewer where that would leave it less than eight blocks."""
+    return F.greatest(F.ceil(size / block_rows), F.least(F.lit(8), F.ceil(size * 8 / block_rows))).cast("int")
+
+
 def tied(sig: np.ndarray, least: int) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
     """A spanning forest of the rows whose signatures agree in at least `least` places: positions, positions they hang on, agreements.
 
@@ -228,7 +233,7 @@ def candidates(classes: DataFrame, forest: Forest, least: float, recall: float,
         here = trie.where(F.col("shared") >= depth).select("cid", node_of(depth).alias("node"), F.when(F.col("shared") > depth, node_of(min(depth + 1, forest.longest))).alias("finer"))
         nodes = here.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("x"), F.min("finer").alias("f0"), F.max("finer").alias("f1"), F.count("finer").alias("f"))
         nodes = nodes.where((F.col("size") > 1) & ((F.col("f") < F.col("size")) | (F.col("f0") < F.col("f1"))))
-        nodes = written(nodes.groupBy("size", "s", "x").agg(F.min("node").alias("at_node")).select("at_node", F.ceil(F.col("size") / block_rows).cast("int").alias("blocks")), "ngram-nodes")
+        nodes = written(nodes.groupBy("size", "s", "x").agg(F.min("node").alias("at_node")).select("at_node", blocks_of(F.col("size"), block_rows).alias("blocks")), "ngram-nodes")
         member = here.join(nodes, F.col("node") == F.col("at_node")).select("node", "cid", "blocks", F.pmod(F.xxhash64(F.lit(2), "cid"), F.col("blocks")).cast("int").alias("block"))
         member = member.select("node", "cid", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         member = member.join(sigs, F.col("cid") == F.col("s_cid")).select("node", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "sig")
@@ -337,7 +342,7 @@ def jaccard_join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wo
     classes = written(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min_by(F.struct("hi", "lo", "sig", "text_hash"), "doc_id").alias("of")).select("f1", "f2", "n", "rep", "weight", "of.hi", "of.lo", "of.sig", "of.text_hash", F.col("f1").bitwiseXOR(F.col("f2")).alias("cid")), "ngram-classes")
     ties, _ = candidates(classes, forest, least, recall, node_rows)
     groups = written(components(ties, "a", "b", "ngram-cc").select(F.col("id"), F.col("component").alias("grp")), "ngram-groups")
-    sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("blocks"))
+    sizes = groups.groupBy("grp").agg(blocks_of(F.count(F.lit(1)), block_rows).alias("blocks"))
     weights = classes.select(F.col("cid").alias("w_id"), "weight", "rep", F.col("text_hash").alias("rep_hash"))
     member = groups.join(sizes, "grp").join(weights, F.col("id") == F.col("w_id")).select("id", "rep", "rep_hash", "grp", "blocks", "weight", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")).dropDuplicates(["id"])
     found = lean.join(member, (lean["doc_id"] == member["rep"]) & (lean["text_hash"] == member["rep_hash"]))
