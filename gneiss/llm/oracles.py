@@ -48,3 +48,44 @@ cut as (select doc_id, k, case when k - lag(k) over (partition by doc_id order b
 island as (select doc_id, k, sum(opens) over (partition by doc_id order by k) as i from cut)
 select doc_id, min(k)::integer as span_start, (max(k) - min(k) + 50)::integer as span_words from island group by doc_id, i
 """
+
+
+def _draw(level: int, child: str, weight: str) -> str:
+    """The weighted draw of a child, as `sharding.draw`."""
+    return f"-ln((('0x' || substr(md5(concat_ws(':', coalesce(doc_id::varchar, ''), {level}, {child}, 0)), 1, 13))::bigint + 0.5) / 4503599627370496) / {weight}"
+
+
+def _tree(shards: int) -> str:
+    """doc_id to region, rack and shard of a tree of so many equal shards, four to a rack and two racks to a region."""
+    regions = ", ".join(f"({r}, {min(8, shards - 8 * r)})" for r in range(-(-shards // 8)))
+    racks = ", ".join(f"({r}, {min(4, shards - 4 * r)})" for r in range(-(-shards // 4)))
+    return f"""
+a as (select doc_id, arg_min(c, {_draw(0, "c", "w")}) as region from keys, (values {regions}) t(c, w) group by doc_id),
+b as (select doc_id, any_value(region) as region, arg_min(c, {_draw(1, "c", "w")}) as rack from a join (values {racks}) t(c, w) on c // 2 = region group by doc_id),
+tree as (select doc_id, any_value(region) as region, any_value(rack) as rack, arg_min(c, {_draw(2, "c", "1.0")}) as shard from b join (select unnest(range({shards}))::integer as c) on c // 4 = rack group by doc_id)
+"""
+
+
+#: CRC-32 byte by byte, the table made of its polynomial.
+_CRC = """
+poly(i, c, k) as (select i, i, 0 from range(256) t(i) union all select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from poly where k < 8),
+crc as (select list(c order by i) as t from poly where k = 8),
+sums as (select s, strlen(s) + 1 as size, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(s)), '..'), lambda x: ('0x' || x)::bigint)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) as text_crc32 from (select distinct coalesce(text, '') as s from documents), crc)
+"""
+
+OP10 = f"""
+with recursive {_CRC},
+keys as (select distinct doc_id from documents),
+now as (with {_tree(16)} select * from tree), grown as (with {_tree(17)} select doc_id, shard as grown_shard from tree),
+rows as (select d.doc_id, size::bigint as size, text_crc32::bigint as text_crc32, region, rack, shard, grown_shard, ('0x' || substr(md5(concat_ws(':', coalesce(d.doc_id::varchar, ''), text_crc32, 1)), 1, 13))::bigint as place
+  from documents d join sums on s = coalesce(text, '') join now on now.doc_id is not distinct from d.doc_id join grown on grown.doc_id is not distinct from d.doc_id)
+select doc_id, size, text_crc32, 'key' as law, shard, row_number() over (partition by shard order by place, doc_id nulls first, text_crc32, size) - 1 as slot, grown_shard, region, rack from rows
+"""
+
+#: On pages whose main text is the blocks of one <article> of headings and paragraphs, as all of the driver's are; the
+#: operator's choice of a container is tested on other pages.
+OP9 = r"""
+with a as (select page_id, url, string_split_regex(replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '<br>', ' '), '</?(?:p|h[1-6]|ul|li)>') as parts from pages),
+b as (select page_id, url, array_to_string(list_filter(list_transform(parts, lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) as text from a)
+select page_id, url, text, length(text)::bigint as n_chars from b
+"""

@@ -75,4 +75,4 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_topk, op2_suffix, op3_packing, op4_warc, op5_neardup, op6_ngram, op7_toxicity, op8_mixing, op9_html, op10_sharding)}
-ORACLE_SQL: dict[str, str] = {"op1_topk": oracles.OP1, "op2_suffix": oracles.OP2, "op5_neardup": oracles.OP5, "op6_ngram": oracles.OP6}
+ORACLE_SQL: dict[str, str] = {"op1_topk": oracles.OP1, "op2_suffix": oracles.OP2, "op5_neardup": oracles.OP5, "op6_ngram": oracles.OP6, "op9_html": oracles.OP9, "op10_sharding": oracles.OP10}

@@ -13,10 +13,15 @@ from gneiss.llm.common import written
 REGION, RACK, SHARD = 0, 1, 2
 
 
+def unit(*parts: Column) -> Column:
+    """A number between 0 and 1 out of the parts' MD5: 52 bits of it, which SQL of any engine can draw alike."""
+    digest = F.md5(F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]).cast("binary"))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
 def draw(key: Column, level: int, child: Column, weight: Column, seed: int) -> Column:
     """An exponential draw of rate `weight` from the hash of key, level and child: the least of several wins in proportion to weight."""
-    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(level), child.cast("int"), F.lit(seed)), 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
-    return F.when(weight > 0, -F.log(u) / weight)
+    return F.when(weight > 0, -F.log(unit(key, F.lit(level), child, F.lit(seed))) / weight)
 
 
 def winner(key: Column, level: int, children: list[Column], weights: Column, seed: int) -> Column:
@@ -55,35 +60,41 @@ def descend(rows: DataFrame, key: str, into: Sequence[str], shards: int, *, shar
     return rows.withColumn(shard, winner(F.col(key), SHARD, [F.col(rack) * shards_per_rack + i for i in range(shards_per_rack)], own, seed))
 
 
+#: Repeated rows that are written out by one task at a time.
+TOGETHER = 1 << 16
+
+
 def assign_shards(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shards: int = 16, shards_per_rack: int = 4, racks_per_region: int = 2, weights: Sequence[float] | None = None, grown_weight: float = 1.0, bucket_rows: int = 4096, seed: int = 0) -> DataFrame:
     """Put every row into a shard by the law `key`: the key and the shard count decide.
 
     Returns key, size (UTF-8 bytes of the text plus 1), text_crc32, law, region, rack, shard, slot, grown_shard (the shard
     with one more of `grown_weight`). That one more takes rows only into itself holds where `shards` fills whole regions,
-    as 16 does, see `descend`; other counts raise ValueError. slot counts each shard's rows from 0 without gaps: rows fall
-    into hash buckets of about `bucket_rows` rows, the running sum of the buckets' counts gives each its first slot, and
-    only rows of one bucket are numbered together. The bucket is drawn from key, text and the row's number in the written
-    table of hashes, so rows that repeat a key (or have none) are spread like all others. Null text counts as empty, a
-    very long one is one row like any other. A null key is a key like any other: all such rows share a shard. Repeated
-    rows each get a slot of their own. Other columns, whatever their names, are left out. An empty table gives an empty
-    table.
+    as 16 does, see `descend`; other counts raise ValueError. slot numbers each shard's rows from 0 without gaps, in the
+    order of a hash of key and text: rows fall into ranges of that hash of about `bucket_rows` rows, the running sum of the
+    ranges' counts gives each its first slot, and only rows of one range are numbered together. Rows of equal key and text
+    are counted before they are shuffled and written out again afterwards, `TOGETHER` at a time, so no task holds them all,
+    however many. Null text counts as empty, a very long one is one row like any other. A null key is a key like any other:
+    all such rows share a shard. Repeated rows each get a slot of their own. Other columns, whatever their names, are left
+    out. An empty table gives an empty table.
     """
     if shards % (shards_per_rack * racks_per_region):
         raise ValueError("the law `key` needs shards to fill whole regions")
-    more = None if weights is None else [*weights, grown_weight]
-    more = [*[1.0] * shards, grown_weight] if more is None else more
+    more = [*([1.0] * shards if weights is None else weights), grown_weight]
     tree = dict(shards_per_rack=shards_per_rack, racks_per_region=racks_per_region, seed=seed)
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
-    rows = docs.select(docs[key].alias("key"), (F.octet_length(body) + F.lit(1)).cast("long").alias("size"), F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"), F.monotonically_increasing_id().alias("row"))
+    rows = docs.select(docs[key].alias("key"), (F.octet_length(body) + F.lit(1)).cast("long").alias("size"), F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"))
+    rows = rows.groupBy("key", "size", "text_crc32").agg(F.count(F.lit(1)).alias("times")).withColumn("place", unit(F.col("key"), F.col("text_crc32"), F.lit(seed + 1)))
     rows = descend(rows, "key", ("region", "rack", "shard"), shards, weights=weights, **tree)
     rows = descend(rows, "key", ("grown_region", "grown_rack", "grown_shard"), shards + 1, weights=more, **tree).drop("grown_region", "grown_rack")
-    # written, as row numbers hold within one reading only; texts are read once
-    rows = written(rows, "shard-rows")
-    buckets = max(1, -(-rows.count() // (shards * bucket_rows)))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "key", "text_crc32", "row"), F.lit(buckets)))
-    counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    rows = written(rows, "shard-rows")  # texts are read once
+    n, most = rows.agg(F.count(F.lit(1)), F.max("times")).first()
+    rows = rows.withColumn("bucket", F.floor(F.col("place") * max(1, -(-n // (shards * bucket_rows)))))
+    counts = rows.groupBy("shard", "bucket").agg(F.sum("times").alias("n"))
     first = counts.select(F.col("shard").alias("f_shard"), F.col("bucket").alias("f_bucket"), (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("first"))
-    numbered = rows.withColumn("nth", F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("key", "text_crc32", "row")) - 1)
-    return numbered.join(first, (F.col("shard") == F.col("f_shard")) & (F.col("bucket") == F.col("f_bucket"))).select(
-        F.col("key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("nth")).cast("long").alias("slot"), "grown_shard", "region", "rack"
-    )
+    nth = F.sum("times").over(Window.partitionBy("shard", "bucket").orderBy("place", "key", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("times")
+    numbered = rows.withColumn("nth", nth).join(first, (F.col("shard") == F.col("f_shard")) & (F.col("bucket") == F.col("f_bucket"))).withColumn("slot", F.col("first") + F.col("nth"))
+    if (most or 0) > TOGETHER:
+        numbered = numbered.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(TOGETHER).cast("long"))))
+        numbered = numbered.withColumn("slot", F.col("slot") + F.col("part")).withColumn("times", F.least(F.lit(TOGETHER).cast("long"), F.col("times") - F.col("part"))).repartition("shard", "slot")
+    out = numbered.withColumn("again", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
+    return out.select(F.col("key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("slot") + F.col("again")).alias("slot"), "grown_shard", "region", "rack")
