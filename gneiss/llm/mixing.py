@@ -137,6 +137,24 @@ def with_copies(docs: DataFrame, plan: DataFrame, *, key: str = "doc_id", text:
     return seen.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias(mix_pass))
 
 
+def in_mix_order(docs: DataFrame, plan: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", block_tokens: int = 1 << 20, seed: int = 0) -> DataFrame:
+    """The copies of docs that `with_copies` makes, with docs' own columns, in the order of the mix: block by block, each block permuted.
+
+    A copy's place in its source's layout is read off its hash, which is where the permutation puts it but for the
+    unevenness of hashes; the exact running sums of `mix` would need another join. So each block holds the target weights
+    in expectation. The rows are range-partitioned by block and sorted; files written from the result keep that order. One
+    shuffle of the copies; a block is the least that goes to one task.
+    """
+    nth, of, weight, tokens, k, block, at = (unused(n, docs) for n in ("mix_pass", "mix_source", "mix_weight", "mix_tokens", "mix_key", "mix_block", "mix_at"))
+    p = plan.select(F.col("source").alias(of), F.col("weight").alias(weight), F.col("tokens").alias(tokens))
+    copies = with_copies(docs, plan, key=key, text=text, source=source, seed=seed, mix_pass=nth)
+    copies = copies.join(p, copies[source].eqNullSafe(F.col(of))).withColumn(k, pass_key(F.col(key), F.col(source), salt_of(F.col(text)), seed, F.col(nth)))
+    start = (F.col(nth) + F.col(k).cast("double") / F.lit(2.0**64) + F.lit(0.5)) * F.col(tokens)
+    copies = copies.withColumn(block, F.floor(start / (F.col(weight) * F.lit(float(block_tokens)))).cast("long")).withColumn(at, F.xxhash64(F.lit(seed + 1), F.col(k)))
+    parts = max(12, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return copies.repartitionByRange(parts, block, at).sortWithinPartitions(block, at).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", target_entropy: float | None = 0.98, max_repeats: float | None = 2.0, budget_tokens: int | None = None, block_tokens: int = 1 << 20, seed: int = 0) -> DataFrame:
     """The whole mix, one row per use of a document: key, source, n_tokens, weight, mix_pass, block, block_key.
 

@@ -762,6 +762,30 @@ def test_mixing_entropy_and_budget(spark):
     assert mixing.with_copies(clash, mixing.mixing_plan(clash), mix_pass="nth").columns == [*clash.columns, "nth"]
 
 
+def test_mix_order(spark, tmp_path):
+    """The copies are those of the plan; written files hold the blocks in order, each with the target weights."""
+    r = random.Random(12)
+    rows = [(i, prose(i, 20 + r.randrange(20)), "big" if i < 3000 else "small" if i < 4000 else None) for i in range(4400)] + [(None, "x y", "big"), (7, None, "big")]
+    docs = documents(spark, rows).withColumn("mix_block", F.lit("mine")).withColumn("mix_pass", F.lit(3))
+    plan = mixing.mixing_plan(docs, target_entropy=None)
+    ordered = mixing.in_mix_order(docs, plan, block_tokens=12_000)
+    assert ordered.columns == docs.columns and {tuple(x) for x in ordered.select("mix_block", "mix_pass").distinct().collect()} == {("mine", 3)}
+    copies = Counter((x["doc_id"], x["text"]) for x in mixing.with_copies(docs, plan, mix_pass="nth").collect())
+    ordered.write.parquet(f"{tmp_path}/mix")
+    files = sorted((tmp_path / "mix").glob("part-*"))
+    got = [x for f in files for x in spark.read.parquet(str(f)).coalesce(1).collect()]
+    assert Counter((x["doc_id"], x["text"]) for x in got) == copies
+    weights = {x["source"]: x["weight"] for x in plan.collect()}
+    total, at, share = 0, 0, defaultdict(lambda: defaultdict(int))
+    for x in got:
+        n = len((x["text"] or "").split()) + 1
+        share[total // 24_000][x["source"]] += n
+        total += n
+    for own in list(share.values())[:-1]:
+        assert all(abs(own[s] / sum(own.values()) - w) < 0.08 for s, w in weights.items())
+    assert len(share) > 4
+
+
 def test_mixing_of_rows_without_keys(spark):
     """Rows that are all alike, without a key, are laid out in many hash ranges and over all blocks."""
     docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
