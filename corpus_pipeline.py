@@ -43,13 +43,12 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once, those of small sources again up to the repetition limit.
+    """Every document at least once, those of small sources again up to the repetition limit, in the order of the mix's blocks.
 
     Null sources are one source; null texts weigh one token; repeated rows are passed over alike; an empty table stays
-    empty.
+    empty. What is written from the result keeps its order, so that packing fills its sequences from the mix.
     """
-    nth = unused("mix_pass", docs)
-    return mixing.with_copies(docs, mixing.mixing_plan(docs), mix_pass=nth).drop(nth)
+    return mixing.in_mix_order(docs, mixing.mixing_plan(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
