@@ -660,6 +660,76 @@ def test_warc_codings_and_broken_files(spark):
     assert warc.derive(table.limit(0)).collect() == []
 
 
+def visible(page):
+    """Words of a page by another parser: its text outside of scripts, styles, templates and the head."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.hidden = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.hidden += tag in ("script", "style", "template", "head")
+            if tag in html.BLOCK or tag == "br":
+                self.out.append(" ")
+
+        def handle_endtag(self, tag):
+            self.hidden -= tag in ("script", "style", "template", "head")
+            if tag in html.BLOCK:
+                self.out.append(" ")
+
+        def handle_data(self, data):
+            if not self.hidden:
+                self.out.append(data)
+
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    return "".join(reader.out).split()
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir(SF), reason="no test data")
+def test_warc_of_all_pages(spark):
+    """Every page's records, taken apart by the library for mail headers, say what other libraries find in the page."""
+    import base64
+    import hashlib
+    from email.parser import BytesParser
+
+    from gneiss.llm import queries
+
+    pages = {x["page_id"]: x for x in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    rows = queries.op4_warc(spark, SF).collect()
+    assert Counter((x["page_id"], x["record_type"]) for x in rows) == {(i, t): 1 for i in pages for t in ("metadata", "conversion")}
+    assert len({x["record_id"] for x in rows}) == len(rows)
+    for x in rows:
+        page, whole = pages[x["page_id"]], bytes(x["record"])
+        version, _, rest = whole.partition(b"\r\n")
+        head, _, block = rest.partition(b"\r\n\r\n")
+        said = BytesParser().parsebytes(head + b"\r\n\r\n")
+        payload = (page["html"] or "").encode()
+        sha = lambda data: "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+        assert version == b"WARC/1.0" and block.endswith(b"\r\n\r\n") and int(said["Content-Length"]) == len(block) - 4 == x["content_length"]
+        assert (said["WARC-Type"], said["WARC-Record-ID"], said["WARC-Refers-To"]) == (x["record_type"], x["record_id"], x["refers_to"])
+        assert said["WARC-Block-Digest"] == sha(block[:-4]) == x["block_digest"] and said["WARC-Refers-To-Payload-Digest"] == sha(payload) == x["source_payload_digest"]
+        assert said["WARC-Target-URI"] == page["url"] == x["target_uri"]
+        assert x["source_headers"] == f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}"
+        if x["record_type"] == "conversion":
+            assert block[:-4].decode().split() == visible(page["html"])
+        else:
+            facts = json.loads(block)["Envelope"]
+            found = facts["Payload-Metadata"]["HTTP-Response-Metadata"]
+            assert found["Entity-Length"] == len(payload) and facts["WARC-Header-Metadata"]["WARC-Record-ID"] == x["refers_to"]
+            import re
+
+            assert [y["url"] for y in found["HTML-Metadata"]["Links"] if y["path"] == "A@/href"] == re.findall('<a href="([^"]*)"', page["html"])
+            title = __import__("html").unescape(re.search("<title>(.*?)</title>", page["html"], re.S)[1]).split()
+            assert found["HTML-Metadata"]["Head"]["Title"].split() == title
+
+
 # ---- toxicity
 
 
@@ -710,6 +780,42 @@ def test_toxicity_without_labels(spark):
     assert toxicity.scored(clash, toxicity.train([], []), score="new").columns == [*clash.columns, "new"]
 
 
+def test_scores_by_hand():
+    """A text's score, computed bag by bag and n-gram by n-gram without the stream, is the model's."""
+    r = random.Random(13)
+    shape = toxicity.Shape(bits=10, window=8, step=4, filled=16)
+    value = np.random.default_rng(3).normal(0, 1, 1 << shape.bits)
+    model = toxicity.Model(value, -0.7, shape)
+    words = ["a", "zorg", "zorg", "frump-wick", "don't", "naïve", "漢字", "b2b", "x" * 30, "wordy", "other", "thing"]
+
+    def bucket(gram):
+        h = 0
+        for k, c in enumerate(gram):
+            h = (ord(c) if c != "\0" else 0) if not k else (h * 0x100000001B3 + (ord(c) if c != "\0" else 0)) & (2**64 - 1)
+        return int(common.mixed(np.array([(h + len(gram)) & (2**64 - 1)], np.uint64))[0]) >> 64 - shape.bits
+
+    def grams(word):
+        w = f"\0{word}\0"
+        return [bucket(w[i : i + n]) for n in range(shape.least, shape.most + 1) for i in range(len(w) - n + 1)]
+
+    def by_hand(text):
+        own, last = [], {}
+        for i, w in enumerate(text.split()):
+            if w not in last or i - last[w] > shape.window:
+                own.append(w)
+            last[w] = i
+        bags = -(-(len(own) - shape.window) // shape.step) + 1 if len(own) > shape.window else min(len(own), 1)
+        best = [-0.7] if not bags else []
+        for k in range(bags):
+            start = max(0, min(k * shape.step, len(own) - shape.window))
+            g = [x for w in own[start : start + shape.window] for x in grams(w)]
+            best.append(sum(value[x] for x in g) / max(len(g), shape.filled) - 0.7)
+        return 1 / (1 + math.exp(-max(best)))
+
+    texts = ["", "zorg", *(" ".join(r.choice(words) for _ in range(r.randrange(1, 60))) for _ in range(60))]
+    assert model.score(texts) == pytest.approx([by_hand(t) for t in texts], abs=1e-9)
+
+
 def test_toxicity_few_labels(spark):
     """A single text of a label neither fails nor moves the border."""
     one = toxicity.fitted(["zorgblat here", "fine words", "other words", "more of them", "and again"], [1, 0, 0, 0, 0])
