@@ -557,3 +557,13 @@ def q47_stream_of_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]").select(*wanted.names)
     stream.writeStream.foreachBatch(one).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return TB.read_parquet(spark, f"{folder}/last", wanted).select("user_id", "event_id", "event_type", "value")
+
+
+@query("select event_id, 'file:/raw/'||event_type||'-'||event_id||'.zip' as raw, '/staging/'||event_type||'-'||event_id||'.zip' as staging, '/final/'||event_type||'-'||event_id||'.zip' as final, case when event_type not in ('moved','failed','empty','skipped') then event_type end as unknown_state from events")
+def q48_artifact_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where an archive's artifacts lie in each step, and states that no archive can have."""
+    e = table(spark, sf_dir, "events").withColumn("status", F.col("event_type"))
+    raw, staging, final = I.paths("file:/raw/", "/staging", "/final//", F.concat("event_type", F.lit("-"), F.col("event_id").cast("string"), F.lit(".zip")))
+    odd = S.unknown_states(e).select(F.col("event_id").alias("odd_id"), F.col("status").alias("unknown_state"))
+    rows = e.select("event_id", raw.alias("raw"), staging.alias("staging"), final.alias("final"))
+    return rows.join(odd, rows["event_id"] == odd["odd_id"], "left").drop("odd_id")
