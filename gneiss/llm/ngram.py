@@ -175,17 +175,44 @@ def tied(sig: np.ndarray, least: int) -> tuple[list[np.ndarray], list[np.ndarray
     return a, b, n
 
 
+def roots(n: int, a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """For each of n rows the row that its tree of `tied` was grown from."""
+    out = np.arange(n)
+    for x, y in zip(a, b, strict=True):  # a parent is tied before its children
+        out[x] = out[y]
+    return out
+
+
+def tied_across(sig: np.ndarray, second: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ties the trees of one block to those of another (second: which rows are of it): one tie for each two trees that meet.
+
+    Trees within a block are made alike wherever the block is compared, and are given out by the block alone.
+    """
+    tree = np.empty(len(sig), np.int64)
+    for own in (np.flatnonzero(~second), np.flatnonzero(second)):
+        a, b, _ = tied(sig[own], least)
+        tree[own] = own[roots(len(own), a, b)]
+    a, b, n = (np.concatenate(x) if x else np.empty(0, np.int64) for x in tied(sig, least))
+    at = np.flatnonzero(second[a] != second[b])
+    _, first = np.unique(np.stack([np.minimum(tree[a], tree[b])[at], np.maximum(tree[a], tree[b])[at]], 1), axis=0, return_index=True)
+    at = at[first]
+    return a[at], b[at], n[at]
+
+
 def _ties(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Rows (node, low, high, cid, sig) sorted by the first three: ties within each pair of a node's blocks, one held at a time."""
+    """Rows (node, low, high, cid, block, sig) sorted by the first four: ties within each block of a node and between each two, one pair held at a time."""
     out: list[list[np.ndarray]] = [[], [], []]
 
-    def grown(ids: list[int], sigs: list[bytes]) -> None:
-        if len(ids) > 1:
-            own = np.array(ids)
-            a, b, n = tied(np.frombuffer(b"".join(sigs), np.uint8).reshape(len(ids), -1), least)
-            for x, y, m in zip(a, b, n, strict=True):
-                for to, values in zip(out, (np.maximum(own[x], own[y]), np.minimum(own[x], own[y]), m), strict=True):
-                    to.append(values)
+    def grown(key: list | None, ids: list[int], blocks: list[int], sigs: list[bytes]) -> None:
+        if len(ids) < 2:
+            return
+        own, sig = np.array(ids), np.frombuffer(b"".join(sigs), np.uint8).reshape(len(ids), -1)
+        if key[1] == key[2]:
+            a, b, n = (np.concatenate(x) if x else np.empty(0, np.int64) for x in tied(sig, least))
+        else:
+            a, b, n = tied_across(sig, np.array(blocks) == key[2], least)
+        for to, values in zip(out, (np.maximum(own[a], own[b]), np.minimum(own[a], own[b]), n), strict=True):
+            to.append(values)
 
     def flushed() -> pa.RecordBatch:
         columns = [np.concatenate(x) if x else np.empty(0, np.int64) for x in out]
@@ -193,17 +220,18 @@ def _ties(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBa
             x.clear()
         return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "same"])
 
-    key, ids, sigs = None, [], []
+    key, ids, blocks, sigs = None, [], [], []
     for batch in batches:
-        for *now, cid, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for *now, cid, block, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if now != key:
-                grown(ids, sigs)
-                key, ids, sigs = now, [], []
+                grown(key, ids, blocks, sigs)
+                key, ids, blocks, sigs = now, [], [], []
             ids.append(cid)
+            blocks.append(block)
             sigs.append(sig)
         if len(out[0]) > 1000:
             yield flushed()
-    grown(ids, sigs)
+    grown(key, ids, blocks, sigs)
     yield flushed()
 
 
@@ -216,7 +244,7 @@ def candidates(classes: DataFrame, forest: Forest, least: float, recall: float,
     longer prefix was compared before, and nodes of the same rows in several tries are compared once. A tie of similarity s
     was to be met with probability p(s) at this length, so the ties found stand for sum(1 / p) that there are: shortening
     ends once that estimate of the recall is reached, at the latest at the length that reaches it for pairs just at the
-    threshold. Large nodes are compared in pairs of blocks.
+    threshold. Large nodes are compared block by block and in pairs of blocks, of which come only ties between trees.
     """
     places = forest.trees * forest.longest
     floor = shortest_prefix(least, forest.trees, forest.longest, recall)
@@ -236,7 +264,7 @@ def candidates(classes: DataFrame, forest: Forest, least: float, recall: float,
         nodes = written(nodes.groupBy("size", "s", "x").agg(F.min("node").alias("at_node")).select("at_node", blocks_of(F.col("size"), block_rows).alias("blocks")), "ngram-nodes")
         member = here.join(nodes, F.col("node") == F.col("at_node")).select("node", "cid", "blocks", F.pmod(F.xxhash64(F.lit(2), "cid"), F.col("blocks")).cast("int").alias("block"))
         member = member.select("node", "cid", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        member = member.join(sigs, F.col("cid") == F.col("s_cid")).select("node", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "sig")
+        member = member.join(sigs, F.col("cid") == F.col("s_cid")).select("node", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "block", "sig")
         member = member.repartition(parts, "node", "low", "high").sortWithinPartitions("node", "low", "high", "cid")
         found = member.mapInArrow(lambda it: _ties(it, bound), "a long, b long, same long").dropDuplicates(["a", "b"])
         found = written(found if ties is None else found.union(ties).dropDuplicates(["a", "b"]), "ngram-ties")

@@ -350,7 +350,29 @@ def test_forest_large_node(spark, node_rows):
     sets = [np.concatenate([base, numbers(10 + k, 6)]) for k in range(120)]
     ties, _ = forest_ties(spark, sets, node_rows=node_rows)
     assert set(groups(range(120), ties).values()) == {0}
-    assert len(ties) < 24 * 120 * (1 if node_rows > 120 else 20)
+    assert len(ties) < 24 * (120 if node_rows > 120 else 120 + 18 * 18)
+
+
+def test_ties_across_blocks():
+    """Ties of blocks and between blocks connect what direct ties of all rows connect."""
+    r = np.random.default_rng(14)
+    for _ in range(40):
+        base = r.integers(0, 3, (6, 20), dtype=np.uint8)
+        sig = base[r.integers(0, 6, 40)]
+        noise = r.random(sig.shape) < 0.15
+        sig[noise] = r.integers(0, 3, noise.sum())
+        block, links = r.integers(0, 3, 40), []
+        for lo in range(3):
+            at = np.flatnonzero(block == lo)
+            for x, y, _ in zip(*ngram.tied(sig[at], 15)):
+                links += zip(at[x], at[y])
+            for hi in range(lo + 1, 3):
+                both = np.flatnonzero((block == lo) | (block == hi))
+                x, y, n = ngram.tied_across(sig[both], block[both] == hi, 15)
+                assert ((sig[both[x]] == sig[both[y]]).sum(1) == n).all() and (block[both[x]] != block[both[y]]).all()
+                links += zip(both[x], both[y])
+        every = [(i, j) for i in range(40) for j in range(40) if i != j and (sig[i] == sig[j]).sum() >= 15]
+        assert groups(range(40), links) == groups(range(40), every)
 
 
 def test_shortest_prefix():
