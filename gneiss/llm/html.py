@@ -45,9 +45,9 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are menus if they hold little but links.
 MENUS = frozenset("div ul ol table tr td section center p".split())
 
-#: The rest of a tag behind its name, quotes kept together.
-TAG_END = re.compile(r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
-TAG_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)")
+#: A tag, quotes kept together; its beginning alone.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
 #: A tag whose quotes do not close ends at its first >; after so many on a page quotes are no longer looked at.
 MOST_UNCLOSED = 16
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -74,7 +74,16 @@ def tokens(source: str) -> Iterator[tuple[int, int, str, str, str]]:
     last_close = source.rfind(">")
     last_cdata = source.rfind("]]>")
     while (at := source.find("<", at)) >= 0:
-        if source.startswith("<!--", at):
+        begins = last_close > at and source[at + 1 : at + 2] not in ("!", "?")
+        if begins and unclosed < MOST_UNCLOSED and (m := TAG.match(source, at)):
+            end = m.end()
+            yield at, end, m[1], m[2], m[3]
+        elif begins and (m := TAG_NAME.match(source, at)):
+            unclosed += 1
+            end = source.find(">", m.end()) + 1 or at + 1
+            if end > m.end():
+                yield at, end, m[1], m[2], source[m.end() : end - 1]
+        elif source.startswith("<!--", at):
             end = source.find("-->", at + 4)
             end = n if end < 0 else end + 3
             yield at, end, "", "", ""
@@ -84,18 +93,6 @@ def tokens(source: str) -> Iterator[tuple[int, int, str, str, str]]:
         elif source.startswith(("!", "?"), at + 1) and last_close > at:
             end = source.find(">", at) + 1
             yield at, end, "", "", ""
-        elif last_close > at and (m := TAG_NAME.match(source, at + 1)):
-            rest = TAG_END.match(source, m.end()) if unclosed < MOST_UNCLOSED else None
-            if rest is None:
-                unclosed += 1
-                end = source.find(">", m.end()) + 1
-                if not end:
-                    at += 1
-                    continue
-                yield at, end, m[1], m[2], source[m.end() : end - 1]
-            else:
-                end = rest.end()
-                yield at, end, m[1], m[2], rest[1]
         else:
             end = at + 1
         at = end

@@ -293,7 +293,7 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(key.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1024, most_chars: int = 20_000_000, shape: Shape = Shape()) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1024, most_chars: int = 12_000_000, shape: Shape = Shape()) -> Model:
     """Train on at most `per_label` documents of label 1 and twice as many of label 0 (those of least hash), none held out.
     Texts are read whole: if those of a label exceed its part of `most_chars` characters, a third for label 1, fewer
     documents are taken.
