@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gneiss.sources.tables import shared_folder
+
 U64 = np.uint64
 #: Odd multiplier of the rolling polynomial hash, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -23,21 +23,6 @@ BASE_INVERSE = pow(BASE, -1, 1 << 64)
 WRITTEN: list[DataFrame] = []
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only a local session without one (as in tests) gets a temporary one."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not named:
-        held = sc._jsc.sc().getCheckpointDir()
-        if held.isEmpty():
-            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="gneiss-"))
-            held = sc._jsc.sc().getCheckpointDir()
-        named = held.get()
-    return named.rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back: lineage is cut, lost executors cost nothing."""
     spark = df.sparkSession
@@ -138,7 +123,7 @@ def unused(name: str, df: DataFrame) -> str:
     return name
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bound the rows, and so the bytes, of what goes to Python at once: one bound for all operators, as plans are lazy."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
