@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import U64, Rolling, components, forget, mixed, small_batches, unused, word_hashes, written
+from gneiss.llm.common import U64, Rolling, components, forget, mixed, small_batches, unused, word_hashes, written, trimmed
 from gneiss.llm.neardup import star_forest
 
 #: White space beyond ASCII, as str.split() knows it.
@@ -254,19 +254,19 @@ def candidates(classes: DataFrame, forest: Forest, least: float, recall: float,
     parts = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = classes.select("cid", F.explode(F.arrays_zip("hi", "lo")).alias("w")).select(F.col("w.hi").alias("hi"), F.col("w.lo").alias("lo"), "cid")
     rows = rows.repartitionByRange(parts, "hi", "lo", "cid").sortWithinPartitions("hi", "lo", "cid")
-    trie = written(rows.mapInArrow(lambda it: _neighbours(it, floor, forest.longest), "hi long, lo long, cid long, shared int"), "ngram-trie")
+    trie = written(rows.mapInArrow(lambda it: trimmed(_neighbours(it, floor, forest.longest)), "hi long, lo long, cid long, shared int"), "ngram-trie")
     sigs = classes.select(F.col("cid").alias("s_cid"), "sig")
     ties, said = None, []
     for depth in range(forest.longest, floor - 1, -1):
         here = trie.where(F.col("shared") >= depth).select("cid", node_of(depth).alias("node"), F.when(F.col("shared") > depth, node_of(min(depth + 1, forest.longest))).alias("finer"))
         nodes = here.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("x"), F.min("finer").alias("f0"), F.max("finer").alias("f1"), F.count("finer").alias("f"))
         nodes = nodes.where((F.col("size") > 1) & ((F.col("f") < F.col("size")) | (F.col("f0") < F.col("f1"))))
-        nodes = written(nodes.groupBy("size", "s", "x").agg(F.min("node").alias("at_node")).select("at_node", blocks_of(F.col("size"), block_rows).alias("blocks")), "ngram-nodes")
+        nodes = written(nodes.groupBy("size", "s", "x").agg(F.min("node").alias("at_node")).select("at_node", F.ceil(F.col("size") / block_rows).cast("int").alias("blocks")), "ngram-nodes")
         member = here.join(nodes, F.col("node") == F.col("at_node")).select("node", "cid", "blocks", F.pmod(F.xxhash64(F.lit(2), "cid"), F.col("blocks")).cast("int").alias("block"))
         member = member.select("node", "cid", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         member = member.join(sigs, F.col("cid") == F.col("s_cid")).select("node", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "cid", "block", "sig")
         member = member.repartition(parts, "node", "low", "high").sortWithinPartitions("node", "low", "high", "cid")
-        found = member.mapInArrow(lambda it: _ties(it, bound), "a long, b long, same long").dropDuplicates(["a", "b"])
+        found = member.mapInArrow(lambda it: trimmed(_ties(it, bound)), "a long, b long, same long").dropDuplicates(["a", "b"])
         found = written(found if ties is None else found.union(ties).dropDuplicates(["a", "b"]), "ngram-ties")
         for old in (nodes, ties):
             if old is not None:
@@ -365,7 +365,7 @@ def jaccard_join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wo
     small_batches(docs.sparkSession)
     forest = Forest(trees, longest)
     lean = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    signed = written(lean.mapInArrow(lambda it: _sign(it, forest, words), SIGNED), "ngram-signed")
+    signed = written(lean.mapInArrow(lambda it: trimmed(_sign(it, forest, words)), SIGNED), "ngram-signed")
     full = signed.where("n > 0 and doc_id is not null")
     classes = written(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min_by(F.struct("hi", "lo", "sig", "text_hash"), "doc_id").alias("of")).select("f1", "f2", "n", "rep", "weight", "of.hi", "of.lo", "of.sig", "of.text_hash", F.col("f1").bitwiseXOR(F.col("f2")).alias("cid")), "ngram-classes")
     ties, _ = candidates(classes, forest, least, recall, node_rows)
@@ -378,7 +378,7 @@ def jaccard_join(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wo
     paired = found.select("grp", "id", "block", "weight", "text", other).select("grp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "block", "weight", "text")
     parts = max(12, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     paired = paired.repartition(parts, "grp", "low", "high").sortWithinPartitions("grp", "low", "high", "id")
-    links = written(paired.mapInArrow(lambda it: _verify(it, words, least), "id long, n long, root long"), "ngram-links")
+    links = written(paired.mapInArrow(lambda it: trimmed(_verify(it, words, least)), "id long, n long, root long"), "ngram-links")
     counts = links.groupBy("id").agg(F.sum("n").alias("n")).select(F.col("id").alias("n_id"), "n")
     comps = components(links, "id", "root", "ngram-cc2").select(F.col("id").alias("c_id"), F.col("component").alias("group_id"))
     comps = written(comps.distinct().join(classes.select("cid", F.col("rep").alias("c_rep")), F.col("c_id") == F.col("cid")).select("c_id", "group_id", "c_rep"), "ngram-groups2")
