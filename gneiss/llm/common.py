@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -110,6 +113,28 @@ def word_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, end, Rolling(np.frombuffer(blob, np.uint8).astype(U64)).ranges(start, end)
 
 
+@cache
+def _libc():
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.malloc_trim(0)
+        return libc
+    except (OSError, AttributeError):
+        return None
+
+
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; when they end, memory that the task freed goes back to the system, as workers live on for other tasks."""
+    try:
+        yield from batches
+    finally:
+        del batches
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if _libc():
+            _libc().malloc_trim(0)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """Rows of the named columns, batch by batch."""
     for b in batches:

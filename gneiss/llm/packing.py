@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from gneiss.llm.common import small_batches
+from gneiss.llm.common import small_batches, trimmed
 
 WIDTH = 4  # bytes of a token id
 
@@ -26,7 +26,7 @@ class Encoder:
     <|endoftext|>), which then get that token's id as by default; without it these are ordinary text.
     """
 
-    def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None, keep: int = 400_000, added: bool = False):
+    def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None, keep: int = 200_000, added: bool = False):
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(tokenizer)
@@ -220,4 +220,4 @@ def pack(docs: DataFrame, *, key: str = "doc_id", text: str = "text", tokenizer:
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(of)
-    return lean.mapInArrow(lambda it: _pack(it, str(tokenizer), ranks and str(ranks), pattern, end_id, window, most_open, kind), f"doc_id {of.simpleString()}, {PIECES}")
+    return lean.mapInArrow(lambda it: trimmed(_pack(it, str(tokenizer), ranks and str(ranks), pattern, end_id, window, most_open, kind)), f"doc_id {of.simpleString()}, {PIECES}")

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import BASE, U64, Rolling, mixed, powers, small_batches, unused, word_hashes, words_of, written
+from gneiss.llm.common import BASE, U64, Rolling, mixed, powers, small_batches, unused, word_hashes, words_of, written, trimmed
 from gneiss.llm.ngram import WIDE_SPACE
 
 
@@ -177,7 +177,7 @@ def compared(s: Suffixes, is_open: np.ndarray) -> tuple[list[np.ndarray], Suffix
     return [np.concatenate(x) for x in found], left
 
 
-def _compare(batches: Iterator[pa.RecordBatch], reach: int, chunk: int = 20_000, most: int = 100_000) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], reach: int, chunk: int = 8_000, most: int = 100_000) -> Iterator[pa.RecordBatch]:
     """Sorted suffixes, group by group of equal first words; a partition's first and last group, and very large ones, stay open."""
     held: list[pa.RecordBatch] = []
     open_key = None
@@ -318,7 +318,7 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     lean = docs.where(docs[key].isNotNull()).select(docs[key].cast("long").alias("doc_id"), body.alias("text"))
     asked = lean.select("doc_id", "text", F.xxhash64("text").alias("t1"), F.crc32(F.encode("text", "UTF-8")).alias("t2"))
-    anchors = written(asked.mapInArrow(lambda it: _anchors(it, least, gram), "doc_id long, t1 long, t2 long, n_words int, keys array<long>"), "suffix-anchors")
+    anchors = written(asked.mapInArrow(lambda it: trimmed(_anchors(it, least, gram)), "doc_id long, t1 long, t2 long, n_words int, keys array<long>"), "suffix-anchors")
     long = anchors.where(F.col("n_words") >= least)
     firsts = written(long.groupBy("t1", "t2", "n_words").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys")), "suffix-firsts")
     copies = long.drop("keys").join(firsts.drop("keys"), ["t1", "t2", "n_words"]).where("doc_id <> first").select("doc_id", F.lit(0).alias("span_start"), F.col("n_words").alias("span_words"))
@@ -328,12 +328,12 @@ def repeated_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     wanted = sparse.join(shared, "gram_key", "left_semi").groupBy("at_id", "at_text").agg(F.collect_list("nth").alias("nth"))  # at most a document's own suffixes
     wanted = written(wanted, "suffix-wanted")
     distinct = lean.join(wanted, (lean["doc_id"] == wanted["at_id"]) & (F.xxhash64(lean["text"]) == wanted["at_text"]))
-    suffixes = written(distinct.select("doc_id", "text", "nth").mapInArrow(lambda it: _suffixes(it, least, gram), SUFFIX), "suffix-rows")
+    suffixes = written(distinct.select("doc_id", "text", "nth").mapInArrow(lambda it: trimmed(_suffixes(it, least, gram)), SUFFIX), "suffix-rows")
     parts = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = ("gram_key", "behind", "before", "doc_id", "start")
     in_order = suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    found = written(in_order.mapInArrow(lambda it: _compare(it, reach), COMPARED), "suffix-compared")
-    opened = written(found.where(F.col("kind") == OPEN).drop("kind").mapInArrow(lambda it: _opened(it, reach), "h1 long, h2 long, doc_id long, start int"), "suffix-open")
+    found = written(in_order.mapInArrow(lambda it: trimmed(_compare(it, reach)), COMPARED), "suffix-compared")
+    opened = written(found.where(F.col("kind") == OPEN).drop("kind").mapInArrow(lambda it: trimmed(_opened(it, reach)), "h1 long, h2 long, doc_id long, start int"), "suffix-open")
     order = ("h1", "h2", "doc_id", "start")
     runs = written(opened.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_neighbours, "h1 long, h2 long, doc_id long, start int, kind int, part int"), "suffix-runs")
     # one first and one last row per partition: a first row whose run began in an earlier partition is repeated too
@@ -378,7 +378,7 @@ def without_passages(docs: DataFrame, passages: DataFrame, *, key: str = "doc_id
     lean = both.select(docs[text], per[starts], per[sizes], *[docs[c] for c in rest], per[starts].isNotNull().alias(cut))
     out = docs.select(text, *rest).schema.add(cut, "boolean")
     arrow = to_arrow_schema(out)
-    done = lean.mapInArrow(lambda it: _cut(it, arrow), out).where(~F.col(cut) | (F.col(text) != ""))
+    done = lean.mapInArrow(lambda it: trimmed(_cut(it, arrow)), out).where(~F.col(cut) | (F.col(text) != ""))
     if n_chars in docs.columns:
         done = done.withColumn(n_chars, F.when(F.col(cut), F.length(text)).otherwise(F.col(n_chars)).cast(docs.schema[n_chars].dataType))
     return done.select(*docs.columns)

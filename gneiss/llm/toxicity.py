@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import U64, Rolling, mixed, small_batches, unused
+from gneiss.llm.common import U64, Rolling, mixed, small_batches, unused, trimmed
 
 #: Symbols that count as part of a word between two letters or digits, as in disguised spellings.
 INNER = "@$!*0'-_+&%#|."
@@ -165,7 +165,7 @@ def misspelt(text: str, rng: np.random.Generator, rate: float) -> str:
     return " ".join(words)
 
 
-def chunks(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def chunks(texts: list[str], most: int = 250_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `most` characters each."""
     start, size = 0, 0
     for i, t in enumerate(texts):
@@ -347,7 +347,7 @@ def scored(docs: DataFrame, model: Model, *, text: str = "text", score: str = "s
     out = docs.select(*[docs[c] for c in keep]).schema.add(score, "double")
     arrow = to_arrow_schema(out)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    return lean.mapInArrow(lambda it: _score(it, held.value, arrow), out)
+    return lean.mapInArrow(lambda it: trimmed(_score(it, held.value, arrow)), out)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", per_label: int = 1024, threshold: float = 0.5) -> DataFrame:
@@ -356,7 +356,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: s
     A score is the probability of the likeliest stretch of words of the whole text. Null texts count as empty; a text
     without words gets the score of an empty bag; null keys are scored and count as not held out; repeated rows are
     scored alike; other columns are ignored. A very long text is read in bags like any other; texts are taken in chunks of
-    about a million characters, a longer one by itself. Without labels of both kinds all scores are the labels' rate. An
+    about 250,000 characters, a longer one by itself. Without labels of both kinds all scores are the labels' rate. An
     empty table of documents gives no rows. Of labels that contradict each other for a key, 1 holds.
     """
     model = fit(docs, labels, key=key, text=text, label=label, per_label=per_label)
