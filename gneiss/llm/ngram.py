@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import U64, Rolling, components, forget, mixed, small_batches, unused, word_hashes, written, trimmed
+from gneiss.llm.common import U64, Rolling, components, forget, mixed, small_batches, trimmed, unused, word_hashes, written
 from gneiss.llm.neardup import star_forest
 
 #: White space beyond ASCII, as str.split() knows it.

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import BASE, U64, Rolling, mixed, powers, small_batches, unused, word_hashes, words_of, written, trimmed
+from gneiss.llm.common import BASE, U64, Rolling, mixed, powers, small_batches, trimmed, unused, word_hashes, words_of, written
 from gneiss.llm.ngram import WIDE_SPACE
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.common import U64, Rolling, mixed, small_batches, unused, trimmed
+from gneiss.llm.common import U64, Rolling, mixed, small_batches, trimmed, unused
 
 #: Symbols that count as part of a word between two letters or digits, as in disguised spellings.
 INNER = "@$!*0'-_+&%#|."
