@@ -1,6 +1,7 @@
 """Hand-written documents through the parser, node tables, edges and full text."""
 
 from gneiss.operators import fulltext as FT
+from gneiss.operators import graph as G
 from gneiss.operators import nodes as N
 from gneiss.operators.edges import RULES, edges, edges_in_row, shape_counts
 from gneiss.operators.parse import parse, split_failures
@@ -87,3 +88,16 @@ def test_no_publication_keeps_party_edges(spark):
     p = parse(documents(spark, x=head("<SDOBI><B700><B710><B711><snm>A</snm></B711></B710></B700></SDOBI>", 'id="EP1"')))
     assert [(x["rel_type"], x["from_id"], x["to_id"]) for x in edges(N.node_tables(p)).collect()] == [("APPLIES_FOR", "NAME:a|CC:", "EP1")]
     assert N.source_files(p).count() == 0
+
+
+def test_resolution_in_row(spark):
+    """As the joins resolve: shared publications, ids that stripping changes, blank ones, with and without aliases."""
+    body = FULL[FULL.index(">") + 1 :]
+    other = head("<SDOBI><B700><B710><B711><snm>Beta</snm></B711></B710></B700></SDOBI>", 'country="EP" doc-number="123" kind="A1" id="EP24000001XY"')
+    made = [("a", FULL), ("b", FULL), ("c", other), (" c", other), (" d ", other), ("e", head()), (" e", head("", 'country="EP" doc-number="9" kind="A1" id="EP1"')), (" ", FULL), ("", FULL), (None, FULL), ("f", "<x"), ("g", f'<ep-patent-document id="EP24000001XY">{body}')]
+    parsed = parse(spark.createDataFrame([(k, v.encode()) for k, v in made], "source_id string, xml binary"))
+    for aliases in (True, False):
+        want = G.resolve(edges_in_row(parsed, once=True), G.vertex_ids_in_row(parsed), aliases=aliases)
+        got = G.resolve_in_row(parsed, aliases=aliases)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+        assert got.where("to_id = 'c' and rel_type = 'FROM_SOURCE'").count() == 1 and got.where("to_id = 'd'").count() == 0
