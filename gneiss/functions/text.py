@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 def strip(c: Column) -> Column:
     """Without white space, Unicode's included, at both ends; null is ''."""
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+    plain = F.ascii(F.substring(c, 1, 1)).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)  # nothing to strip, as nearly always
+    return F.when(plain, c).otherwise(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", ""))
 
 
 def strip_lower(c: Column) -> Column:
@@ -35,9 +36,13 @@ def _first(parts: Column) -> Column:
     return F.coalesce(F.get(parts, F.lit(0)), F.lit(""))
 
 
+def _first_two(raw: Column) -> Column:
+    return F.rtrim(F.regexp_replace(F.coalesce(raw, F.lit("")), r"(?Us)^\s*+(\S*+)\s*+(\S*+).*+$", "$1 $2"))
+
+
 def ipc_long(raw: Column) -> Column:
     """The first two tokens."""
-    return F.array_join(F.slice(tokens(raw), 1, 2), " ")
+    return _first_two(raw)
 
 
 def ipc_short(raw: Column) -> Column:
@@ -47,8 +52,8 @@ def ipc_short(raw: Column) -> Column:
 
 def cpc_long(raw: Column) -> Column:
     """The first token; the first two if there are four or more."""
-    t = tokens(raw)
-    return F.when(F.size(t) >= 4, F.array_join(F.slice(t, 1, 2), " ")).otherwise(_first(t))
+    two = _first_two(raw)
+    return F.when(F.coalesce(raw, F.lit("")).rlike(r"(?U)^\s*+(?:\S++\s++){3}\S"), two).otherwise(F.substring_index(two, " ", 1))
 
 
 def cpc_short(raw: Column) -> Column:

@@ -101,3 +101,9 @@ def test_resolution_in_row(spark):
         got = G.resolve_in_row(parsed, aliases=aliases)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
         assert got.where("to_id = 'c' and rel_type = 'FROM_SOURCE'").count() == 1 and got.where("to_id = 'd'").count() == 0
+
+
+def test_edges_are_made_once(spark):
+    """No filter before the explode makes all edges of a row once more."""
+    plan = edges_in_row(parse(documents(spark, full=FULL)), ["FROM_SOURCE", "HAS_PUBLICATION"], once=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array(") == 2 and "size(" not in plan
