@@ -107,3 +107,25 @@ def test_edges_are_made_once(spark):
     """No filter before the explode makes all edges of a row once more."""
     plan = edges_in_row(parse(documents(spark, full=FULL)), ["FROM_SOURCE", "HAS_PUBLICATION"], once=True)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("array(") == 2 and "size(" not in plan
+
+
+def test_root_without_a_tree(spark):
+    """The quick way to the root's attributes says what the tree says, of broken documents too."""
+    odd = {"full": FULL, "broken": "<x country='EP'><y></x>", "none": "", "null": None, "spaces": '<x country=" EP " doc-number="1\n"/>', "prefix": '<p:x xmlns:p="u" p:country="no" country="EP"/>', "unbound": "<p:x country='EP'/>", "twice": "<x/><x/>", "dtd": '<!DOCTYPE x SYSTEM "x.dtd"><x country="EP">&foo;</x>', "entity": "<x country='EP'>&foo;</x>", "nested": "<x><y country='EP'/></x>"}
+    docs = documents(spark, **odd)
+    quick, tree = (sorted(map(tuple, parse(docs, f).select("source_id", "root", "error").collect())) for f in (["root"], ["root", "appl"]))
+    assert quick == tree
+
+
+def test_parse_in_bounded_batches(spark):
+    """What leaves Python at once is bounded by rows and by bytes of XML, whatever comes in at once."""
+    from gneiss.operators import parse as P
+    from pyspark.sql.pandas.types import to_arrow_schema
+    import pyarrow as pa
+
+    long = f"<x>{'a' * (P.CHUNK_BYTES // 2)}</x>".encode()
+    bodies = [b"<x/>"] * 1200 + [long] * 5 + [None]
+    b = pa.record_batch([pa.array([str(i) for i in range(len(bodies))]), pa.array([0] * len(bodies)), pa.array([[]] * len(bodies), pa.list_(pa.string())), pa.array(bodies)], names=list("abcd"))
+    out = list(P._parse(iter([b]), to_arrow_schema(P.PARSED), ("root",)))
+    assert [x for r in out for x in r.column(0).to_pylist()] == [str(i) for i in range(len(bodies))]
+    assert max(r.num_rows for r in out) <= P.CHUNK_ROWS and len(out) >= 6
