@@ -33,10 +33,13 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).option("enforceSchema", False).csv(path).na.fill("")
 
 
+#: CSV with a header; null is '', quotes are doubled, spaces stay.
+CSV_WRITE = {"header": True, "escape": '"', "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     """CSV with a header, even without rows; null is '', quotes are doubled, spaces stay."""
-    opts = {"header": True, "escape": '"', "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.mode(mode).options(**opts).csv(path)
+    df.write.mode(mode).options(**CSV_WRITE).csv(path)
 
 
 def write_node_tables(tables: dict[str, DataFrame], folder: str, mode: str = "append") -> dict[str, int]:
@@ -65,8 +68,34 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """One file sorted by name, as the next version of the manifest. A manifest has one row per archive."""
-    add_version(manifest.coalesce(1).sortWithinPartitions("filename"), path, lambda d, to: write_csv(d, to, "overwrite"))
+    """One file sorted by name, as the next version of the manifest. A manifest has one row per archive.
+
+    It is sorted and written in parts by all tasks; the driver then puts the parts' bytes one behind the other.
+    """
+    add_version(manifest, path, _write_sorted_file)
+
+
+def _write_sorted_file(manifest: DataFrame, to: str) -> None:
+    spark, aside = manifest.sparkSession, f"{to.rstrip('/')}-parts-{uuid.uuid4().hex[:8]}"
+    ordered = manifest.select(*[f.name for f in MANIFEST])
+    try:
+        ordered.orderBy("filename").write.options(**{**CSV_WRITE, "header": False}).csv(aside)
+        fs, p = _fs(spark, aside)
+        parts = sorted((f.getPath() for f in fs.listStatus(p) if f.getPath().getName().startswith("part-")), key=lambda x: x.getName())
+        target = _fs(spark, f"{to.rstrip('/')}/part-00000.csv")[1]
+        out = fs.create(target, True)
+        try:
+            out.writeBytes(",".join(ordered.columns) + "\n")
+            for part in parts:
+                body = fs.open(part)
+                try:
+                    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(body, out, 1 << 20, False)
+                finally:
+                    body.close()
+        finally:
+            out.close()
+    finally:
+        delete(spark, aside)
 
 
 def shared_folder(spark: SparkSession) -> str:

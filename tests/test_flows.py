@@ -114,3 +114,20 @@ def test_arguments():
     for bad in (["--archives-dir", "d", "--xml-dir", "e", "--output-dir", "o"], ["--output-dir", "o"], ["--xml-dir", "x"]):
         with pytest.raises(SystemExit):
             arguments(bad)
+
+
+def test_manifest_is_sorted_in_parts(spark, tmp_path):
+    """One file sorted by name, of many parts: no task takes all rows; odd texts and an empty manifest come back."""
+    path = str(tmp_path / "manifest")
+    names = F.concat(F.lit("f"), F.col("id").cast("string"))
+    rows = spark.range(500).repartition(7).select(names.alias("filename"), F.lit('a "b",\nc').alias("status"), *[F.lit(c).alias(f.name) for f, c in zip(MANIFEST.fields[2:], ["", " x ", "2", "3", "é"])])
+    tasks = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("manifest", "manifest")
+    TB.write_manifest(rows, path)
+    most = max(tasks.getStageInfo(s).numTasks for j in tasks.getJobIdsForGroup("manifest") for s in tasks.getJobInfo(j).stageIds[-1:])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = [tuple(r) for r in TB.read_manifest(spark, path).orderBy("row").collect()]
+    assert [g[0] for g in got] == sorted(f"f{i}" for i in range(500)) and [g[-1] for g in got] == list(range(500))
+    assert {g[1:-1] for g in got} == {('a "b",\nc', "", " x ", "2", "3", "é")} and most > 1
+    TB.write_manifest(rows.limit(0), path)
+    assert TB.read_manifest(spark, path).count() == 0
