@@ -59,16 +59,27 @@ def valid_edges(edges: DataFrame, free: Sequence[str] = TABLES["edge"]) -> DataF
 
 
 def edges(tables: dict[str, DataFrame], rules: Sequence[EdgeRule] = RULES) -> DataFrame:
-    """All edges of the rules, each once per source document."""
-    lookups = {t: first_by_source(tables[t], c) for t, c in LOOKUPS.items() if t in tables}
+    """All edges of the rules, each once per source document.
+
+    Rows and lookups are dealt by source_id over all shuffle partitions: by itself the session may put as many of them into one
+    task as its compressed bytes allow, and these rows compress far better than they sort.
+    """
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_id")
+
+    needed = {need for rule in rules for need in rule.needs}
+    lookups = {t: first_by_source(dealt(tables[t]), c) for t, c in LOOKUPS.items() if t in tables and t in needed}
     parts = []
     for rule in rules:
         rows = tables[rule.table].where("source_id <> ''")
+        rows = dealt(rows) if rule.needs else rows
         for need in rule.needs:
             rows = rows.join(lookups[need], "source_id")
         (a, b, c), (x, y, z) = rule.start, rule.end
         parts.append(rows.select(F.lit(a).alias("from_label"), F.lit(b).alias("from_key"), F.col(c).alias("from_id"), F.lit(rule.rel_type).alias("rel_type"), F.lit(x).alias("to_label"), F.lit(y).alias("to_key"), F.col(z).alias("to_id"), "source_id"))
-    return valid_edges(reduce(DataFrame.unionByName, parts)).dropDuplicates()
+    valid = valid_edges(reduce(DataFrame.unionByName, parts))
+    return dealt(valid).dropDuplicates()
 
 
 def edges_in_row(parsed: DataFrame, types: Sequence[str] | None = None, *, once: bool = False, keys: T.Keys = T.Keys()) -> DataFrame:

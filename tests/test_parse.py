@@ -129,3 +129,13 @@ def test_parse_in_bounded_batches(spark):
     out = list(P._parse(iter([b]), to_arrow_schema(P.PARSED), ("root",)))
     assert [x for r in out for x in r.column(0).to_pylist()] == [str(i) for i in range(len(bodies))]
     assert max(r.num_rows for r in out) <= P.CHUNK_ROWS and len(out) >= 6
+
+
+def test_edges_are_joined_over_all_partitions(spark):
+    """Rows are dealt by number, so the session may not put partitions together before the join."""
+    p = parse(documents(spark, full=FULL))
+    both = [r for r in RULES if r.rel_type in ("HAS_PUBLICATION", "OF_APPLICATION")]
+    out = edges({"publication": N.publications(p), "application": N.applications(p)}, both)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 3 and "hashpartitioning(source_id" in plan
+    assert {(r["from_id"], r["rel_type"], r["to_id"]) for r in out.collect()} == {("EP24000001XY", "HAS_PUBLICATION", "EP123A1"), ("EP123A1", "OF_APPLICATION", "EP24000001XY")}
