@@ -71,11 +71,13 @@ def vertex_ids_in_row(parsed: DataFrame, keys: T.Keys = T.Keys()) -> DataFrame:
 
 def _aliased(label: str, key: str) -> tuple[Column, Column]:
     """Label and key of the vertices that an end of an edge means, by label alone or by label and edge type."""
-    name = F.concat(F.col(label), F.lit("/"), F.col("rel_type"))
 
     def known(which: int, old: str) -> Column:
-        table = F.create_map(*[F.lit(x) for (of, rel), to in ALIASES.items() for x in (of if rel is None else f"{of}/{rel}", to[which])])
-        return F.coalesce(table[name], table[F.col(label)], F.col(old))
+        # those by label and type first; cases, as looking up maps of constants took tens of microseconds a row
+        out = F.when(F.lit(False), F.col(old))
+        for (of, rel), to in sorted(ALIASES.items(), key=lambda x: x[0][1] is None):
+            out = out.when((F.col(label) == of) & (F.lit(True) if rel is None else F.col("rel_type") == rel), to[which])
+        return out.otherwise(F.col(old))
 
     return known(0, label), known(1, key)
 
@@ -107,6 +109,25 @@ def resolved_types(*, aliases: bool = True) -> dict[str, tuple[tuple[str, str],
     return out
 
 
+def resolve_sure(edges: DataFrame, *, aliases: bool = True) -> DataFrame:
+    """What `resolve` makes of edges whose ends are known to be vertices as far as their labels are: no join."""
+    ends = resolved_types(aliases=aliases)
+    return _with_ends(edges.where(F.col("rel_type").isin(*ends)).select("rel_type", "from_id", "to_id").distinct(), ends)
+
+
+def _with_ends(rows: DataFrame, ends: dict[str, tuple[tuple[str, str], tuple[str, str]]]) -> DataFrame:
+    """(rel_type, from_id, to_id) with the labels and keys that the ends of their type have."""
+
+    def named(side: int, part: int) -> Column:
+        out = F.when(F.lit(False), F.lit(""))
+        for rel, e in ends.items():
+            out = out.when(F.col("rel_type") == rel, e[side][part])
+        return out
+
+    named_ends = {f"{side}_{part}": named(i, j).alias(f"{side}_{part}") for i, side in enumerate(("from", "to")) for j, part in enumerate(("label", "key"))}
+    return rows.select(*[named_ends.get(c, F.col(c)) for c in ENDS])
+
+
 def resolve_in_row(parsed: DataFrame, *, aliases: bool = True) -> DataFrame:
     """What `resolve` makes of edges_in_row(once=True) and vertex_ids_in_row of the same parsed rows, without its joins.
 
@@ -140,13 +161,7 @@ def resolve_in_row(parsed: DataFrame, *, aliases: bool = True) -> DataFrame:
     again.append(links(odd, ["FROM_SOURCE"]).join(files, "to_id", "left_semi").select("rel_type", "from_id", "to_id"))
     # an odd row's edges may also be those of a plain row of the same publication
     mixed = reduce(DataFrame.unionByName, again).distinct()
-    every = alone.unionByName(mixed)
-
-    def named(side: int, part: int) -> Column:
-        return F.create_map(*[F.lit(x) for r, e in ends.items() for x in (r, e[side][part])])[F.col("rel_type")]
-
-    named_ends = {f"{side}_{part}": named(i, j).alias(f"{side}_{part}") for i, side in enumerate(("from", "to")) for j, part in enumerate(("label", "key"))}
-    return every.select(*[named_ends.get(c, F.col(c)) for c in ENDS])
+    return _with_ends(alone.unionByName(mixed), ends)
 
 
 def merge(target: DataFrame, source: DataFrame, key: list[str], *, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -191,6 +206,29 @@ def new_source_ids(tables: dict[str, DataFrame], loaded: DataFrame) -> DataFrame
     return ids.where("source_id <> ''").distinct().join(loaded.select("source_id").distinct(), "source_id", "left_anti")
 
 
+def sources_by_run(tables: dict[str, DataFrame], loaded: DataFrame) -> DataFrame:
+    """(run, source_id, fresh): each run's sources that are not blank, and whether they are not loaded yet.
+
+    Sources of edges that are `sure` come with a vertex as well.
+    """
+    rows = [t.where("sure is null or not sure") if "sure" in t.columns else t for t in tables.values()]
+    ids = reduce(DataFrame.unionByName, [t.select("run", "source_id") for t in rows]).where("source_id <> ''").distinct()
+    known = loaded.select("source_id").distinct().withColumn("known", F.lit(True))
+    return ids.join(known, "source_id", "left").select("run", "source_id", F.col("known").isNull().alias("fresh"))
+
+
+def only_fresh(tables: dict[str, DataFrame], sources: DataFrame) -> dict[str, DataFrame]:
+    """Rows of the sources that `sources_by_run` calls fresh. Runs without any are not read; only runs that hold both kinds
+    are joined, so what was loaded before costs nothing."""
+    runs = sources.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.count_if("fresh").alias("fresh")).collect()
+    whole, mixed = [r["run"] for r in runs if r["fresh"] == r["n"]], [r["run"] for r in runs if 0 < r["fresh"] < r["n"]]
+    out = {n: t.where(F.col("run").isin(*whole) & (F.col("source_id") != "")) for n, t in tables.items()}
+    if mixed:
+        ids = sources.where(F.col("fresh") & F.col("run").isin(*mixed)).select("source_id").distinct()
+        out = {n: t.unionByName(tables[n].where(F.col("run").isin(*mixed)).join(ids, "source_id", "left_semi").select(*t.columns)) for n, t in out.items()}
+    return out
+
+
 def only_sources(tables: dict[str, DataFrame], ids: DataFrame) -> dict[str, DataFrame]:
     """Rows of the given sources."""
     return {n: t.join(ids, "source_id", "left_semi").select(*t.columns) for n, t in tables.items()}

@@ -29,6 +29,17 @@ def pending(documents: DataFrame, status: DataFrame) -> DataFrame:
     return documents.join(status.where("status = 'done'").select("source_id").distinct(), "source_id", "left_anti")
 
 
+def pending_of_many(documents: DataFrame, status: DataFrame) -> DataFrame:
+    """`pending` for wide documents: ids that are too many to be sent to all tasks are hashed, and no documents sorted."""
+    from gneiss.sources.tables import set_aside
+
+    done = set_aside(status.where("status = 'done'").select("source_id").distinct(), "done")
+    n = done.count()
+    if not n:
+        return documents
+    return documents.join(done.hint("shuffle_hash") if n > 100_000 else done, "source_id", "left_anti")
+
+
 def invalid_source_ids(rows: DataFrame) -> DataFrame:
     from gneiss.functions.text import strip
 

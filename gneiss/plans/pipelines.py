@@ -10,18 +10,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from gneiss.functions.text import Keys
 from gneiss.operators import fulltext as ft
 from gneiss.operators import graph as g
-from gneiss.operators.edges import EdgeRule, edges, edges_in_row
+from gneiss.operators.edges import EdgeRule, edges, edges_in_row, edges_of_documents
 from gneiss.operators.nodes import NODE_TABLES, node_tables
 from gneiss.operators.parse import FIELDS, parse, split_failures
-from gneiss.operators.status import done_rows, failed_rows, latest_status, pending
+from gneiss.operators.status import done_rows, failed_rows, latest_status, pending_of_many
 from gneiss.schemas import FULLTEXT, PARSED, STATUS, TABLES, VERTICES, empty, record, schema_of
 from gneiss.sources.stores import Connection, GraphSession, ensure_constraints, put_edges, put_vertices, upsert_sql
-from gneiss.sources.tables import exists, forget, merge_buckets, read_parquet, set_aside, write_node_tables
+from gneiss.sources.tables import exists, forget, merge_buckets, nothing, read_parquet, set_aside, write_node_tables
 
 log = logging.getLogger("gneiss")
 
@@ -76,7 +76,7 @@ def export(spark: SparkSession, documents: DataFrame, cfg: Config, batch_id: int
         raise ValueError(f"unknown parts {parts}")
     known = [status_table(spark, cfg, p).where("status = 'done'").select("source_id") for p in parts]
     both = reduce(lambda a, b: a.join(b, "source_id", "left_semi"), known).withColumn("status", F.lit("done"))
-    todo = pending(documents.withColumn("batch_id", F.lit(batch_id).cast("long")), both)
+    todo = pending_of_many(documents.withColumn("batch_id", F.lit(batch_id).cast("long")), both)
     bronze = cfg.at(f"parsed/{'-'.join(parts)}/batch_id={batch_id}")
     wanted = None if "fulltext" in parts else [f for f in FIELDS if f not in ("abstracts", "description", "claims")]
     if "graph" not in parts:
@@ -98,11 +98,15 @@ def export(spark: SparkSession, documents: DataFrame, cfg: Config, batch_id: int
         own = good.join(of, "source_id", "left_anti") if len(parts) > 1 else good
         if part == "graph":
             tables = node_tables(own, ordered=True, keys=cfg.keys, extractors=cfg.extractors)
-            links = edges_in_row(own, keys=cfg.keys) if cfg.rules is None else edges(tables, cfg.rules)
+            if cfg.rules is not None:
+                links = edges(tables, cfg.rules)
+            else:
+                plain = cfg.keys == Keys() and not cfg.extractors
+                links = edges_of_documents(own) if plain else edges_in_row(own, keys=cfg.keys)
             for name, rows in [*tables.items(), ("edge", links)]:
                 counted(rows, name, cfg.at(f"silver/{name}/run={batch_id}"))
                 if cfg.sink:
-                    cfg.sink(name, spark.read.parquet(cfg.at(f"silver/{name}/run={batch_id}")))
+                    cfg.sink(name, spark.read.parquet(cfg.at(f"silver/{name}/run={batch_id}")).drop("sure"))
             if cfg.csv_folder:
                 held = {n: spark.read.parquet(cfg.at(f"silver/{n}/run={batch_id}")).select(*TABLES[n]) for n in [*tables, "edge"]}
                 write_node_tables({**held, "citation": empty(spark, "citation")}, cfg.csv_folder)
@@ -122,14 +126,19 @@ def export(spark: SparkSession, documents: DataFrame, cfg: Config, batch_id: int
     return counts
 
 
+#: What a node table on disk has besides its columns: which row is the later one.
+ORDER = StructType([StructField("batch_id", LongType()), StructField("member_path", ArrayType(StringType())), StructField("ordinal", IntegerType())])
+
+
 def silver(spark: SparkSession, cfg: Config) -> dict[str, DataFrame]:
-    """All runs' node tables and edges."""
+    """All runs' node tables and edges, with their run. Edges that are `sure` are between vertices of the same run."""
     out = {}
     for name in [*NODE_TABLES, "edge"]:
+        schema = StructType([*schema_of(name), StructField("sure", BooleanType())] if name == "edge" else [*schema_of(name), *ORDER])
         if exists(spark, cfg.at(f"silver/{name}")):
-            out[name] = spark.read.parquet(cfg.at(f"silver/{name}"))
+            out[name] = spark.read.schema(StructType([*schema, StructField("run", LongType())])).parquet(cfg.at(f"silver/{name}"))
         else:
-            out[name] = spark.createDataFrame([], schema_of(name)).withColumns({"batch_id": F.lit(0).cast("long"), "member_path": F.array().cast("array<string>"), "ordinal": F.lit(0)})
+            out[name] = nothing(spark, schema).withColumn("run", F.lit(0).cast("long"))
     return out
 
 
@@ -161,9 +170,9 @@ def build_graph(spark: SparkSession, cfg: Config, mode: str = "bulk", step: str
         return counts | check_keys(spark, cfg)
     tables = silver(spark, cfg)
     loaded = read_parquet(spark, cfg.at("graph/loaded"), schema_of("source_file"))
-    ids = set_aside(g.new_source_ids(tables, loaded), "sources")
+    sources = set_aside(g.sources_by_run(tables, loaded), "sources")
     if mode == "incremental":
-        tables = g.only_sources(tables, ids)
+        tables = g.only_fresh(tables, sources)
     if step in ("nodes", "all"):
         for name in VERTICES:
             _, key = VERTICES[name]
@@ -172,27 +181,32 @@ def build_graph(spark: SparkSession, cfg: Config, mode: str = "bulk", step: str
             counts[name] = put_vertices(now, name, cfg.graph, cfg.batch_size) if cfg.graph else now.count()
             forget(now)
     if step in ("relationships", "all"):
-        everything = g.vertex_ids({n: graph_vertices(spark, cfg, n) for n in VERTICES})
-        now = set_aside(g.resolve(tables["edge"], everything, aliases=cfg.aliases), "edges")
+        found = tables["edge"]
+        # without vertices merged just now, none are sure
+        open_ends = found.where("sure is null or not sure") if step == "all" else found
+        parts = [g.resolve_sure(found.where("sure"), aliases=cfg.aliases)] if step == "all" else []
+        if not parts or not open_ends.isEmpty():
+            everything = g.vertex_ids({n: graph_vertices(spark, cfg, n) for n in VERTICES})
+            parts.append(g.resolve(open_ends, everything, aliases=cfg.aliases))
+        now = set_aside(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]).distinct(), "edges")
         merge_buckets(spark, cfg.at("graph/edges"), record(*g.ENDS), g.ENDS, now, g.merge_edges, cfg.buckets)
         counts["edge"] = sum(put_edges(now, cfg.graph, cfg.batch_size).values()) if cfg.graph else now.count()
         forget(now)
     if step == "all":
-        ids.write.mode("append").parquet(cfg.at("graph/loaded"))
+        sources.where("fresh").select("source_id").distinct().write.mode("append").parquet(cfg.at("graph/loaded"))
         check_keys(spark, cfg)
-    forget(ids)
+    forget(sources)
     return counts
 
 
 def check_keys(spark: SparkSession, cfg: Config) -> dict[str, int]:
     """Raise if a key of a vertex table comes twice; vertices per table."""
-    out = {}
-    for name in VERTICES:
-        rows = graph_vertices(spark, cfg, name)
-        if twice := g.duplicate_keys(rows, VERTICES[name][1]).head():
-            raise ValueError(f"{name}: key {twice[0]} comes {twice['n']} times")
-        out[name] = rows.count()
-    return out
+    keys = reduce(DataFrame.unionByName, [graph_vertices(spark, cfg, name).select(F.lit(name).alias("table"), F.col(key).alias("key")) for name, (_, key) in VERTICES.items()])
+    seen = keys.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).groupBy("table").agg(F.sum("n").alias("rows"), F.max_by("key", "n").alias("key"), F.max("n").alias("n")).collect()
+    for x in seen:
+        if x["n"] > 1:
+            raise ValueError(f"{x['table']}: key {x['key']} comes {x['n']} times")
+    return dict.fromkeys(VERTICES, 0) | {x["table"]: x["rows"] for x in seen}
 
 
 #: The stages of a whole run, in order.

@@ -21,6 +21,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def nothing(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows, so that the optimizer knows: joins with them go."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
@@ -190,9 +195,9 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType, only: Itera
     if said["buckets"]:
         wanted = {str(b) for b in only} if only is not None else None
         at = [f"{path}/v={v}/bucket={b}" for b, v in said["buckets"].items() if wanted is None or b in wanted]
-        return spark.read.schema(schema).parquet(*at) if at else spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*at) if at else nothing(spark, schema)
     at = f"{path}/v={said['version']}" if said["version"] else path
-    return spark.read.schema(schema).parquet(at) if exists(spark, at) else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(at) if exists(spark, at) else nothing(spark, schema)
 
 
 def merge_buckets(spark: SparkSession, path: str, schema: StructType, key: Sequence[str], news: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64) -> int:
@@ -204,22 +209,25 @@ def merge_buckets(spark: SparkSession, path: str, schema: StructType, key: Seque
     """
     path = path.rstrip("/")
     bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
-    news = set_aside(news.withColumn("bucket", bucket), "news")
-    touched = [r[0] for r in news.select("bucket").distinct().collect()]
+    aside = news if hasattr(news, "_gneiss_path") else set_aside(news, "news")
+    touched = [r[0] for r in aside.select(bucket.alias("bucket")).distinct().collect()]
     if not touched:
         return 0
     now = pointer(spark, path)
-    old = read_parquet(spark, path, schema, touched) if now["buckets"] else spark.createDataFrame([], schema)
-    merged = combine(old, news.drop("bucket")).withColumn("bucket", bucket)
+    old = read_parquet(spark, path, schema, touched) if now["buckets"] else nothing(spark, schema)
+    merged = combine(old, aside).withColumn("bucket", bucket)
     number = now["version"] + 1
     delete(spark, f"{path}/v={number}")
-    # one file per part and task at most: rows of a part lie together
-    merged.repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/v={number}")
+    # one file per part and task at most: rows of a part lie together, those of a large one in as many tasks as there are for it
+    tasks = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets)
+    share = F.pmod(F.shiftright(F.xxhash64(*key), 32), F.lit(tasks))
+    merged.repartition("bucket", share).write.partitionBy("bucket").parquet(f"{path}/v={number}")
     replaced = [f"v={now['buckets'][str(b)]}/bucket={b}" for b in touched if str(b) in now["buckets"]]
     point_to(spark, path, {"version": number, "buckets": {**now["buckets"], **{str(b): number for b in touched}}, "old": replaced})
     for x in now["old"]:
         delete(spark, f"{path}/{x}")
-    forget(news)
+    if aside is not news:
+        forget(aside)
     return len(touched)
 
 

@@ -131,3 +131,22 @@ def test_manifest_is_sorted_in_parts(spark, tmp_path):
     assert {g[1:-1] for g in got} == {('a "b",\nc', "", " x ", "2", "3", "é")} and most > 1
     TB.write_manifest(rows.limit(0), path)
     assert TB.read_manifest(spark, path).count() == 0
+
+
+def test_loading_joins_no_edges(spark, tmp_path, monkeypatch):
+    """q46: edges made in the row of their vertices are loaded without looking the vertices up; new runs alone are read."""
+    from gneiss.plans import pipelines
+
+    cfg = Config(f"{tmp_path}/w", buckets=2)
+    docs = sample(spark).where("source_id not like '%again%'").localCheckpoint()
+    first = docs.where("source_id like '%full%'")
+    export(spark, first, cfg, 0, ("graph",))
+    export(spark, docs, cfg, 1, ("graph",))
+    with monkeypatch.context() as m:
+        m.setattr(pipelines.g, "resolve", None)
+        m.setattr(pipelines.g, "only_sources", None)
+        build_graph(spark, cfg, "incremental")
+    got = {tuple(x) for x in graph_edges(spark, cfg).collect()}
+    found = pipelines.silver(spark, cfg)["edge"]
+    everything = pipelines.g.vertex_ids({n: graph_vertices(spark, cfg, n) for n in VERTICES})
+    assert got == {tuple(x) for x in pipelines.g.resolve(found, everything).collect()} and len({x[3] for x in got}) == 8

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from gneiss.operators import fulltext as FT
 from gneiss.operators import graph as G
 from gneiss.operators import status as S
-from gneiss.operators.edges import first_by_source, valid_edges
+from gneiss.operators.edges import edges_in_row, edges_of_documents, first_by_source, valid_edges
 from gneiss.operators.ingest import archive_refs, ingest_state
+from gneiss.operators.parse import parse
 from gneiss.schemas import FULLTEXT, TABLES, VERTICES, ddl
 
 EDGE = ", ".join(f"{c} string" for c in TABLES["edge"])
@@ -149,3 +150,30 @@ def test_two_merges_equal_one(spark, items, cut):
     whole = G.merge(none, table(items, 0), ["k"])
     halves = G.merge(G.merge(none, table(items[:cut], 0), ["k"]), table(items[cut:], cut), ["k"])
     assert rows(whole, "k", "v") == rows(halves, "k", "v")
+
+
+def test_sure_edges(spark):
+    """Edges of rows that come alone are sure; with those that are looked up they are what looking all up gives."""
+    from tests.test_parse import FULL, head
+
+    other = head("", 'country="EP" doc-number="9" kind="B1" id="EP9"')
+    docs = [("a", FULL), ("a ", FULL), ("b", other), (" c", other), ("d", FULL.replace("Bonn", "Ulm")), ("e", "<a>"), ("b2", other), ("t", other), ("t", other), ("", other), (None, other)]
+    parsed = parse(spark.createDataFrame([(i, x.encode()) for i, x in docs], "source_id string, xml binary")).where("error is null").localCheckpoint()
+    made = edges_of_documents(parsed).localCheckpoint()
+    whole = edges_in_row(parsed)
+    assert sorted(map(tuple, made.drop("sure").collect())) == sorted(map(tuple, whole.collect()))
+    assert {x["source_id"] for x in made.where("sure").collect()} == {"b", "d", "b2"}
+    for aliases in (True, False):
+        v = G.vertex_ids_in_row(parsed)
+        got = G.resolve_sure(made.where("sure"), aliases=aliases).unionByName(G.resolve(made.where("not sure"), v, aliases=aliases)).distinct()
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, G.resolve(whole, v, aliases=aliases).collect()))
+
+
+def test_fresh_runs(spark):
+    t = spark.createDataFrame([(0, "a"), (0, "a"), (1, "a"), (1, "b"), (1, ""), (2, "c"), (2, ""), (2, None), (3, "")], "run long, source_id string")
+    e = t.withColumn("sure", F.col("source_id") == "c")
+    done = spark.createDataFrame([("a",)], "source_id string")
+    got = G.only_fresh({"t": t, "e": e}, G.sources_by_run({"t": t, "e": e}, done))
+    want = G.only_sources({"t": t, "e": e}, G.new_source_ids({"t": t, "e": e}, done))
+    for name in want:
+        assert rows(got[name], "run", "source_id") == rows(want[name], "run", "source_id") == [(1, "b"), (2, "c")]
