@@ -177,8 +177,12 @@ def compared(s: Suffixes, is_open: np.ndarray) -> tuple[list[np.ndarray], Suffix
     return [np.concatenate(x) for x in found], left
 
 
-def _compare(batches: Iterator[pa.RecordBatch], reach: int, chunk: int = 8_000, most: int = 100_000) -> Iterator[pa.RecordBatch]:
-    """Sorted suffixes, group by group of equal first words; a partition's first and last group, and very large ones, stay open."""
+def _compare(batches: Iterator[pa.RecordBatch], reach: int, chunk: int = 8_000, most: int = 16_000) -> Iterator[pa.RecordBatch]:
+    """Sorted suffixes, group by group of equal first words; a partition's first and last group, and very large ones, stay open.
+
+    A group that is compared here is held whole, each of its suffixes with up to `reach` + 1 runs; one of `most` rows goes
+    on to the second sort in parts, which need no more memory the larger it is.
+    """
     held: list[pa.RecordBatch] = []
     open_key = None
 

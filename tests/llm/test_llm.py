@@ -499,6 +499,31 @@ def test_sorted_suffixes_brute_force(seed):
         assert suffix_rows(texts, vocabulary, chunk, most, cuts) == dict(want)
 
 
+def test_large_group_of_suffixes_is_not_held_whole():
+    """Memory for one group of equal first words and 35 runs a suffix stays the same from 20,000 to 60,000 suffixes."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    names = ["gram_key", "behind", "before", "doc_id", "start", "runs"]
+
+    def batches(n):
+        for i in range(0, n + 1000, 500):  # the group between two others, which stay open as a partition's first and last
+            key, words = (0 if i == 0 else 1 if i <= n else 2), np.arange(i * 34, (i + 500) * 34, dtype=">u4").reshape(500, 34)
+            columns = [np.full(500, key), [b"w" * 136] * 500, [w.tobytes() for w in words], np.arange(i, i + 500), np.zeros(500), np.full(500, 35)]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32()))], names=names)
+
+    peaks, opened = [], []
+    for n in (20_000, 60_000):
+        tracemalloc.start()
+        kinds = Counter(k for b in suffix._compare(batches(n), 34) for k in b.column(0).to_pylist())
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        opened.append(kinds[suffix.OPEN])
+    assert peaks[1] < 1.2 * peaks[0]
+    assert opened == [21_000, 61_000]  # no suffix is lost: all go on to the second sort
+
+
 # ---- packing
 
 
